@@ -14,6 +14,7 @@ removed last.
 from __future__ import annotations
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -88,8 +89,8 @@ def _any_of(conditions) -> Column:
 def refresh(spark: SparkSession, store: TripStore, months, without=()) -> None:
     """Rebuild the state of some months from the cleaned trips.
 
-    Only the folders of those months are read and written. Trips are written to
-    state one table at a time, each scanning the columns it needs.
+    Only the folders of those months are read and written, and each state scans
+    only the columns it needs.
     """
     months = list(months)
     if not months:
@@ -101,17 +102,29 @@ def refresh(spark: SparkSession, store: TripStore, months, without=()) -> None:
             (F.col("year") == y) & (F.col("month") == m) & (F.col("load_id") == load) for y, m, load in without
         )
         trips = trips.where(~gone)
-    for name, build in state.STATES.items():
+
+    def rebuild(name: str) -> None:
         filled = Observation()
-        rows = build(trips).observe(filled, _as_json_set(*state.MONTH).alias("seen"))
+        rows = state.STATES[name](trips).observe(filled, _as_json_set(*state.MONTH).alias("seen"))
         source.write_partitioned(rows, store.state_path(name), state.MONTH, dynamic=True)
         kept = {(p["year"], p["month"]) for p in json.loads(filled.get["seen"])}
         for y, m in set(months) - kept:
             storage.drop_folder(spark, storage.partition_folder(spark, store.state_path(name), year=y, month=m))
 
+    _for_each_state(rebuild)
+
 
 def rebuild_all(spark: SparkSession, store: TripStore) -> None:
     """State of every month in the store, in one pass per table."""
     trips = store.cleaned(spark)
-    for name, build in state.STATES.items():
-        source.write_partitioned(build(trips), store.state_path(name), state.MONTH)
+    _for_each_state(
+        lambda name: source.write_partitioned(state.STATES[name](trips), store.state_path(name), state.MONTH)
+    )
+
+
+def _for_each_state(work) -> None:
+    """The states do not depend on each other, and the small ones leave most of a
+    cluster idle, so a few are written at the same time."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(work, name) for name in state.STATES]:
+            done.result()

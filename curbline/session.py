@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # recording the Python call site of every column costs more than planning
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
