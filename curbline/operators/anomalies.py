@@ -124,7 +124,7 @@ def isolation_forest(
     limit = math.ceil(math.log2(max(rows_per_tree, 2)))
     names = [f"f{i}" for i in range(len(features))]
 
-    def grow(key, group: pd.DataFrame) -> pd.DataFrame:
+    def grow(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         # the order of arrival must not matter
         rows = group.sort_values(names)[names].to_numpy()
         tree = int(key[0])

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbline import schema as S
-from curbline.operators.sampling import SEED, bernoulli
+from curbline.operators.sampling import SEED, bernoulli, spread
 from curbline.plans import tables as T
 
 SEGMENT_KEYS = ["payment_type", "pickup_hour", "distance_bucket"]
@@ -28,12 +28,20 @@ def _assigned(df: DataFrame, columns, k: int, label: str, scaled: bool, seed: in
 
 
 def spatial_clusters(
-    trips: DataFrame, n_clusters: int = 20, fraction: float | None = None, seed: int = SEED
+    trips: DataFrame,
+    n_clusters: int = 20,
+    fraction: float | None = None,
+    seed: int = SEED,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """k-means on pickup positions: trips, mean position and mean fare per cluster."""
+    """k-means on pickup positions: trips, mean position and mean fare per cluster.
+
+    ``partitions`` spreads the rows over that many tasks before the iterations.
+    """
     rows = trips.select("pickup_latitude", "pickup_longitude", "fare_amount")
     if fraction is not None:
         rows = bernoulli(rows, fraction, seed)
+    rows = spread(rows, partitions)
     labelled = _assigned(rows, ["pickup_latitude", "pickup_longitude"], n_clusters, "cluster_id", False, seed)
     stats = labelled.groupBy("cluster_id").agg(
         F.count(F.lit(1)).alias("trip_count"),
@@ -45,13 +53,18 @@ def spatial_clusters(
 
 
 def trip_segments(
-    trips: DataFrame, n_segments: int = 5, fraction: float | None = None, seed: int = SEED
+    trips: DataFrame,
+    n_segments: int = 5,
+    fraction: float | None = None,
+    seed: int = SEED,
+    partitions: int | None = None,
 ) -> DataFrame:
     """k-means on standardised fare, distance and duration, with segment means."""
     columns = ["fare_amount", "trip_distance", "trip_duration_minutes"]
     rows = trips.select(*columns)
     if fraction is not None:
         rows = bernoulli(rows, fraction, seed)
+    rows = spread(rows, partitions)
     stats = _assigned(rows, columns, n_segments, "segment", True, seed).groupBy("segment").agg(
         F.count(F.lit(1)).alias("customer_count"),
         F.avg("fare_amount").alias("avg_fare"),

@@ -58,16 +58,15 @@ def histogram(
 ) -> DataFrame:
     """Equal-width histogram between the smallest and the largest value.
 
-    Empty bins are left out; the last bin includes the maximum. The bounds are
-    two scalar subqueries of the same plan, so nothing is collected. A constant
+    Empty bins are left out; the last bin includes the maximum. The bounds are a
+    scalar subquery of the same plan, so nothing is collected. A constant
     column falls into one bin of width 1. ``digits`` rounds the shown bin ends
     (None: not at all).
     """
     df = filters.calendar(df, year, month)
     value = F.col(field).cast("double")
-    low = df.agg(F.min(value).alias("v")).scalar()
-    high = df.agg(F.max(value).alias("v")).scalar()
-    framed = df.where(value.isNotNull()).select(value.alias("v")).select("v", low.alias("low"), high.alias("high"))
+    bounds = df.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high")).alias("b")).scalar()
+    framed = df.where(value.isNotNull()).select(value.alias("v"), bounds.alias("b")).select("v", "b.low", "b.high")
     width = F.when(F.col("high") > F.col("low"), (F.col("high") - F.col("low")) / bins).otherwise(F.lit(1.0))
     counts = (
         framed.withColumn("width", width)

@@ -4,13 +4,15 @@ The series is chronological: trips per hour, gaps filled with 0, for the whole
 city or per zone. Every lag is at least as long as the horizon, so each of the
 next 24 hours is predicted directly from known counts, for all zones at once.
 This replaces a seasonal ARIMA of one series; judge it by ``backtest``.
+
+The operators read the hourly series several times; give them a stored one
+(``session.settled``) when it comes from trips.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,20 +55,24 @@ def seasonal_naive_forecast(demand: DataFrame, zone_columns=(), horizon: int = D
     )
 
 
-def with_lags(demand: DataFrame, zone_columns=(), horizon: int = DAY) -> DataFrame:
+def with_lags(
+    demand: DataFrame, zone_columns=(), horizon: int = DAY, history: int | None = None
+) -> DataFrame:
     """Gap-free hourly rows per zone up to ``horizon`` hours ahead, with lagged counts.
 
-    A zone starts at its first trip. Coming hours have no ``trip_count``. Zones
-    are equal in size here (one row per hour), however unequal in trips.
+    A zone starts at its first trip, or ``history`` hours before the end if that
+    is later. Coming hours have no ``trip_count``. Zones are equal in size here
+    (one row per hour), however unequal in trips.
     """
     last = demand.agg(F.max("hour_start").alias("h")).scalar()
-    zones = demand.groupBy(*zone_columns).agg(F.min("hour_start").alias("first"))
-    hours = F.sequence(F.col("first"), F.col("until"), F.expr("INTERVAL 1 HOUR"))
-    spine = (
-        zones.withColumn("last", last)
-        .withColumn("until", _later(F.col("last"), horizon))
-        .select(*zone_columns, "last", F.explode(hours).alias("hour_start"))
-    )
+    zones = demand.groupBy(*zone_columns).agg(F.min("hour_start").alias("first")).withColumn("last", last)
+    start = F.col("first")
+    if history is not None:
+        earliest = _later(F.col("last"), 1 - history)
+        start = F.greatest(start, earliest)
+        demand = demand.where(F.col("hour_start") >= _later(last, 1 - history))
+    hours = F.sequence(start, _later(F.col("last"), horizon), F.expr("INTERVAL 1 HOUR"))
+    spine = zones.select(*zone_columns, "last", F.explode(hours).alias("hour_start"))
     filled = spine.join(demand, [*zone_columns, "hour_start"], "left").withColumn(
         "trip_count",
         F.when(F.col("hour_start") <= F.col("last"), F.coalesce("trip_count", F.lit(0))).cast("double"),
@@ -75,28 +81,39 @@ def with_lags(demand: DataFrame, zone_columns=(), horizon: int = DAY) -> DataFra
     return filled.withColumns(
         {
             **{f"lag_{n}": F.lag("trip_count", n).over(order) for n in LAGS},
-            "hour_of_day": F.hour("hour_start"),
-            "weekday": F.dayofweek("hour_start"),
             "hour_ahead": ((F.unix_timestamp("hour_start") - F.unix_timestamp("last")) / 3600).cast("int"),
         }
     ).where(F.col(f"lag_{WEEK}").isNotNull())
 
 
-def fit(rows: DataFrame) -> PipelineModel:
-    """Linear regression on the lags and one-hot hour and weekday."""
-    encode = OneHotEncoder(inputCols=["hour_of_day", "weekday"], outputCols=["hour_code", "weekday_code"])
-    inputs = [f"lag_{n}" for n in LAGS] + ["hour_code", "weekday_code"]
-    assemble = VectorAssembler(inputCols=inputs, outputCol="features")
+def _features(rows: DataFrame) -> DataFrame:
+    """Lags and 0/1 columns for hour of day and weekday, as one vector.
+
+    The codes are known beforehand, so no pass is spent on learning them.
+    """
+    hour, weekday = F.hour("hour_start"), F.dayofweek("hour_start")
+    flags = {f"is_hour_{h}": (hour == h).cast("double") for h in range(1, 24)}
+    flags.update({f"is_day_{d}": (weekday == d).cast("double") for d in range(2, 8)})
+    assembler = VectorAssembler(inputCols=[f"lag_{n}" for n in LAGS] + list(flags), outputCol="features")
+    return assembler.transform(rows.withColumns(flags)).drop(*flags)
+
+
+def fit(rows: DataFrame) -> LinearRegressionModel:
+    """Linear regression on the lags, hour and weekday: one pass (normal equations)."""
     regression = LinearRegression(labelCol="trip_count", featuresCol="features", maxIter=100, regParam=0.01)
-    return Pipeline(stages=[encode, assemble, regression]).fit(rows)
+    return regression.fit(_features(rows.where(F.col("trip_count").isNotNull())))
 
 
 def demand_forecast(demand: DataFrame, zone_columns=(), horizon: int = DAY) -> DataFrame:
-    """Predicted trips for each of the next hours, beside the seasonal naive figure."""
+    """Predicted trips for each of the next hours, beside the seasonal naive figure.
+
+    Fitting reads the whole series; predicting needs its last week only.
+    """
     if horizon > min(LAGS):
         raise ValueError(f"the horizon may not exceed the shortest lag ({min(LAGS)} hours)")
-    rows = with_lags(demand, zone_columns, horizon)
-    scored = fit(rows.where(F.col("trip_count").isNotNull())).transform(rows.where(F.col("hour_ahead") > 0))
+    model = fit(with_lags(demand, zone_columns, horizon=0))
+    ahead = with_lags(demand, zone_columns, horizon, history=WEEK).where(F.col("hour_ahead") > 0)
+    scored = model.transform(_features(ahead))
     return scored.select(
         *zone_columns,
         "hour_ahead",
@@ -126,9 +143,9 @@ def backtest(demand: DataFrame, zone_columns=(), hours: int = WEEK) -> DataFrame
     The model is fitted on the hours before; each test hour uses counts at least
     a day old, as a forecast would.
     """
-    rows = with_lags(demand, zone_columns, horizon=0)
-    cut = F.col("hour_ahead") > -hours
-    scored = fit(rows.where(~cut)).transform(rows.where(cut))
+    model = fit(with_lags(demand, zone_columns, horizon=0).where(F.col("hour_ahead") <= -hours))
+    tested = with_lags(demand, zone_columns, 0, history=hours + WEEK).where(F.col("hour_ahead") > -hours)
+    scored = model.transform(_features(tested))
     actual, predicted = F.col("trip_count"), F.greatest("prediction", F.lit(0.0))
     return scored.agg(
         F.avg(F.abs(actual - predicted)).alias("model_mae"),

@@ -14,7 +14,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from curbline.functions import columns as C
 from curbline.functions import filters
-from curbline.operators.sampling import SEED, TRAIN_SHARE, bernoulli, hash_split
+from curbline.operators.sampling import SEED, TRAIN_SHARE, bernoulli, hash_split, spread
 from curbline.sources import storage
 
 log = logging.getLogger(__name__)
@@ -120,29 +120,39 @@ def regression_metrics(scored: DataFrame, label: str = LABEL, prediction: str =
     )
 
 
-def train(trips: DataFrame, name: str = "random_forest", fraction: float | None = None, **params) -> FareModel:
+def train(
+    trips: DataFrame,
+    name: str = "random_forest",
+    fraction: float | None = None,
+    partitions: int | None = None,
+    **params,
+) -> FareModel:
     """Fit one model on 80 % of the trips and measure it on the other 20 %.
 
     All trips are used unless ``fraction`` asks for a sample
-    (``sampling.training_fraction`` gives the customary one). Returns the fitted
-    model with its hold-out metrics; only these four numbers reach the driver.
+    (``sampling.training_fraction`` gives the customary one). ``partitions``
+    spreads the rows over that many tasks before the many passes of a fit.
+    Returns the fitted model with its hold-out metrics; only these numbers reach
+    the driver.
     """
     name = canonical(name)
     rows = fare_features(trips)
     if fraction is not None:
         rows = bernoulli(rows, fraction)
     fit_rows, test_rows = hash_split(rows, [*FEATURES, LABEL], TRAIN_SHARE)
-    model = _pipeline(name, **params).fit(fit_rows)
+    model = _pipeline(name, **params).fit(spread(fit_rows, partitions))
     m = regression_metrics(model.transform(test_rows)).first()
     return FareModel(name, model, m["rmse"], m["mae"], m["r2"], fit_rows.count(), m["rows"])
 
 
-def train_all(trips: DataFrame, fraction: float | None = None, **params_by_model) -> dict[str, FareModel]:
+def train_all(
+    trips: DataFrame, fraction: float | None = None, partitions: int | None = None, **params_by_model
+) -> dict[str, FareModel]:
     """Train every kind; one that fails is reported in the log and left out."""
     trained = {}
     for name in MODEL_FOLDERS:
         try:
-            trained[name] = train(trips, name, fraction, **params_by_model.get(name, {}))
+            trained[name] = train(trips, name, fraction, partitions, **params_by_model.get(name, {}))
         except Exception:  # a failing model must not stop the others
             log.exception("training %s failed", name)
     return trained

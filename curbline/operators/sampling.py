@@ -56,3 +56,8 @@ def hash_split(df: DataFrame, key_columns, share: float = TRAIN_SHARE, seed: int
     slot = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_columns]), F.lit(1_000_000))
     cut = F.lit(int(round(share * 1_000_000)))
     return df.where(slot < cut), df.where(slot >= cut)
+
+
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Rows dealt out over that many tasks, for iterative fits on few large files."""
+    return df if partitions is None else df.repartition(partitions)

@@ -30,7 +30,7 @@ from curbline.operators import (
 from curbline.plans import incremental, state
 from curbline.plans import tables as T
 from curbline.plans.store import TripStore
-from curbline.session import shared_dir
+from curbline.session import settled, shared_dir
 from curbline.sources import trips as source
 from curbline.streaming import arrivals
 from driver_tables.trips_view import KEEP_SQL, RAW_SQL, ROW_KEY, TRIPS_SQL, raw_trips, table, trips
@@ -888,7 +888,7 @@ ORDER BY trip_count DESC, {", ".join("zn." + c for c in T.ZONE_KEYS)}, s.pickup_
 )
 def _(spark, d):
     t = trips(spark, d)
-    return demand.hot_zones(T.geospatial_zone_stats(t), demand.demand_surge(T.temporal_hourly_stats(t)))
+    return demand.hot_zones(T.geospatial_zone_stats(t), settled(demand.demand_surge(T.temporal_hourly_stats(t))))
 
 
 @query(
@@ -950,7 +950,7 @@ _ANOMALY_KEYS = "pickup_year, pickup_month, pickup_day_of_week, pickup_hour"
     + _robust_sql("a", anomalies.DEMAND_FEATURES, f"{_ANOMALY_KEYS}, trip_count, round(avg_fare + 1e-7, 4) AS avg_fare"),
 )
 def _(spark, d):
-    hourly = T.temporal_hourly_stats(trips(spark, d))
+    hourly = settled(T.temporal_hourly_stats(trips(spark, d)))
     return anomalies.demand_anomalies(hourly).select(*T.HOURLY_KEYS, "trip_count", "avg_fare", "score")
 
 
@@ -966,7 +966,7 @@ def _(spark, d):
     ),
 )
 def _(spark, d):
-    routes = T.route_pairs_top(trips(spark, d), min_trips=SLOW_ROUTE_TRIPS)
+    routes = settled(T.route_pairs_top(trips(spark, d), min_trips=SLOW_ROUTE_TRIPS))
     return anomalies.route_anomalies(routes).select(
         *T.ROUTE_MONTH_KEYS, "trip_count", "avg_distance", "avg_duration", "score"
     )
@@ -974,7 +974,7 @@ def _(spark, d):
 
 @query("anomalies_hourly_forest")
 def _(spark, d):
-    hourly = T.temporal_hourly_stats(trips(spark, d))
+    hourly = settled(T.temporal_hourly_stats(trips(spark, d)))
     return anomalies.demand_anomalies(hourly, method="forest").select(*T.HOURLY_KEYS, "trip_count", "avg_fare", "score")
 
 
@@ -983,8 +983,15 @@ def _(spark, d):
 _COARSE_ZONE = ["zone_lat", "zone_lon"]
 
 
-def _coarse_zones(t: DataFrame) -> DataFrame:
-    return t.withColumns({"zone_lat": C.grid("pickup_latitude", 1), "zone_lon": C.grid("pickup_longitude", 1)})
+def _zone_series(spark, d) -> DataFrame:
+    zoned = trips(spark, d).withColumns(
+        {"zone_lat": C.grid("pickup_latitude", 1), "zone_lon": C.grid("pickup_longitude", 1)}
+    )
+    return settled(forecast.hourly_demand(zoned, _COARSE_ZONE))
+
+
+def _city_series(spark, d) -> DataFrame:
+    return settled(forecast.hourly_demand(trips(spark, d)))
 
 
 def _naive_sql(demand_cte: str, zones: str) -> str:
@@ -1010,8 +1017,7 @@ FROM s LEFT JOIN dm ON {match}"""
     ),
 )
 def _(spark, d):
-    series = forecast.hourly_demand(_coarse_zones(trips(spark, d)), _COARSE_ZONE)
-    return forecast.seasonal_naive_forecast(series, _COARSE_ZONE)
+    return forecast.seasonal_naive_forecast(_zone_series(spark, d), _COARSE_ZONE)
 
 
 @query(
@@ -1022,7 +1028,7 @@ def _(spark, d):
     base=None,
 )
 def _(spark, d):
-    return forecast.seasonal_naive_forecast(forecast.hourly_demand(table(spark, d, "events"), ts="ts"))
+    return forecast.seasonal_naive_forecast(settled(forecast.hourly_demand(table(spark, d, "events"), ts="ts")))
 
 
 @query(
@@ -1034,36 +1040,40 @@ SELECT """
     + """, coalesce(dm.trip_count, 0) AS trip_count FROM s LEFT JOIN dm ON dm.hour_start = s.hour_start""",
 )
 def _(spark, d):
-    return forecast.recent_demand(forecast.hourly_demand(trips(spark, d)))
+    return forecast.recent_demand(_city_series(spark, d))
 
 
 @query("demand_forecast")
 def _(spark, d):
-    return forecast.demand_forecast(forecast.hourly_demand(trips(spark, d)))
+    return forecast.demand_forecast(_city_series(spark, d))
 
 
 @query("demand_forecast_by_zone")
 def _(spark, d):
-    series = forecast.hourly_demand(_coarse_zones(trips(spark, d)), _COARSE_ZONE)
-    return forecast.demand_forecast(series, _COARSE_ZONE)
+    return forecast.demand_forecast(_zone_series(spark, d), _COARSE_ZONE)
 
 
 @query("forecast_backtest")
 def _(spark, d):
-    return forecast.backtest(forecast.hourly_demand(trips(spark, d)))
+    return forecast.backtest(_city_series(spark, d))
 
 
 # ---- clusters and models --------------------------------------------------------------
 
 
+def _cores(spark) -> int:
+    """The test tables are one file each; iterative fits are spread over all cores."""
+    return spark.sparkContext.defaultParallelism
+
+
 @query("spatial_clusters")
 def _(spark, d):
-    return clusters.spatial_clusters(trips(spark, d))
+    return clusters.spatial_clusters(trips(spark, d), partitions=_cores(spark))
 
 
 @query("trip_segments")
 def _(spark, d):
-    return clusters.trip_segments(trips(spark, d))
+    return clusters.trip_segments(trips(spark, d), partitions=_cores(spark))
 
 
 @query(
@@ -1084,22 +1094,22 @@ def _(spark, d):
 
 @query("fare_model_random_forest")
 def _(spark, d):
-    return models.metrics_frame(spark, {"m": models.train(trips(spark, d), "random_forest")})
+    return models.metrics_frame(spark, {"m": models.train(trips(spark, d), "random_forest", partitions=_cores(spark))})
 
 
 @query("fare_model_gbt")
 def _(spark, d):
-    return models.metrics_frame(spark, {"m": models.train(trips(spark, d), "gbt")})
+    return models.metrics_frame(spark, {"m": models.train(trips(spark, d), "gbt", partitions=_cores(spark))})
 
 
 @query("fare_model_linear")
 def _(spark, d):
-    return models.metrics_frame(spark, {"m": models.train(trips(spark, d), "linear_regression")})
+    return models.metrics_frame(spark, {"m": models.train(trips(spark, d), "linear_regression", partitions=_cores(spark))})
 
 
 @query("feature_importance")
 def _(spark, d):
-    return models.feature_importance(spark, models.train(trips(spark, d), "linear_regression").model)
+    return models.feature_importance(spark, models.train(trips(spark, d), "linear_regression", partitions=_cores(spark)).model)
 
 
 @query("fare_scores")
@@ -1107,7 +1117,7 @@ def _(spark, d):
     """Fares predicted for every trip by a saved and reloaded model, averaged per hour."""
     t = trips(spark, d)
     folder = shared_dir(spark, "models")
-    models.save(models.train(t, "linear_regression"), folder)
+    models.save(models.train(t, "linear_regression", partitions=_cores(spark)), folder)
     scored = models.score_fares(t, models.load(spark, folder))
     return scored.groupBy("pickup_hour").agg(
         F.count(F.lit(1)).alias("trip_count"),
