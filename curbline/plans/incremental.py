@@ -60,17 +60,27 @@ def _as_json_set(*columns: str) -> Column:
     return F.to_json(F.collect_set(F.struct(*columns)))
 
 
+def _noted(observation: Observation) -> list | None:
+    """What ``_as_json_set`` saw; None if the observed step turned out empty and
+    adaptive execution dropped it together with its notes."""
+    row = observation._jo.getRow()
+    return json.loads(row.getString(0)) if row.length() else None
+
+
 def _write_loads(store: TripStore, raw: DataFrame) -> tuple[set, set]:
     """One pass: write the cleaned rows and note which partitions they fell into.
 
     The notes are sets, so a repeated task does not change them.
     """
     loads, parts = Observation(), Observation()
-    raw = raw.observe(loads, _as_json_set("load_id").alias("seen"))
-    rows = source.cleaned_rows(raw).observe(parts, _as_json_set(*source.LOAD_PARTITIONS).alias("seen"))
+    noting = raw.observe(loads, _as_json_set("load_id").alias("seen"))
+    rows = source.cleaned_rows(noting).observe(parts, _as_json_set(*source.LOAD_PARTITIONS).alias("seen"))
     source.write_partitioned(rows, store.cleaned_path, source.LOAD_PARTITIONS, dynamic=True)
-    written = {(p["year"], p["month"], p["load_id"]) for p in json.loads(parts.get["seen"])}
-    return written, {p["load_id"] for p in json.loads(loads.get["seen"])}
+    written = {(p["year"], p["month"], p["load_id"]) for p in _noted(parts) or []}
+    seen = _noted(loads)
+    if seen is None:  # not one usable row, so this pass is over files of rejects only
+        seen = [row.asDict() for row in raw.select("load_id").distinct().collect()]
+    return written, {p["load_id"] for p in seen}
 
 
 def _stale_partitions(spark: SparkSession, store: TripStore, load_ids: set, written: set) -> set:
@@ -107,7 +117,7 @@ def refresh(spark: SparkSession, store: TripStore, months, without=()) -> None:
         filled = Observation()
         rows = state.STATES[name](trips).observe(filled, _as_json_set(*state.MONTH).alias("seen"))
         source.write_partitioned(rows, store.state_path(name), state.MONTH, dynamic=True)
-        kept = {(p["year"], p["month"]) for p in json.loads(filled.get["seen"])}
+        kept = {(p["year"], p["month"]) for p in _noted(filled) or []}
         for y, m in set(months) - kept:
             storage.drop_folder(spark, storage.partition_folder(spark, store.state_path(name), year=y, month=m))
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from curbline.plans import state
 from curbline.plans import tables as T
+from curbline.schema import CLEANED_SCHEMA
 from curbline.sources import trips as source
 
 
@@ -26,7 +27,10 @@ class TripStore:
         return source.read_cleaned(spark, self.cleaned_path)
 
     def state(self, spark: SparkSession, name: str) -> DataFrame:
-        return spark.read.parquet(self.state_path(name))
+        """Stored state. Its schema is that of its builder, so a state that holds no
+        row yet (no airport trip, say) can be read too."""
+        empty = spark.createDataFrame([], CLEANED_SCHEMA)
+        return spark.read.schema(state.STATES[name](empty).schema).parquet(self.state_path(name))
 
     def table(self, spark: SparkSession, name: str, route_min_trips: int = T.MIN_ROUTE_TRIPS) -> DataFrame:
         """One of the seven aggregate tables, rolled up from state."""
