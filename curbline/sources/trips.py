@@ -43,15 +43,18 @@ def _with_month(trips: DataFrame) -> DataFrame:
     return trips.withColumns({"year": F.year(C.PICKUP), "month": F.month(C.PICKUP)})
 
 
-def write_partitioned(df: DataFrame, path: str, partition_by, dynamic: bool = False) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, partition_by, dynamic: bool = False, gather: bool = True
+) -> None:
     """Parquet, one folder per partition value, at most 500k rows per file.
 
-    ``rebalance`` brings a partition's rows together so files are not tiny, and
-    lets adaptive execution split a partition that is too big for one task, such
-    as a month holding a third of all trips.
+    Gathering brings a partition's rows together so files are not tiny; the
+    ``rebalance`` hint lets adaptive execution split a partition that is too big
+    for one task, such as a month holding a third of all trips. Without it every
+    task writes what it read, and nothing is shuffled.
     """
     writer = (
-        df.hint("rebalance", *partition_by)
+        (df.hint("rebalance", *partition_by) if gather else df)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .option("compression", "snappy")
@@ -62,9 +65,13 @@ def write_partitioned(df: DataFrame, path: str, partition_by, dynamic: bool = Fa
 
 
 def ingest_csv(spark: SparkSession, csv_path, output_path: str, partition_by=("year", "month")) -> DataFrame:
-    """CSV to partitioned Parquet; returns the written dataset."""
+    """CSV to partitioned Parquet; returns the written dataset.
+
+    Vendor files hold a month each, so tasks see one or two months and write them
+    without a shuffle.
+    """
     rows = _with_month(with_load_id(read_csv(spark, csv_path)))
-    write_partitioned(rows, output_path, list(partition_by))
+    write_partitioned(rows, output_path, list(partition_by), gather=False)
     return spark.read.parquet(output_path)
 
 

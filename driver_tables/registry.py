@@ -25,6 +25,7 @@ from curbline.operators import (
     forecast,
     geo,
     models,
+    sampling,
     temporal,
 )
 from curbline.plans import incremental, state
@@ -1061,19 +1062,23 @@ def _(spark, d):
 # ---- clusters and models --------------------------------------------------------------
 
 
-def _cores(spark) -> int:
-    """The test tables are one file each; iterative fits are spread over all cores."""
-    return spark.sparkContext.defaultParallelism
+def _learning_trips(spark, d) -> DataFrame:
+    """Cleaned trips as a stored table, as a fit over many passes would find them.
+
+    The test tables are one file each, so the copy is dealt out over all cores.
+    """
+    columns = dict.fromkeys([*models.FEATURES, models.LABEL, C.PICKUP, "trip_duration_minutes"])
+    return settled(sampling.spread(trips(spark, d).select(*columns), spark.sparkContext.defaultParallelism))
 
 
 @query("spatial_clusters")
 def _(spark, d):
-    return clusters.spatial_clusters(trips(spark, d), partitions=_cores(spark))
+    return clusters.spatial_clusters(_learning_trips(spark, d))
 
 
 @query("trip_segments")
 def _(spark, d):
-    return clusters.trip_segments(trips(spark, d), partitions=_cores(spark))
+    return clusters.trip_segments(_learning_trips(spark, d))
 
 
 @query(
@@ -1089,35 +1094,35 @@ def _(spark, d):
 
 @query("customer_segments")
 def _(spark, d):
-    return clusters.customer_segments(clusters.segment_inputs(trips(spark, d)))
+    return clusters.customer_segments(settled(clusters.segment_inputs(trips(spark, d))))
 
 
 @query("fare_model_random_forest")
 def _(spark, d):
-    return models.metrics_frame(spark, {"m": models.train(trips(spark, d), "random_forest", partitions=_cores(spark))})
+    return models.metrics_frame(spark, {"m": models.train(_learning_trips(spark, d), "random_forest")})
 
 
 @query("fare_model_gbt")
 def _(spark, d):
-    return models.metrics_frame(spark, {"m": models.train(trips(spark, d), "gbt", partitions=_cores(spark))})
+    return models.metrics_frame(spark, {"m": models.train(_learning_trips(spark, d), "gbt")})
 
 
 @query("fare_model_linear")
 def _(spark, d):
-    return models.metrics_frame(spark, {"m": models.train(trips(spark, d), "linear_regression", partitions=_cores(spark))})
+    return models.metrics_frame(spark, {"m": models.train(_learning_trips(spark, d), "linear_regression")})
 
 
 @query("feature_importance")
 def _(spark, d):
-    return models.feature_importance(spark, models.train(trips(spark, d), "linear_regression", partitions=_cores(spark)).model)
+    return models.feature_importance(spark, models.train(_learning_trips(spark, d), "linear_regression").model)
 
 
 @query("fare_scores")
 def _(spark, d):
     """Fares predicted for every trip by a saved and reloaded model, averaged per hour."""
-    t = trips(spark, d)
+    t = _learning_trips(spark, d)
     folder = shared_dir(spark, "models")
-    models.save(models.train(t, "linear_regression", partitions=_cores(spark)), folder)
+    models.save(models.train(t, "linear_regression"), folder)
     scored = models.score_fares(t, models.load(spark, folder))
     return scored.groupBy("pickup_hour").agg(
         F.count(F.lit(1)).alias("trip_count"),
