@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from curbline import schema as S
 from curbline.functions import columns as C
+from curbline.functions import filters
 from curbline.functions.airports import airport_named, in_box
 from curbline.functions.rollup import mean_of, trips_in
 
@@ -71,12 +72,12 @@ def spatial_density(
     )
 
 
-def zone_query(zones: DataFrame, year: int, month: int, hour_bucket: str | None = None, min_trips: int = 10) -> DataFrame:
-    """Rows of the zone table for one month."""
-    wanted = (F.col("pickup_year") == int(year)) & (F.col("pickup_month") == int(month))
-    if hour_bucket is not None:
-        wanted = wanted & (F.col("hour_bucket") == hour_bucket)
-    return zones.where(wanted & (F.col("trip_count") >= int(min_trips)))
+def zone_query(
+    zones: DataFrame, year: int, month: int, hour_bucket: str | None = None, min_trips: int = 10
+) -> DataFrame:
+    """Rows of the zone table (or state) for one month."""
+    zones = filters.calendar(zones, year, month).where(F.col("trip_count") >= int(min_trips))
+    return zones if hour_bucket is None else zones.where(F.col("hour_bucket") == hour_bucket)
 
 
 def _airport_measures(trips: DataFrame, airports, half_width, city_row: bool) -> DataFrame:

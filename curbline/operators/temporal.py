@@ -114,11 +114,8 @@ def fare_trends(df: DataFrame, group_by: str = "month", year=None) -> DataFrame:
 
 
 def hourly_slots(hourly: DataFrame, year=None, month=None, day_of_week=None, hour=None) -> DataFrame:
-    """Rows of the ``temporal_hourly_stats`` table that match the filters."""
-    for column, wanted in (("pickup_year", year), ("pickup_month", month)):
-        if wanted is not None:
-            hourly = hourly.where(F.col(column) == int(wanted))
-    return filters.calendar(hourly, day_of_week=day_of_week, hour=hour)
+    """Rows of the ``temporal_hourly_stats`` table (or state) that match the filters."""
+    return filters.calendar(hourly, year, month, day_of_week, hour)
 
 
 def daily_counts(df: DataFrame, ts: str = C.PICKUP, start=None, end=None) -> DataFrame:

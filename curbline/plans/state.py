@@ -218,17 +218,16 @@ def summary_from_state(months: DataFrame) -> DataFrame:
     return T.with_summary_ratios(row)
 
 
-def final_tables(states: dict[str, DataFrame], route_min_trips: int = T.MIN_ROUTE_TRIPS) -> dict[str, DataFrame]:
-    """The seven tables of ``plans.tables``, from stored states."""
-    return {
-        "temporal_hourly_stats": states["hourly"].drop(*MONTH),
-        "geospatial_zone_stats": states["zones"].drop(*MONTH),
-        "route_pairs_top": routes_from_state(states["routes"], route_min_trips),
-        "economic_fare_analysis": fares_from_state(states["fares"]),
-        "tip_behavior_analysis": tips_from_state(states["tips"], states["tip_values"]),
-        "airport_analysis": states["airports"].drop(*MONTH),
-        "summary_stats": summary_from_state(states["summary"]),
-    }
+# name -> table, given a way to get a state by name and the route threshold
+FINAL_TABLES = {
+    "temporal_hourly_stats": lambda get, _: get("hourly").drop(*MONTH),
+    "geospatial_zone_stats": lambda get, _: get("zones").drop(*MONTH),
+    "route_pairs_top": lambda get, min_trips: routes_from_state(get("routes"), min_trips),
+    "economic_fare_analysis": lambda get, _: fares_from_state(get("fares")),
+    "tip_behavior_analysis": lambda get, _: tips_from_state(get("tips"), get("tip_values")),
+    "airport_analysis": lambda get, _: get("airports").drop(*MONTH),
+    "summary_stats": lambda get, _: summary_from_state(get("summary")),
+}
 
 
 # ---- economic questions answered from the fare state ----------------------------

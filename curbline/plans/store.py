@@ -28,14 +28,18 @@ class TripStore:
 
     def state(self, spark: SparkSession, name: str) -> DataFrame:
         """Stored state. Its schema is that of its builder, so a state that holds no
-        row yet (no airport trip, say) can be read too."""
+        row yet (no airport trip, say) can be read too.
+
+        The hourly, zone, route and airport states are the tables of the same kind
+        plus ``year`` and ``month``, on which filters prune folders; give these to
+        the query operators.
+        """
         empty = spark.createDataFrame([], CLEANED_SCHEMA)
         return spark.read.schema(state.STATES[name](empty).schema).parquet(self.state_path(name))
 
     def table(self, spark: SparkSession, name: str, route_min_trips: int = T.MIN_ROUTE_TRIPS) -> DataFrame:
-        """One of the seven aggregate tables, rolled up from state."""
-        return self.tables(spark, route_min_trips)[name]
+        """One of the seven aggregate tables, rolled up from the state it needs."""
+        return state.FINAL_TABLES[name](lambda s: self.state(spark, s), route_min_trips)
 
     def tables(self, spark: SparkSession, route_min_trips: int = T.MIN_ROUTE_TRIPS) -> dict[str, DataFrame]:
-        states = {name: self.state(spark, name) for name in state.STATES}
-        return state.final_tables(states, route_min_trips)
+        return {name: self.table(spark, name, route_min_trips) for name in state.FINAL_TABLES}

@@ -169,6 +169,19 @@ def _(spark, d):
     return source.load_report(stored).join(money, ["year", "month"])
 
 
+@query("json_results", "\nSELECT pickup_hour AS hour, count(*) AS trip_count FROM trips GROUP BY 1")
+def _(spark, d):
+    """A result set through the JSON sink and back."""
+    paths = source.write_results({"trips_by_hour": temporal.trips_by_hour(trips(spark, d))}, shared_dir(spark, "results"))
+    return spark.read.schema("hour int, trip_count long").json(paths["trips_by_hour"])
+
+
+@query("policy_sample")
+def _(spark, d):
+    """Trips per month in the sample the policy keeps for charts."""
+    return clean.rows_per_month(sampling.policy_sample(trips(spark, d), "viz"))
+
+
 # ---- temporal -----------------------------------------------------------------------
 
 _HOURLY_SQL = f"""
