@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import json
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -92,8 +91,14 @@ def _stale_partitions(spark: SparkSession, store: TripStore, load_ids: set, writ
     return {(r["year"], r["month"], r["load_id"]) for r in rows} - written
 
 
-def _any_of(conditions) -> Column:
-    return reduce(Column.__or__, conditions, F.lit(False))
+def _month_in(months) -> Column:
+    """Flat test on the partition columns, so that it prunes folders."""
+    return (F.col("year") * 100 + F.col("month")).isin(*[y * 100 + m for y, m in months])
+
+
+def _partition_in(partitions) -> Column:
+    named = F.concat_ws("/", *[F.col(c).cast("string") for c in source.LOAD_PARTITIONS])
+    return named.isin(*[f"{y}/{m}/{load}" for y, m, load in partitions])
 
 
 def refresh(spark: SparkSession, store: TripStore, months, without=()) -> None:
@@ -105,13 +110,9 @@ def refresh(spark: SparkSession, store: TripStore, months, without=()) -> None:
     months = list(months)
     if not months:
         return
-    wanted = _any_of((F.col("year") == y) & (F.col("month") == m) for y, m in months)
-    trips = store.cleaned(spark).where(wanted)
+    trips = store.cleaned(spark).where(_month_in(months))
     if without:
-        gone = _any_of(
-            (F.col("year") == y) & (F.col("month") == m) & (F.col("load_id") == load) for y, m, load in without
-        )
-        trips = trips.where(~gone)
+        trips = trips.where(~_partition_in(without))
 
     def rebuild(name: str) -> None:
         filled = Observation()

@@ -35,7 +35,8 @@ def stream_csv(spark: SparkSession, folder: str, files_per_batch: int | None = N
 
 
 def with_load_id(scanned: DataFrame) -> DataFrame:
-    """Name the file each row came from; only valid directly on a file scan."""
+    """Name the file each row came from (URL-encoded, as Spark reports it); only
+    valid directly on a file scan."""
     return scanned.select(*scanned.columns, F.col("_metadata.file_name").alias("load_id"))
 
 

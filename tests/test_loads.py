@@ -150,6 +150,13 @@ def test_reload_correction_and_emptied_month(spark, drops, tmp_path):
     incremental.load_csv(spark, store, str(fixed / "2015-02.csv"))
     assert_tables_equal_direct(spark, store, DROPS["2015-01.csv"] + DROPS["2016-01.csv"][:30])
 
+    # odd file names are load names like any other
+    write_csv(fixed / "a b=50%.csv", monthly(2016, 5, 9))
+    incremental.load_csv(spark, store, str(fixed / "a b=50%.csv"))
+    write_csv(fixed / "a b=50%.csv", [])
+    touched = incremental.load_csv(spark, store, str(fixed / "a b=50%.csv"))
+    assert rows(touched) == [(2016, 5)]
+
     # and so does one without any line
     write_csv(fixed / "2016-01.csv", [])
     incremental.load_csv(spark, store, str(fixed / "2016-01.csv"))
