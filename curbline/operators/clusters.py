@@ -74,22 +74,27 @@ def trip_segments(
     return stats.orderBy("segment")
 
 
-def segment_inputs(trips: DataFrame) -> DataFrame:
-    """Fare groups joined with the tip behaviour of the same payment type, hour and
-    distance bucket.
+def join_segments(fares: DataFrame, tips: DataFrame) -> DataFrame:
+    """Fare groups with the tip rates of the same payment type, hour and distance bucket.
 
-    Both sides use the five-way buckets, and the tip side has one row per join
-    key, so that no fare group (and its revenue) is repeated. A fare group
-    without tip figures gets 0.
+    The tip side has one row per join key, so that no fare group (and its revenue)
+    is repeated. A fare group without tip figures gets 0.
     """
-    fares = T.economic_fare_analysis(trips)
+    rates = tips.select(*SEGMENT_KEYS, "high_tipper_rate", "no_tip_rate")
+    return fares.join(rates, SEGMENT_KEYS, "left").fillna(0.0, subset=SEGMENT_FEATURES)
+
+
+def segment_inputs(trips: DataFrame) -> DataFrame:
+    """``join_segments`` from trips, both sides on the five-way distance buckets."""
     tips = T.tip_behavior_rates(trips, SEGMENT_KEYS, S.DISTANCE_5WAY)
-    joined = fares.join(tips.select(*SEGMENT_KEYS, "high_tipper_rate", "no_tip_rate"), SEGMENT_KEYS, "left")
-    return joined.fillna(0.0, subset=SEGMENT_FEATURES)
+    return join_segments(T.economic_fare_analysis(trips), tips)
 
 
 def customer_segments(inputs: DataFrame, k: int = 4, seed: int = SEED) -> DataFrame:
-    """k-means (standardised) over ``segment_inputs``; means and revenue per segment."""
+    """k-means (standardised) over ``segment_inputs``; means and revenue per segment.
+
+    The inputs are read several times; give them stored or from stored state.
+    """
     labelled = _assigned(inputs, SEGMENT_FEATURES, k, "segment", True, seed)
     stats = labelled.groupBy("segment").agg(
         *[F.avg(c).alias(c) for c in SEGMENT_FEATURES if c != "total_revenue"],

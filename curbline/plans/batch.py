@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from curbline.operators import anomalies, clusters, demand, economic, forecast, geo, models, temporal
 from curbline.operators.sampling import SEED, bernoulli
-from curbline.plans import incremental
+from curbline.plans import incremental, state
 from curbline.plans.store import TripStore
 from curbline.session import settled
 from curbline.sources import storage
@@ -53,25 +53,41 @@ def economic_results(trips: DataFrame) -> dict[str, DataFrame]:
 
 
 def advanced_results(
-    tables: dict[str, DataFrame], trips: DataFrame, route_min_trips: int = 200
+    tables: dict[str, DataFrame],
+    trips: DataFrame,
+    segment_rows: DataFrame | None = None,
+    route_min_trips: int = 200,
 ) -> dict[str, DataFrame]:
-    """The six further analyses, by name, from the aggregate tables."""
+    """The six further analyses, by name, from the aggregate tables.
+
+    Only the hourly series is taken from trips (and the customer segments, unless
+    ``segment_rows`` brings them).
+    """
     hourly, routes = tables["temporal_hourly_stats"], tables["route_pairs_top"]
     surge = demand.demand_surge(hourly)
     series = settled(forecast.hourly_demand(trips), "demand")
+    segment_rows = clusters.segment_inputs(trips) if segment_rows is None else segment_rows
     return {
         "demand_forecast": forecast.demand_forecast(series),
         "demand_history": forecast.recent_demand(series),
         "route_optimization": demand.inefficient_routes(routes, above=route_min_trips),
         "surge_hours": surge,
         "surge_zones": demand.hot_zones(tables["geospatial_zone_stats"], surge),
-        "customer_segments": clusters.customer_segments(clusters.segment_inputs(trips)),
+        "customer_segments": clusters.customer_segments(settled(segment_rows, "segments")),
         "revenue_optimization": demand.revenue_windows(tables["economic_fare_analysis"]),
         "demand_anomalies": anomalies.demand_anomalies(hourly),
         "route_anomalies": anomalies.route_anomalies(routes),
     }
 
 
+def run_advanced(spark: SparkSession, store: TripStore, route_min_trips: int = 200) -> dict[str, DataFrame]:
+    """The further analyses of a store, also written as JSON under ``root/results``."""
+    segments = state.segment_inputs(store.state(spark, "fares"), store.state(spark, "tips"))
+    results = advanced_results(store.tables(spark), store.cleaned(spark), segments, route_min_trips)
+    source.write_results(results, f"{store.root.rstrip('/')}/results")
+    return results
+
+
 def run_batch(
     spark: SparkSession,
     input_dir: str,

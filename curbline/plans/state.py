@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from curbline import schema as S
 from curbline.functions import columns as C
 from curbline.functions.rollup import percent_of
-from curbline.operators import economic
+from curbline.operators import clusters, economic
 from curbline.plans import tables as T
 
 MONTH = ["year", "month"]
@@ -163,29 +163,39 @@ def weighted_quantile(counts: DataFrame, keys: list[str], value: str, n: str, p:
     return placed.groupBy(*keys).agg(F.min(reached).alias(name))
 
 
-def tips_from_state(tips: DataFrame, values: DataFrame) -> DataFrame:
-    rolled = tips.groupBy(
-        *T.TIP_KEYS[:2],
-        C.band_bucket("distance_band", S.DISTANCE_3WAY).alias("distance_bucket"),
-        "passenger_count",
-    ).agg(*[F.sum(c).alias(c) for c in ("n", "sum_tip", "sum_fare", "high_tips", "no_tips")])
-    counts = values.groupBy(*T.TIP_KEYS, "tip_amount").agg(F.sum("n").alias("n"))
-    medians = weighted_quantile(counts, T.TIP_KEYS, "tip_amount", "n", 0.5, "median_tip")
-    # the same grouping key on both sides; null-safe, as groups are
-    m = medians.toDF(*[f"m_{c}" for c in T.TIP_KEYS], "median_tip")
-    same = [F.col(c).eqNullSafe(F.col(f"m_{c}")) for c in T.TIP_KEYS]
+def _rolled_tips(tips: DataFrame, keys, scheme) -> DataFrame:
+    """Tip rates on some of the tip keys and any distance scheme."""
+    bucket = C.band_bucket("distance_band", scheme).alias("distance_bucket")
+    sums = tips.groupBy(*[bucket if k == "distance_bucket" else F.col(k) for k in keys]).agg(
+        *[F.sum(c).alias(c) for c in ("n", "sum_tip", "sum_fare", "high_tips", "no_tips")]
+    )
     n = F.col("n")
-    return rolled.join(m, same, "left").select(
-        *T.TIP_KEYS,
+    return sums.select(
+        *keys,
         n.alias("trip_count"),
         (F.col("sum_tip") / n).alias("avg_tip"),
-        "median_tip",
         percent_of(F.col("sum_tip"), F.col("sum_fare")).alias("tip_percentage"),
         percent_of(F.col("high_tips"), n).alias("high_tipper_rate"),
         percent_of(F.col("no_tips"), n).alias("no_tip_rate"),
     )
 
 
+def tips_from_state(tips: DataFrame, values: DataFrame) -> DataFrame:
+    counts = values.groupBy(*T.TIP_KEYS, "tip_amount").agg(F.sum("n").alias("n"))
+    medians = weighted_quantile(counts, T.TIP_KEYS, "tip_amount", "n", 0.5, "median_tip")
+    # the same grouping key on both sides; null-safe, as groups are
+    m = medians.toDF(*[f"m_{c}" for c in T.TIP_KEYS], "median_tip")
+    same = [F.col(c).eqNullSafe(F.col(f"m_{c}")) for c in T.TIP_KEYS]
+    joined = _rolled_tips(tips, T.TIP_KEYS, S.DISTANCE_3WAY).join(m, same, "left")
+    return joined.drop(*[f"m_{c}" for c in T.TIP_KEYS])
+
+
+def segment_inputs(fares: DataFrame, tips: DataFrame) -> DataFrame:
+    """``clusters.segment_inputs`` without reading a trip."""
+    rates = _rolled_tips(tips, clusters.SEGMENT_KEYS, S.DISTANCE_5WAY)
+    return clusters.join_segments(fares_from_state(fares), rates)
+
+
 def summary_from_state(months: DataFrame) -> DataFrame:
     """Merge per-month moments: one row per month goes through the window."""
     everything = Window.partitionBy()

@@ -1094,17 +1094,23 @@ def _(spark, d):
     return clusters.trip_segments(_learning_trips(spark, d))
 
 
-@query(
-    "segment_inputs",
-    f""", f AS ({_FARES_SQL}), tp AS ({_tips_sql("payment_type, pickup_hour, {bucket}", S.DISTANCE_5WAY, False)})
+_SEGMENTS_SQL = f""", f AS ({_FARES_SQL}), tp AS ({_tips_sql("payment_type, pickup_hour, {bucket}", S.DISTANCE_5WAY, False)})
 SELECT f.*, coalesce(tp.high_tipper_rate, 0.0) AS high_tipper_rate, coalesce(tp.no_tip_rate, 0.0) AS no_tip_rate
 FROM f LEFT JOIN tp ON f.payment_type = tp.payment_type AND f.pickup_hour = tp.pickup_hour
-  AND f.distance_bucket = tp.distance_bucket""",
-)
+  AND f.distance_bucket = tp.distance_bucket"""
+
+
+@query("segment_inputs", _SEGMENTS_SQL)
 def _(spark, d):
     return clusters.segment_inputs(trips(spark, d))
 
 
+@query("segment_inputs_rollup", _SEGMENTS_SQL)
+def _(spark, d):
+    t = trips(spark, d)
+    return state.segment_inputs(state.fare_state(t), state.tip_state(t))
+
+
 @query("customer_segments")
 def _(spark, d):
     return clusters.customer_segments(settled(clusters.segment_inputs(trips(spark, d))))

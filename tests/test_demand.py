@@ -156,18 +156,3 @@ def test_backtest_beats_naive_on_a_noisy_series(spark):
     frame = spark.createDataFrame(data, "hour_start timestamp, trip_count long")
     r = forecast.backtest(frame).first()
     assert r["test_hours"] == 168 and r["model_mae"] < r["naive_mae"]
-
-
-def test_all_further_analyses_by_name(spark, small_trips):
-    from curbline.plans import batch
-
-    tables = {name: build(small_trips) for name, build in T.BUILDERS.items()}
-    tables["route_pairs_top"] = T.route_pairs_top(small_trips, min_trips=1)
-    tables = {n: tables[n] for n in ("temporal_hourly_stats", "route_pairs_top", "geospatial_zone_stats", "economic_fare_analysis")}
-    out = batch.advanced_results(tables, small_trips, route_min_trips=1)
-    assert {n: df.count() for n, df in out.items() if n in ("demand_forecast", "demand_history", "customer_segments")} == {
-        "demand_forecast": 24,
-        "demand_history": 168,
-        "customer_segments": 4,
-    }
-    assert out["revenue_optimization"].count() == 48 and out["surge_zones"].count() <= 100

@@ -75,3 +75,11 @@ def test_no_cross_join_and_no_python_in_the_plan(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF_SMALL))
     for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
         assert unwanted not in plan
+
+
+def test_further_analyses_of_a_store(spark, store):
+    from curbline.plans import batch
+
+    out = batch.run_advanced(spark, store, route_min_trips=1)
+    for name in ("demand_forecast", "surge_hours", "surge_zones", "customer_segments", "revenue_optimization"):
+        assert spark.read.json(f"{store.root}/results/{name}").count() == out[name].count() > 0
