@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -44,12 +46,18 @@ def use_utc(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder path all executors can reach.
 
-    It lies under the cluster's ``spark.checkpoint.dir``; only where that is
-    unset (single-machine runs) a temporary directory is used.
+    It lies under the cluster's ``spark.checkpoint.dir``. Where that is unset, a
+    local session gets a temporary directory (driver and tasks are one machine);
+    any other master is refused, because each executor would write to its own disk
+    and later reads would miss rows.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all executors of {master} share")
         base = tempfile.mkdtemp(prefix="curbline-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
