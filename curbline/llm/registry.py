@@ -5,9 +5,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curbline.llm import jaccard, quality
+from curbline.llm import bpe, jaccard, quality
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,9 +26,15 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_column(docs, VOCABULARY, ids=False, digests=True).drop("text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_bpe": op8_bpe,
 }
 
 ORACLES: dict[str, str] = {}
