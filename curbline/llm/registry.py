@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curbline.llm import bpe, jaccard, quality
+from curbline.llm import bpe, jaccard, quality, secrets
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -31,10 +31,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_column(docs, VOCABULARY, ids=False, digests=True).drop("text")
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_bpe": op8_bpe,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLES: dict[str, str] = {}
