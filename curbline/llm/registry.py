@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curbline.llm import bpe, jaccard, quality, secrets
+from curbline.llm import bpe, jaccard, mixing, quality, secrets
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -17,6 +17,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_report(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = quality.crc_remainder("doc_id", 4) == 2
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
@@ -36,6 +40,7 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_mixing": op2_mixing,
     "op5_quality_classifier": op5_quality_classifier,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_bpe": op8_bpe,
