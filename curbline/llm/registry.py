@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curbline.llm import bpe, chat, jaccard, mixing, quality, secrets
+from curbline.llm import bpe, chat, jaccard, mixing, pii, quality, secrets
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -33,6 +33,10 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_report(table(spark, sf_dir, "documents"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_pii": op6_pii,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_bpe": op8_bpe,
     "op10_secrets": op10_secrets,
