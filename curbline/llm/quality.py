@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from curbline.llm import words as W
+from curbline.llm.samples import labelled_sample
 
 SLOTS_LOG2 = 16
 SLOTS = 1 << SLOTS_LOG2
@@ -134,17 +135,10 @@ def _logistic(margin: np.ndarray, positive: np.ndarray) -> tuple[float, float]:
 
 def train(docs: DataFrame, taught: DataFrame, sample_docs: int = SAMPLE_DOCS) -> np.ndarray | None:
     """Model of the documents (doc_id, text) that ``taught`` (doc_id, label) marks:
-    SLOTS weights, bias, slope and offset; None without any.
-
-    The sample is that of the ``sample_docs`` labels of smallest id hash, so the join
-    is with a table of bounded size; it is bounded again after the join, where ids
-    may repeat. Its texts are read whole.
-    """
-    marked = taught.where("label IS NOT NULL").select("doc_id", F.col("label").cast("int").alias("label"))
-    marked = marked.orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample_docs)
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(marked), "doc_id")
-    rows = rows.withColumn("draw", F.xxhash64("doc_id", "text"))
-    sample = rows.orderBy("draw", "label").limit(sample_docs).select("draw", "text", "label", F.lit(1).alias("one"))
+    SLOTS weights, bias, slope and offset; None without any. The fit is one task
+    over a sample of at most ``sample_docs`` rows, whose texts are read whole."""
+    marked = taught.select("doc_id", F.col("label").cast("int").alias("label"))
+    sample = labelled_sample(docs, marked, sample_docs)
 
     def fitted(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by([("draw", "ascending"), ("label", "ascending")])

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curbline.llm import bpe, chat, jaccard, mixing, pii, quality, secrets
+from curbline.llm import bpe, chat, jaccard, langid, mixing, pii, quality, secrets
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -46,6 +46,10 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_column(docs, VOCABULARY, ids=False, digests=True).drop("text")
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.language_report(table(spark, sf_dir, "documents"), quality.crc_remainder("doc_id", 3) == 1)
+
+
 def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_pii": op6_pii,
     "op7_jaccard_join": op7_jaccard_join,
     "op8_bpe": op8_bpe,
+    "op9_language_id": op9_language_id,
     "op10_secrets": op10_secrets,
 }
 
