@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curbline.llm import bpe, chat, jaccard, langid, mixing, pii, quality, secrets
+from curbline.llm import ann, bpe, chat, jaccard, langid, mixing, neardup, pii, quality, secrets
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -28,6 +28,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op4_ann_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = quality.crc_remainder("doc_id", 4) == 2
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), held_out)
@@ -57,6 +66,8 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
+    "op3_embedding_neardup": op3_embedding_neardup,
+    "op4_ann_forest": op4_ann_forest,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_pii": op6_pii,
     "op7_jaccard_join": op7_jaccard_join,
