@@ -103,4 +103,52 @@ SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss) AS loss_cha
 FROM talks
 """
 
-ORACLES: dict[str, str] = {"op1_chat_format": CHAT_SQL}
+REACHED = """
+reached(id, root) AS (
+    SELECT id, id FROM nodes UNION SELECT l.b, r.root FROM reached r JOIN links l ON l.a = r.id
+), parts AS (SELECT id, min(root) AS component_id FROM reached GROUP BY id)
+"""
+
+NEARDUP_SQL = f"""
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+    WHERE label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), vectors AS (
+    SELECT vec_id, label, e, sqrt(list_dot_product(e, e)) AS norm FROM usable WHERE list_dot_product(e, e) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+    WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98
+), nodes AS (SELECT DISTINCT a AS id FROM links), {REACHED},
+counts AS (SELECT a AS id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(component_id, vec_id) AS component_id,
+    vec_id = coalesce(component_id, vec_id) AS kept
+FROM embeddings LEFT JOIN parts ON parts.id = vec_id LEFT JOIN counts ON counts.id = vec_id
+"""
+
+JACCARD_SQL = f"""
+WITH RECURSIVE worded AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+        WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END) AS s
+    FROM worded
+), sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+both_have AS (
+    SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+    SELECT a, b FROM both_have h JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+    WHERE 100 * h.n >= 80 * (x.n + y.n - h.n)
+), nodes AS (SELECT DISTINCT a AS id FROM links), {REACHED}
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN parts ON parts.id = d.doc_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op1_chat_format": CHAT_SQL,
+    "op3_embedding_neardup": NEARDUP_SQL,
+    "op7_jaccard_join": JACCARD_SQL,
+}
