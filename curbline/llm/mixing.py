@@ -124,7 +124,9 @@ def taken_pieces(docs: DataFrame, text_column: str = "text", block_words: int =
     pieces = located.where("size > 0").select("rank", "first", "size", block.alias("block"))
     start, end = F.greatest("first", F.col("block") * block_words), F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * block_words)
     pieces = pieces.select("rank", "first", "block", (start - F.col("first")).alias("from"), (end - start).alias("words"))
-    return located, pieces.join(times, ["rank", "block"])
+    # the plan takes exploded slots for as few as the sources they come from and would
+    # broadcast them all
+    return located, pieces.join(times.hint("merge"), ["rank", "block"])
 
 
 def mix_report(docs: DataFrame, text_column: str = "text", block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
