@@ -9,38 +9,35 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curbline.functions import columns as C
 
 SHARE = 0.01
-# rank error of the sketches is rows / ACCURACY: none below a million rows
-ACCURACY = 1_000_000
 NORMAL_MAD = 1.4826  # deviation of a normal variable in units of its MAD
 DEMAND_FEATURES = ["trip_count", "avg_fare"]
 ROUTE_FEATURES = ["avg_distance", "avg_duration"]
 
 
-def _quantile_of(value: Column, p: float) -> Column:
-    return F.percentile_approx(value, p, ACCURACY)
-
-
-def _flag_top(scored: DataFrame, score: str, share: float) -> DataFrame:
+def _flag_top(scored: DataFrame, score: str, share: float, accuracy: int | None = None) -> DataFrame:
     """Rows at or above the (1 - share) quantile of the score."""
-    cut = scored.agg(_quantile_of(F.col(score), 1.0 - share).alias("c")).scalar()
+    cut = scored.agg(C.quantile(score, 1.0 - share, accuracy).alias("c")).scalar()
     return scored.where(F.col(score) >= cut)
 
 
-def robust_scores(df: DataFrame, features) -> DataFrame:
+def robust_scores(df: DataFrame, features, accuracy: int | None = None) -> DataFrame:
     """Adds ``score``: the largest distance from a feature's median, in robust
     deviations (1.4826 * median absolute deviation; the standard deviation where
     that is 0; 0 where both are).
 
-    Medians and deviations are scalar subqueries over bounded sketches.
+    Medians and deviations are scalar subqueries. They are exact; ``accuracy`` makes
+    them sketches of bounded size, with a rank error of rows / accuracy.
     """
-    centres = df.agg(F.struct(*[_quantile_of(F.col(f).cast("double"), 0.5).alias(f) for f in features]).alias("m")).scalar()
-    placed = df.withColumn("_centre", centres)
-    distance = {f: F.abs(F.col(f).cast("double") - F.col("_centre")[f]) for f in features}
+    measured = df.withColumns({f"_x_{f}": F.col(f).cast("double") for f in features})
+    centres = measured.agg(F.struct(*[C.quantile(f"_x_{f}", 0.5, accuracy).alias(f) for f in features]).alias("m")).scalar()
+    placed = measured.withColumn("_centre", centres)
+    placed = placed.withColumns({f"_d_{f}": F.abs(F.col(f"_x_{f}") - F.col("_centre")[f]) for f in features})
     spreads = placed.agg(
         F.struct(
-            *[_quantile_of(d, 0.5).alias(f"{f}_mad") for f, d in distance.items()],
+            *[C.quantile(f"_d_{f}", 0.5, accuracy).alias(f"{f}_mad") for f in features],
             *[F.stddev(f).alias(f"{f}_std") for f in features],
         ).alias("s")
     ).scalar()
@@ -49,14 +46,15 @@ def robust_scores(df: DataFrame, features) -> DataFrame:
     def part(f: str) -> Column:
         mad = F.col("_spread")[f"{f}_mad"] * NORMAL_MAD
         scale = F.when(mad > 0, mad).otherwise(F.col("_spread")[f"{f}_std"])
-        return F.coalesce(F.try_divide(distance[f], scale), F.lit(0.0))
+        return F.coalesce(F.try_divide(F.col(f"_d_{f}"), scale), F.lit(0.0))
 
-    return placed.withColumn("score", F.greatest(*[part(f) for f in features], F.lit(0.0))).drop("_centre", "_spread")
+    scored = placed.withColumn("score", F.greatest(*[part(f) for f in features], F.lit(0.0)))
+    return scored.select(*df.columns, "score")
 
 
-def robust_anomalies(df: DataFrame, features, share: float = SHARE) -> DataFrame:
+def robust_anomalies(df: DataFrame, features, share: float = SHARE, accuracy: int | None = None) -> DataFrame:
     """The most unusual ``share`` of rows by robust score (ties at the cut included)."""
-    return _flag_top(robust_scores(df, features), "score", share)
+    return _flag_top(robust_scores(df, features, accuracy), "score", share, accuracy)
 
 
 # ---- isolation forest -------------------------------------------------------------
@@ -114,9 +112,8 @@ def isolation_forest(
     digest = F.xxhash64(F.lit(seed), *[F.col(c) for c in key_columns])
     pool_rows = trees * rows_per_tree
     unit = F.lit(1 << 30)
-    pool = df.select(*point, digest.alias("d")).dropna()
-    if total > pool_rows:
-        pool = pool.where(F.pmod(F.col("d"), unit) < F.lit(int((1 << 30) * pool_rows / total)))
+    pool_share = min(1.0, pool_rows / total)
+    pool = df.select(*point, digest.alias("d")).dropna().where(F.pmod(F.col("d"), unit) < F.lit(int((1 << 30) * pool_share)))
     drawn_share = min(1.0, rows_per_tree / min(total, pool_rows))
     drawn = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))).where(
         F.pmod(F.xxhash64("d", "tree"), unit) < F.lit(int((1 << 30) * drawn_share))

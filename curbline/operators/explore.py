@@ -3,14 +3,25 @@
 from __future__ import annotations
 
 from functools import reduce
+from itertools import count
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from curbline.functions import columns as C
 from curbline.functions import filters
 
+# The columns of a page, in order.
 PAGE_COLUMNS = [
     "VendorID",
     "tpep_pickup_datetime",
@@ -24,8 +35,9 @@ PAGE_COLUMNS = [
     "trip_duration_minutes",
 ]
 MAX_PAGE_SIZE = 1000
-# offsets up to here are served by a plain top-n; beyond, the page start is sought
-SHALLOW_ROWS = 100_000
+# groups one step of the search for a page's start counts, and the rows before a
+# page that its final top-n may carry
+SEEK_BINS, REST_ROWS = 1000, 10_000
 
 
 def describe_columns(df: DataFrame, columns=None) -> DataFrame:
@@ -128,60 +140,97 @@ def _order(df: DataFrame, order_by: str | None, direction: str) -> list[Column]:
     return [_directed(F.col(c), direction) for c in _order_names(df, order_by)]
 
 
-def _seek_levels(df: DataFrame, order_by: str | None) -> list[Column]:
-    """Order columns as a sequence of ever finer groupings.
+def _positions(df: DataFrame, name: str):
+    """Numbers that order a column, one after the other, each with the test whether
+    they are whole: exact whole numbers, doubles, or a text's code points in turn."""
+    kind, column = df.schema[name].dataType, F.col(name)
+    if isinstance(kind, (DoubleType, FloatType)):
+        yield column.cast("double"), False
+    elif isinstance(kind, StringType):
+        for at in count(1):  # past its end a text has -1, like every text equal to it
+            rest = F.substring(column, at, 1)
+            yield F.when(rest == "", F.lit(-1)).otherwise(F.ascii(rest)).cast("decimal(38,0)"), True
+    elif isinstance(kind, (TimestampType, TimestampNTZType)):
+        yield F.unix_micros(column.cast("timestamp")).cast("decimal(38,0)"), True
+    elif isinstance(kind, DateType):
+        yield F.unix_date(column).cast("decimal(38,0)"), True
+    elif isinstance(kind, DecimalType):
+        yield (column * F.lit(10**kind.scale).cast("decimal(38,0)")).cast("decimal(38,0)"), True
+    else:
+        yield column.cast("decimal(38,0)"), True
+
+
+def _bin(value: Column, whole: bool, low, high) -> Column:
+    """Number of the group a value falls into: one of SEEK_BINS equal widths between
+    the bounds, -2 for NULL, -1 and SEEK_BINS for infinities, SEEK_BINS + 1 for NaN.
+    Groups are ordered as the values are, also where arithmetic rounds."""
+    if low is None:
+        inside = F.lit(0)
+    elif whole:
+        width = max(1, -(-(int(high) - int(low) + 1) // SEEK_BINS))
+        step, above = F.lit(width).cast("decimal(38,0)"), value - F.lit(low)
+        inside = ((above - above % step) / step).cast("int")
+    else:
+        # halves where the range itself would overflow; the bounds always part
+        part = 2 if high - low == float("inf") else 1
+        scale = (high / part - low / part) or 1.0
+        inside = F.least(F.floor((value / part - low / part) / scale * SEEK_BINS), F.lit(SEEK_BINS - 1)).cast("int")
+    if whole:
+        return F.when(value.isNull(), F.lit(-2)).otherwise(inside)
+    infinite = F.lit(float("inf"))
+    return (
+        F.when(value.isNull(), F.lit(-2))
+        .when(F.isnan(value), F.lit(SEEK_BINS + 1))
+        .when(value == infinite, F.lit(SEEK_BINS))
+        .when(value == -infinite, F.lit(-1))
+        .otherwise(inside)
+    )
 
-    A timestamp is grouped by day before its exact value, a double by its whole
-    part; sorting by the sequence equals sorting by the columns.
-    """
-    levels = []
-    for name in _order_names(df, order_by):
-        kind, column = df.schema[name].dataType, F.col(name)
-        if isinstance(kind, (TimestampType, TimestampNTZType)):
-            micros = F.unix_micros(column.cast("timestamp"))
-            levels += [F.floor(micros / F.lit(86_400_000_000)), micros]
-        elif isinstance(kind, (DoubleType, FloatType)):
-            levels += [F.floor(column), column]
-        else:
-            levels.append(column)
-    return levels
 
+def _bounds(value: Column, whole: bool) -> list[Column]:
+    finite = value if whole else F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    return [F.min(finite).alias("low"), F.max(finite).alias("high")]
 
-def _seek(df: DataFrame, order_by: str | None, direction: str, offset: int, shallow: int):
-    """Skip whole groups of rows that lie before ``offset``.
 
-    Returns the remaining frame and the offset within it, or None past the end.
-    Per level, one row comes back to the driver: the group the offset falls into.
+def _seek(df: DataFrame, order_by: str | None, direction: str, offset: int, rest_rows: int):
+    """Skip whole groups of rows until at most ``rest_rows`` remain before ``offset``.
+
+    Returns the remaining frame and the offset within it, or None past the end. Each
+    step counts the rows of at most SEEK_BINS + 4 groups of equal width and narrows
+    the scope to the group the offset falls into, then to the next column where all
+    rows of it are equal; so no task sees more than these counts, whatever the
+    column holds.
     """
-    prefix: list[tuple[Column, object]] = []
+    prefix: list[tuple[Column, int]] = []
     scope, left = df, offset
-    for level in _seek_levels(df, order_by):
-        if left <= shallow:
+    for name in _order_names(df, order_by):
+        for value, whole in _positions(df, name):
+            low = high = None
+            ended = left <= rest_rows
+            if not ended:
+                low, high = scope.agg(*_bounds(value, whole)).first()
+            while not ended:
+                level = _bin(value, whole, low, high)
+                groups = scope.groupBy(level.alias("k")).agg(F.count(F.lit(1)).alias("n"), *_bounds(value, whole)).collect()
+                for group in sorted(groups, key=lambda g: g["k"], reverse=direction == "desc"):
+                    if left < group["n"]:
+                        break
+                    left -= group["n"]
+                else:
+                    return None
+                key, low, high = group["k"], group["low"], group["high"]
+                prefix.append((level, key))
+                scope = scope.where(level == key)
+                ended = left <= rest_rows or not 0 <= key < SEEK_BINS or low == high
+            if left <= rest_rows or key == -2 or (low is not None and low == high == -1):
+                break  # found, or no further position tells these rows apart
+        if left <= rest_rows:
             break
-        groups = scope.groupBy(level.alias("k")).agg(F.count(F.lit(1)).alias("n"))
-        running = Window.orderBy(_directed(F.col("k"), direction)).rowsBetween(Window.unboundedPreceding, 0)
-        hit = (
-            groups.withColumn("upto", F.sum("n").over(running))
-            .where(F.col("upto") > left)
-            .orderBy("upto")
-            .limit(1)
-            .collect()
-        )
-        if not hit:
-            return None
-        key = hit[0]["k"]
-        left -= hit[0]["upto"] - hit[0]["n"]
-        prefix.append((level, key))
-        scope = scope.where(level.eqNullSafe(F.lit(key)))
-
-    def later(level: Column, key) -> Column:
-        if direction == "asc":
-            return level.isNotNull() if key is None else F.coalesce(level > F.lit(key), F.lit(False))
-        return F.lit(False) if key is None else F.coalesce(level < F.lit(key), level.isNull())
 
     from_here = F.lit(True)
     for level, key in reversed(prefix):
-        from_here = later(level, key) | (level.eqNullSafe(F.lit(key)) & from_here)
+        later = level > key if direction == "asc" else level < key
+        from_here = later | ((level == key) & from_here)
     return (df.where(from_here) if prefix else df), left
 
 
@@ -191,15 +240,15 @@ def explore(
     page_size: int = 100,
     order_by: str | None = None,
     order_direction: str = "asc",
-    shallow_rows: int = SHALLOW_ROWS,
+    rest_rows: int = REST_ROWS,
     **wanted,
 ) -> DataFrame:
     """One page of trips under the explorer's filters and order.
 
-    Pages follow one global order, so they concatenate to the ordered set. A
-    page near the front is a top-n. For a deep page the rows before it are
-    skipped by counting groups (days, then instants, ...), because a top-n would
-    carry the whole prefix through one task; that costs a few small jobs.
+    Pages follow one global order (NULL first and NaN last when ascending), so they
+    concatenate to the ordered set. Rows before the page are skipped by counting
+    groups until at most ``rest_rows`` are left to a final top-n, which therefore
+    never carries more; a page further in costs a few more small jobs.
     """
     if page < 1 or not 1 <= page_size <= MAX_PAGE_SIZE:
         raise ValueError("page starts at 1 and page_size lies between 1 and 1000")
@@ -207,11 +256,10 @@ def explore(
     df = filters.explorer(trips, **wanted)
     offset = (page - 1) * page_size
     order = _order(df, order_by, direction)
-    if offset > shallow_rows:
-        sought = _seek(df, order_by, direction, offset, shallow_rows)
-        if sought is None:
-            return df.select(*PAGE_COLUMNS).limit(0)
-        df, offset = sought
+    sought = _seek(df, order_by, direction, offset, rest_rows)
+    if sought is None:
+        return df.select(*PAGE_COLUMNS).limit(0)
+    df, offset = sought
     names = list(dict.fromkeys(PAGE_COLUMNS + _order_names(df, order_by)))
     paged = df.select(*names).orderBy(*order).offset(offset).limit(page_size)
     return paged.select(*PAGE_COLUMNS)

@@ -129,8 +129,8 @@ def train(
 ) -> FareModel:
     """Fit one model on 80 % of the trips and measure it on the other 20 %.
 
-    All trips are used unless ``fraction`` asks for a sample
-    (``sampling.training_fraction`` gives the customary one). ``partitions``
+    All trips are used unless ``fraction`` asks for a sample.
+    ``partitions``
     spreads the rows over that many tasks before the many passes of a fit.
     Returns the fitted model with its hold-out metrics; only these numbers reach
     the driver.

@@ -5,12 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row counts and shares of the sampling policy.
-FULL_LIMIT, FULL_FRACTION = 40_000_000, 0.2
-ML_LIMIT, ML_ROWS, ML_FRACTION = 2_000_000, 800_000, 0.2
-VIZ_ROWS = 50_000
-ANALYSIS_LIMIT, ANALYSIS_FRACTION, ANALYSIS_ROWS = 10_000_000, 0.25, 12_000_000
-TRAIN_FRACTION, TRAIN_ROWS, TRAIN_SHARE, SEED = 0.15, 300_000, 0.8, 42
+TRAIN_SHARE, SEED = 0.8, 42
 
 
 def bernoulli(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
@@ -18,35 +13,6 @@ def bernoulli(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
     return df if fraction >= 1.0 else df.sample(False, fraction, seed)
 
 
-def about_n(df: DataFrame, n: int, rows: int | None = None, seed: int = SEED) -> DataFrame:
-    """About n rows, never more; ``rows`` saves the count when it is known."""
-    rows = df.count() if rows is None else rows
-    return df if rows <= n else bernoulli(df, n / rows, seed).limit(n)
-
-
-def policy_fraction(rows: int, purpose: str) -> float:
-    """Share of rows the policy keeps for ``full``, ``ml``, ``viz`` or ``analysis``."""
-    if purpose == "full":
-        return FULL_FRACTION if rows > FULL_LIMIT else 1.0
-    if purpose == "ml":
-        return min(ML_ROWS / rows, ML_FRACTION) if rows > ML_LIMIT else 1.0
-    if purpose == "viz":
-        return VIZ_ROWS / rows if rows > VIZ_ROWS else 1.0
-    if purpose == "analysis":
-        return min(ANALYSIS_FRACTION, ANALYSIS_ROWS / rows) if rows > ANALYSIS_LIMIT else 1.0
-    raise ValueError(f"unknown purpose {purpose!r}")
-
-
-def policy_sample(df: DataFrame, purpose: str, rows: int | None = None, seed: int = SEED) -> DataFrame:
-    rows = df.count() if rows is None else rows
-    return bernoulli(df, policy_fraction(rows, purpose), seed)
-
-
-def training_fraction(rows: int) -> float:
-    """Share kept for training so that about ``TRAIN_ROWS`` rows remain at most."""
-    return min(TRAIN_FRACTION, TRAIN_ROWS / rows) if rows else TRAIN_FRACTION
-
-
 def hash_split(df: DataFrame, key_columns, share: float = TRAIN_SHARE, seed: int = SEED):
     """Two disjoint frames by a hash of the row's columns.
 

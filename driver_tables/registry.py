@@ -176,12 +176,6 @@ def _(spark, d):
     return spark.read.schema("hour int, trip_count long").json(paths["trips_by_hour"])
 
 
-@query("policy_sample")
-def _(spark, d):
-    """Trips per month in the sample the policy keeps for charts."""
-    return clean.rows_per_month(sampling.policy_sample(trips(spark, d), "viz"))
-
-
 # ---- temporal -----------------------------------------------------------------------
 
 _HOURLY_SQL = f"""
@@ -794,6 +788,17 @@ def _(spark, d):
     return explore.histogram(trips(spark, d), "trip_distance", bins=10, year=1997, digits=None).drop("label")
 
 
+@query(
+    "histogram_labels",
+    """, b AS (SELECT min(fare_amount) AS lo, max(fare_amount) AS hi FROM trips),
+k AS (SELECT CAST(least(floor((fare_amount - lo) / ((hi - lo) / 8)), 7) AS INTEGER) AS bin, lo, (hi - lo) / 8 AS wd FROM trips, b)
+SELECT bin, count(*) AS count, printf('%.1f-%.1f', round(lo + bin * wd, 1), round(lo + (bin + 1) * wd, 1)) AS label
+FROM k GROUP BY bin, lo, wd""",
+)
+def _(spark, d):
+    return explore.histogram(trips(spark, d), "fare_amount", 8).select("bin", "count", "label")
+
+
 @query("events_histogram", "WITH " + _histogram_sql("events", "value", 20), base=None)
 def _(spark, d):
     return explore.histogram(table(spark, d, "events"), "value", digits=None).drop("label")
@@ -841,7 +846,29 @@ def _(spark, d):
 @query("explore_deep_page", _page_sql("trip_distance", "asc", 100, 15_000))
 def _(spark, d):
     """A page far from the front, reached by skipping groups."""
-    return explore.explore(trips(spark, d), 151, 100, "trip_distance", shallow_rows=500)
+    return explore.explore(trips(spark, d), 151, 100, "trip_distance", rest_rows=500)
+
+
+@query("explore_by_longitude", _page_sql("pickup_longitude", "desc", 80, 14_960))
+def _(spark, d):
+    """A deep page in the order of a column whose values are nearly all different."""
+    return explore.explore(trips(spark, d), 188, 80, "pickup_longitude", "desc", rest_rows=200)
+
+
+@query(
+    "explore_ranges",
+    _page_sql("total_amount", "asc", 60, 120, "trip_distance >= 2 AND trip_distance <= 30 AND passenger_count <= 4"),
+)
+def _(spark, d):
+    return explore.explore(trips(spark, d), 3, 60, "total_amount", min_distance=2, max_distance=30, max_passengers=4)
+
+
+@query("explore_after", _page_sql("fare_amount", "asc", 70, 140))
+def _(spark, d):
+    """The third page, found from the last row of the second."""
+    t = trips(spark, d)
+    last = explore.explore(t, 2, 70, "fare_amount").collect()[-1].asDict()
+    return explore.explore_after(t, last, 70, "fare_amount")
 
 
 @query(

@@ -34,7 +34,7 @@ def test_pages_concatenate_to_the_ordered_set(small_trips, order_by, direction):
 )
 @pytest.mark.parametrize("page", [1, 7, 23, 40, 900])
 def test_deep_pages_equal_shallow_ones(small_trips, order_by, direction, page):
-    deep = explore.explore(small_trips, page, 60, order_by, direction, shallow_rows=5)
+    deep = explore.explore(small_trips, page, 60, order_by, direction, rest_rows=5)
     assert page_rows(deep) == page_rows(explore.explore(small_trips, page, 60, order_by, direction))
 
 
@@ -42,7 +42,7 @@ def test_deep_pages_equal_shallow_ones(small_trips, order_by, direction, page):
 def test_deep_pages_with_missing_values(spark, small_trips, direction):
     holes = small_trips.withColumn("tip_amount", F.when(F.col("fare_amount") > 12, F.col("tip_amount")))
     for page in (1, 12, 25, 45):
-        deep = explore.explore(holes, page, 50, "tip_amount", direction, shallow_rows=3)
+        deep = explore.explore(holes, page, 50, "tip_amount", direction, rest_rows=3)
         assert page_rows(deep) == page_rows(explore.explore(holes, page, 50, "tip_amount", direction))
 
 
@@ -132,30 +132,42 @@ def test_route_top_over_months_differs_from_by_month(raw):
     assert rows(geo.route_pairs(table)) == rows(geo.route_pairs(cleaned))
 
 
-@pytest.mark.parametrize(
-    "rows_,purpose,fraction",
-    [
-        (40_000_000, "full", 1.0),
-        (40_000_001, "full", 0.2),
-        (2_000_000, "ml", 1.0),
-        (3_000_000, "ml", 0.2),
-        (8_000_000, "ml", 0.1),
-        (50_000, "viz", 1.0),
-        (100_000, "viz", 0.5),
-        (10_000_000, "analysis", 1.0),
-        (20_000_000, "analysis", 0.25),
-        (120_000_000, "analysis", 0.1),
-    ],
-)
-def test_sampling_policy(rows_, purpose, fraction):
-    assert sampling.policy_fraction(rows_, purpose) == pytest.approx(fraction)
-
+@pytest.mark.parametrize("direction", ["asc", "desc"])
+@pytest.mark.parametrize("order_by", ["tip_amount", "store_and_fwd_flag", "passenger_count", "tpep_pickup_datetime"])
+def test_pages_over_any_values(raw, order_by, direction):
+    """NULL, NaN, infinities, ties and texts: pages concatenate to the sorted rows."""
+    from datetime import datetime, timedelta
 
-def test_samples(spark):
-    frame = spark.range(10_000)
-    assert sampling.about_n(frame, 500).count() <= 500
-    assert sampling.about_n(frame, 20_000).count() == 10_000
-    assert sampling.policy_sample(frame, "viz").count() == 10_000
+    nan, inf = float("nan"), float("inf")
+    tips = [None, nan, inf, -inf, 0.0, -0.0, 1e300, -1e300, 5e-324, 1.0, 1.0, 1.0]
+    flags = [None, "", "N", "Y", "Ya", "Yb", "é", "\U0001f600", "N", "N\x00"]
+    rows_ = [
+        trip(tip_amount=tips[i % 12], store_and_fwd_flag=flags[i % 10], passenger_count=None if i % 7 == 0 else i % 5,
+             tpep_pickup_datetime=datetime(2015, 1, 1) + timedelta(seconds=(i * 7919) % 977), fare_amount=5.0 + i)
+        for i in range(90)
+    ]
+    timed = clean.with_duration(raw(rows_))
+    whole = explore.explore(timed, 1, 90, order_by, direction, rest_rows=1000).collect()
+    for page, size in ((1, 7), (5, 7), (13, 7), (3, 40)):
+        found = explore.explore(timed, page, size, order_by, direction, rest_rows=2).collect()
+        assert list(map(str, found)) == list(map(str, whole[(page - 1) * size : page * size]))
+    assert explore.explore(timed, 14, 7, order_by, direction, rest_rows=2).count() == 0
+
+
+def test_no_step_counts_more_groups_than_bins(small_trips):
+    for name in ("pickup_longitude", "tpep_pickup_datetime", "VendorID"):
+        value, whole = next(iter(explore._positions(small_trips, name)))
+        low, high = small_trips.agg(*explore._bounds(value, whole)).first()
+        groups = small_trips.groupBy(explore._bin(value, whole, low, high)).count().count()
+        assert groups <= explore.SEEK_BINS + 4
+
+
+def test_bernoulli_is_a_repeatable_subset(spark):
+    frame = spark.range(20_000)
+    some = sampling.bernoulli(frame, 0.25, seed=3)
+    assert some.count() == pytest.approx(5000, rel=0.1)
+    assert some.exceptAll(sampling.bernoulli(frame, 0.25, seed=3)).count() == 0
+    assert sampling.bernoulli(frame, 1.0).count() == 20_000
 
 
 def test_hash_split_is_disjoint_and_stable(spark):
