@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from curbline import schema as S
 from curbline.functions import columns as C
 from curbline.functions.rollup import percent_of
+from curbline.session import require_utc
 
 REQUIRED = [C.PICKUP, C.DROPOFF, "fare_amount", "trip_distance"]
 
@@ -42,6 +44,19 @@ def _complete() -> Column:
     return reduce(Column.__and__, [F.col(c).isNotNull() for c in REQUIRED])
 
 
+def _doubles(df: DataFrame) -> list[str]:
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, DoubleType)]
+
+
+def _finite(name: str) -> Column:
+    return ~F.isnan(name) & (F.abs(name) < float("inf"))
+
+
+def without_non_finite(trips: DataFrame) -> DataFrame:
+    """NaN and infinite cells as NULL, so that they spoil no mean, order or range."""
+    return trips.withColumns({c: F.when(_finite(c), F.col(c)) for c in _doubles(trips)})
+
+
 def with_duration(trips: DataFrame) -> DataFrame:
     return trips.withColumn("trip_duration_minutes", C.trip_minutes())
 
@@ -76,8 +91,11 @@ def clean_trips(
     """Keep the trips that satisfy every rule and add the derived columns.
 
     A missing tip becomes 0. A missing passenger count drops the trip, unless
-    ``fill_before_filter`` makes it 1 beforehand.
+    ``fill_before_filter`` makes it 1 beforehand. NaN and infinite cells count as
+    missing. The session's time zone must be UTC, on which calendar fields rest.
     """
+    require_utc(raw.sparkSession)
+    raw = without_non_finite(raw)
     timed = with_duration(_fill_passengers(raw) if fill_before_filter else raw)
     kept = timed.where(reduce(Column.__and__, [*rules(limits).values(), _complete()]))
     return with_derived(kept.withColumn("tip_amount", F.coalesce("tip_amount", F.lit(0.0))))
@@ -86,10 +104,13 @@ def clean_trips(
 def clean_report(
     raw: DataFrame, limits: dict = S.CLEANING_LIMITS, fill_before_filter: bool = False
 ) -> DataFrame:
-    """One row: trips in, kept, dropped, percent dropped, and failures per rule.
+    """One row: trips in, kept, dropped, percent dropped, failures per rule, and cells
+    that were NaN or infinite.
 
     A trip that breaks several rules is counted under each of them.
     """
+    odd = sum((F.coalesce(~_finite(c), F.lit(False)).cast("int") for c in _doubles(raw)), F.lit(0))
+    raw = without_non_finite(raw.withColumn("_odd", odd))
     timed = with_duration(_fill_passengers(raw) if fill_before_filter else raw)
     checks = {name: F.coalesce(rule, F.lit(False)) for name, rule in rules(limits).items()}
     keep = reduce(Column.__and__, checks.values(), _complete())
@@ -97,6 +118,7 @@ def clean_report(
         F.count(F.lit(1)).alias("input_rows"),
         F.count_if(keep).alias("output_rows"),
         *[F.count_if(~ok).alias(f"failed_{name}") for name, ok in checks.items()],
+        F.coalesce(F.sum("_odd"), F.lit(0)).alias("non_finite_cells"),
     )
     dropped = F.col("input_rows") - F.col("output_rows")
     return counted.select(
@@ -105,6 +127,7 @@ def clean_report(
         dropped.alias("dropped_rows"),
         percent_of(dropped, F.col("input_rows")).alias("dropped_percent"),
         *[f"failed_{name}" for name in checks],
+        "non_finite_cells",
     )
 
 
@@ -118,8 +141,3 @@ def data_quality(trips: DataFrame) -> DataFrame:
         F.min("trip_distance").alias("min_distance"),
         F.max("trip_distance").alias("max_distance"),
     )
-
-
-def rows_per_month(trips: DataFrame) -> DataFrame:
-    """Load report: trips per (year, month), in order."""
-    return trips.groupBy("year", "month").agg(F.count(F.lit(1)).alias("row_count")).orderBy("year", "month")

@@ -7,6 +7,10 @@ This replaces a seasonal ARIMA of one series; judge it by ``backtest``.
 
 The operators read the hourly series several times; give them a stored one
 (``session.settled``) when it comes from trips.
+
+``start`` and ``end`` (text or timestamps, half-open, whole hours) bound the series
+and set its origin, the hour before ``end``. Give them wherever a stray date may have
+survived cleaning: without ``end`` the last trip, however far off, is the origin.
 """
 
 from __future__ import annotations
@@ -22,24 +26,44 @@ DAY, WEEK = 24, 168
 LAGS = (DAY, 2 * DAY, WEEK)
 
 
-def hourly_demand(trips: DataFrame, zone_columns=(), ts: str = C.PICKUP) -> DataFrame:
-    """Trips per (zone and) clock hour that has any."""
+def hourly_demand(trips: DataFrame, zone_columns=(), ts: str = C.PICKUP, start=None, end=None) -> DataFrame:
+    """Trips per (zone and) clock hour that has any, from ``start`` to before ``end``."""
     hour = F.date_trunc("hour", F.col(ts)).cast("timestamp").alias("hour_start")
+    if start is not None:
+        trips = trips.where(F.col(ts) >= F.lit(start).cast(trips.schema[ts].dataType))
+    if end is not None:
+        trips = trips.where(F.col(ts) < F.lit(end).cast(trips.schema[ts].dataType))
     return trips.groupBy(*zone_columns, hour).agg(F.count(F.lit(1)).alias("trip_count"))
 
 
+def _within(demand: DataFrame, start=None, end=None) -> DataFrame:
+    if start is not None:
+        demand = demand.where(F.col("hour_start") >= F.lit(start).cast("timestamp"))
+    if end is not None:
+        demand = demand.where(F.col("hour_start") < F.lit(end).cast("timestamp"))
+    return demand
+
+
+def _origin(demand: DataFrame, end=None) -> Column:
+    """Last hour of the series, of all zones alike."""
+    if end is not None:
+        return _later(F.date_trunc("hour", F.lit(end).cast("timestamp")), -1)
+    return demand.agg(F.max("hour_start").alias("h")).scalar()
+
+
 def _later(hour: Column, hours) -> Column:
     shift = hours if isinstance(hours, Column) else F.lit(hours)
     return F.timestamp_seconds(F.unix_timestamp(hour) + shift * 3600)
 
 
-def seasonal_naive_forecast(demand: DataFrame, zone_columns=(), horizon: int = DAY) -> DataFrame:
+def seasonal_naive_forecast(demand: DataFrame, zone_columns=(), horizon: int = DAY, start=None, end=None) -> DataFrame:
     """Each coming hour repeats the count of the same hour a week before.
 
     The last hour of the whole series is the origin for every zone; a zone
     without trips in the matching hour gets 0.
     """
-    last = demand.agg(F.max("hour_start").alias("h")).scalar()
+    demand = _within(demand, start, end)
+    last = _origin(demand, end)
     zones = demand.groupBy(*zone_columns).agg(F.max("hour_start").alias("zone_last"))
     ahead = zones.select(*zone_columns, F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("hour_ahead"))
     slots = ahead.withColumn("target", _later(last, F.col("hour_ahead"))).withColumn(
@@ -56,7 +80,7 @@ def seasonal_naive_forecast(demand: DataFrame, zone_columns=(), horizon: int = D
 
 
 def with_lags(
-    demand: DataFrame, zone_columns=(), horizon: int = DAY, history: int | None = None
+    demand: DataFrame, zone_columns=(), horizon: int = DAY, history: int | None = None, start=None, end=None
 ) -> DataFrame:
     """Gap-free hourly rows per zone up to ``horizon`` hours ahead, with lagged counts.
 
@@ -64,7 +88,8 @@ def with_lags(
     is later. Coming hours have no ``trip_count``. Zones are equal in size here
     (one row per hour), however unequal in trips.
     """
-    last = demand.agg(F.max("hour_start").alias("h")).scalar()
+    demand = _within(demand, start, end)
+    last = _origin(demand, end)
     zones = demand.groupBy(*zone_columns).agg(F.min("hour_start").alias("first")).withColumn("last", last)
     start = F.col("first")
     if history is not None:
@@ -104,15 +129,15 @@ def fit(rows: DataFrame) -> LinearRegressionModel:
     return regression.fit(_features(rows.where(F.col("trip_count").isNotNull())))
 
 
-def demand_forecast(demand: DataFrame, zone_columns=(), horizon: int = DAY) -> DataFrame:
+def demand_forecast(demand: DataFrame, zone_columns=(), horizon: int = DAY, start=None, end=None) -> DataFrame:
     """Predicted trips for each of the next hours, beside the seasonal naive figure.
 
     Fitting reads the whole series; predicting needs its last week only.
     """
     if horizon > min(LAGS):
         raise ValueError(f"the horizon may not exceed the shortest lag ({min(LAGS)} hours)")
-    model = fit(with_lags(demand, zone_columns, horizon=0))
-    ahead = with_lags(demand, zone_columns, horizon, history=WEEK).where(F.col("hour_ahead") > 0)
+    model = fit(with_lags(demand, zone_columns, 0, None, start, end))
+    ahead = with_lags(demand, zone_columns, horizon, WEEK, start, end).where(F.col("hour_ahead") > 0)
     scored = model.transform(_features(ahead))
     return scored.select(
         *zone_columns,
@@ -123,9 +148,10 @@ def demand_forecast(demand: DataFrame, zone_columns=(), horizon: int = DAY) -> D
     ).orderBy(*zone_columns, "hour_ahead")
 
 
-def recent_demand(demand: DataFrame, zone_columns=(), hours: int = WEEK) -> DataFrame:
+def recent_demand(demand: DataFrame, zone_columns=(), hours: int = WEEK, start=None, end=None) -> DataFrame:
     """The last actual hours of every zone, gaps as 0."""
-    last = demand.agg(F.max("hour_start").alias("h")).scalar()
+    demand = _within(demand, start, end)
+    last = _origin(demand, end)
     zones = demand.groupBy(*zone_columns).agg(F.max("hour_start").alias("zone_last"))
     back = zones.select(*zone_columns, F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias("back"))
     slots = back.withColumn("hour_start", _later(last, -F.col("back"))).drop("back")
@@ -137,14 +163,14 @@ def recent_demand(demand: DataFrame, zone_columns=(), hours: int = WEEK) -> Data
     )
 
 
-def backtest(demand: DataFrame, zone_columns=(), hours: int = WEEK) -> DataFrame:
+def backtest(demand: DataFrame, zone_columns=(), hours: int = WEEK, start=None, end=None) -> DataFrame:
     """Mean absolute error over the last ``hours``, model against seasonal naive.
 
     The model is fitted on the hours before; each test hour uses counts at least
     a day old, as a forecast would.
     """
-    model = fit(with_lags(demand, zone_columns, horizon=0).where(F.col("hour_ahead") <= -hours))
-    tested = with_lags(demand, zone_columns, 0, history=hours + WEEK).where(F.col("hour_ahead") > -hours)
+    model = fit(with_lags(demand, zone_columns, 0, None, start, end).where(F.col("hour_ahead") <= -hours))
+    tested = with_lags(demand, zone_columns, 0, hours + WEEK, start, end).where(F.col("hour_ahead") > -hours)
     scored = model.transform(_features(tested))
     actual, predicted = F.col("trip_count"), F.greatest("prediction", F.lit(0.0))
     return scored.agg(

@@ -14,7 +14,8 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from curbline.functions import columns as C
 from curbline.functions import filters
-from curbline.operators.sampling import SEED, TRAIN_SHARE, bernoulli, hash_split, spread
+from curbline.operators.sampling import SEED, TRAIN_SHARE, bernoulli, split_slot, spread
+from curbline.session import settled
 from curbline.sources import storage
 
 log = logging.getLogger(__name__)
@@ -49,19 +50,26 @@ METRICS_SCHEMA = StructType(
         StructField("r2", DoubleType()),
         StructField("training_rows", LongType()),
         StructField("test_rows", LongType()),
+        StructField("error", StringType()),
     ]
 )
+# Columns that tell a row apart and read alike in other engines.
+SPLIT_KEY = [C.PICKUP, "passenger_count"]
+# Memory for the statistics of one pass over a tree level (MB), so that a level of all
+# trees takes few passes; iterations between checkpoints of a boosted model.
+TREE_OPTIONS = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
 
 
 @dataclass
 class FareModel:
     name: str
-    model: PipelineModel
-    rmse: float
-    mae: float
-    r2: float
-    training_rows: int
-    test_rows: int
+    model: PipelineModel | None
+    rmse: float | None = None
+    mae: float | None = None
+    r2: float | None = None
+    training_rows: int | None = None
+    test_rows: int | None = None
+    error: str | None = None
 
 
 def canonical(name: str) -> str:
@@ -92,16 +100,19 @@ def fare_features(trips: DataFrame) -> DataFrame:
 
 
 def _regressor(name: str, **params):
-    common = {"featuresCol": "scaled_features", "labelCol": LABEL}
+    trees = {"featuresCol": "features", "labelCol": LABEL, "seed": SEED, **TREE_OPTIONS}
     if name == "random_forest":
-        return RandomForestRegressor(**common, **{"numTrees": 100, "maxDepth": 10, "seed": SEED, **params})
+        return RandomForestRegressor(**{**trees, "numTrees": 100, "maxDepth": 10, **params})
     if name == "gbt":
-        return GBTRegressor(**common, **{"maxIter": 100, "maxDepth": 5, "seed": SEED, **params})
-    return LinearRegression(**common, **{"maxIter": 100, "regParam": 0.01, **params})
+        return GBTRegressor(**{**trees, "maxIter": 100, "maxDepth": 5, **params})
+    common = {"featuresCol": "scaled_features", "labelCol": LABEL}
+    return LinearRegression(**{**common, "maxIter": 100, "regParam": 0.01, **params})
 
 
 def _pipeline(name: str, **params) -> Pipeline:
     assembler = VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="skip")
+    if name != "linear_regression":  # standardising changes nothing for trees
+        return Pipeline(stages=[assembler, _regressor(name, **params)])
     scaler = StandardScaler(inputCol="features", outputCol="scaled_features", withMean=True, withStd=True)
     return Pipeline(stages=[assembler, scaler, _regressor(name, **params)])
 
@@ -120,6 +131,38 @@ def regression_metrics(scored: DataFrame, label: str = LABEL, prediction: str =
     )
 
 
+def learning_rows(trips: DataFrame, fraction: float | None = None) -> DataFrame:
+    """Features, label and ``is_test`` (one row in five by its values) of the rows a
+    model learns from or is measured on. All trips, unless ``fraction`` asks for a
+    sample; rows that lack a feature are left out, as no model can take them."""
+    slot = split_slot(SPLIT_KEY)
+    rows = with_calendar_features(trips).withColumn("is_test", slot >= round(TRAIN_SHARE * 65536))
+    rows = filters.trainable(rows.select(*FEATURES, LABEL, "is_test")).dropna(subset=FEATURES)
+    return rows if fraction is None else bernoulli(rows, fraction)
+
+
+def split_report(rows: DataFrame) -> DataFrame:
+    """One row about ``learning_rows``: rows of each side, mean label of the training
+    side, and the RMSE on the test side of predicting that mean."""
+    test, label = F.col("is_test"), F.col(LABEL)
+    sums = rows.agg(
+        F.count_if(~test).alias("training_rows"),
+        F.count_if(test).alias("test_rows"),
+        F.avg(F.when(~test, label)).alias("mean_fare"),
+        F.avg(F.when(test, label)).alias("m"),
+        F.avg(F.when(test, label * label)).alias("s"),
+    )
+    gap = F.col("s") - 2 * F.col("mean_fare") * F.col("m") + F.col("mean_fare") ** 2
+    return sums.select("training_rows", "test_rows", "mean_fare", F.sqrt(gap).alias("baseline_rmse"))
+
+
+def fit_one(rows: DataFrame, name: str, counts, partitions: int | None = None, **params) -> FareModel:
+    """Fit a model on the training side of stored ``learning_rows``."""
+    model = _pipeline(name, **params).fit(spread(rows.where(~F.col("is_test")), partitions))
+    m = regression_metrics(model.transform(rows.where("is_test"))).first()
+    return FareModel(name, model, m["rmse"], m["mae"], m["r2"], counts["training_rows"], counts["test_rows"])
+
+
 def train(
     trips: DataFrame,
     name: str = "random_forest",
@@ -129,43 +172,41 @@ def train(
 ) -> FareModel:
     """Fit one model on 80 % of the trips and measure it on the other 20 %.
 
-    All trips are used unless ``fraction`` asks for a sample.
-    ``partitions``
-    spreads the rows over that many tasks before the many passes of a fit.
-    Returns the fitted model with its hold-out metrics; only these numbers reach
-    the driver.
+    All trips are used unless ``fraction`` asks for a sample. Features are computed
+    once and stored, for the many passes of a fit; ``partitions`` spreads the rows
+    over that many tasks. Returns the fitted model with its hold-out metrics; only
+    these numbers reach the driver.
     """
-    name = canonical(name)
-    rows = fare_features(trips)
-    if fraction is not None:
-        rows = bernoulli(rows, fraction)
-    fit_rows, test_rows = hash_split(rows, [*FEATURES, LABEL], TRAIN_SHARE)
-    model = _pipeline(name, **params).fit(spread(fit_rows, partitions))
-    m = regression_metrics(model.transform(test_rows)).first()
-    return FareModel(name, model, m["rmse"], m["mae"], m["r2"], fit_rows.count(), m["rows"])
+    rows = settled(learning_rows(trips, fraction), "features")
+    return fit_one(rows, canonical(name), split_report(rows).first(), partitions, **params)
 
 
 def train_all(
     trips: DataFrame, fraction: float | None = None, partitions: int | None = None, **params_by_model
 ) -> dict[str, FareModel]:
-    """Train every kind; one that fails is reported in the log and left out."""
+    """Train every kind on the same stored features; one that fails keeps its row,
+    with the error and without a model."""
+    rows = settled(learning_rows(trips, fraction), "features")
+    counts = split_report(rows).first()
     trained = {}
     for name in MODEL_FOLDERS:
         try:
-            trained[name] = train(trips, name, fraction, partitions, **params_by_model.get(name, {}))
-        except Exception:  # a failing model must not stop the others
+            trained[name] = fit_one(rows, name, counts, partitions, **params_by_model.get(name, {}))
+        except Exception as error:  # a failing model must not stop the others
             log.exception("training %s failed", name)
+            trained[name] = FareModel(name, None, error=f"{type(error).__name__}: {error}"[:500])
     return trained
 
 
 def metrics_frame(spark: SparkSession, trained: dict[str, FareModel]) -> DataFrame:
-    rows = [(m.name, m.rmse, m.mae, m.r2, m.training_rows, m.test_rows) for m in trained.values()]
+    rows = [(m.name, m.rmse, m.mae, m.r2, m.training_rows, m.test_rows, m.error) for m in trained.values()]
     return spark.createDataFrame(rows, METRICS_SCHEMA)
 
 
 def best_model(trained: dict[str, FareModel]) -> str | None:
-    """Name of the model with the highest R2."""
-    return max(trained, key=lambda name: trained[name].r2, default=None)
+    """Name of the model with the highest R2; None if none has one."""
+    measured = {name: m.r2 for name, m in trained.items() if m.r2 is not None}
+    return max(measured, key=measured.get, default=None)
 
 
 def feature_importance(spark: SparkSession, model: PipelineModel) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 TRAIN_SHARE, SEED = 0.8, 42
@@ -13,14 +13,21 @@ def bernoulli(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
     return df if fraction >= 1.0 else df.sample(False, fraction, seed)
 
 
+def split_slot(key_columns, seed: int = SEED) -> Column:
+    """A slot from 0 to 65535 by the values of a row: the first hex digits of an md5,
+    which other engines compute alike. NULL counts as an empty text."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_columns]
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *shown)), 1, 4), 16, 10).cast("int")
+
+
 def hash_split(df: DataFrame, key_columns, share: float = TRAIN_SHARE, seed: int = SEED):
     """Two disjoint frames by a hash of the row's columns.
 
     Unlike ``randomSplit`` a row's side depends on its values only, so the split
     survives a changed partitioning or a recomputed stage.
     """
-    slot = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in key_columns]), F.lit(1_000_000))
-    cut = F.lit(int(round(share * 1_000_000)))
+    cut = F.lit(round(share * 65536))
+    slot = split_slot(key_columns, seed)
     return df.where(slot < cut), df.where(slot >= cut)
 
 

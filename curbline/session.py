@@ -43,6 +43,13 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Refuse a session whose calendar fields would not be those of UTC."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"calendar fields are UTC here, but spark.sql.session.timeZone is {zone}; call session.use_utc")
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder path all executors can reach.
 

@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, TimestampNTZType, TimestampType
 
 from curbline import schema as S
 from curbline.functions import columns as C
+from curbline.functions import filters
 from curbline.operators import (
     anomalies,
     clean,
@@ -111,6 +112,10 @@ _REPORT_CHECKS = {
     "dropoff_location": "dropoff_latitude BETWEEN 40.5 AND 40.9 AND dropoff_longitude BETWEEN -74.3 AND -73.7",
 }
 
+_DOUBLES = (
+    "trip_distance pickup_longitude pickup_latitude dropoff_longitude dropoff_latitude fare_amount tip_amount total_amount"
+).split()
+
 
 @query(
     "clean_trips_report",
@@ -118,7 +123,8 @@ _REPORT_CHECKS = {
 SELECT count(*) AS input_rows, count(*) FILTER (WHERE {KEEP_SQL}) AS output_rows,
   count(*) - count(*) FILTER (WHERE {KEEP_SQL}) AS dropped_rows,
   round((count(*) - count(*) FILTER (WHERE {KEEP_SQL})) * 100.0 / count(*) + 1e-7, 4) AS dropped_percent,
-  {", ".join(f"count(*) FILTER (WHERE NOT coalesce({c}, false)) AS failed_{n}" for n, c in _REPORT_CHECKS.items())}
+  {", ".join(f"count(*) FILTER (WHERE NOT coalesce({c}, false)) AS failed_{n}" for n, c in _REPORT_CHECKS.items())},
+  {" + ".join(f"count(*) FILTER (WHERE NOT isfinite({c}))" for c in _DOUBLES)} AS non_finite_cells
 FROM raw""",
     base=RAW_SQL,
 )
@@ -307,6 +313,19 @@ def _(spark, d):
     return temporal.daily_trend(trips(spark, d))
 
 
+_RANGE = ("1996-01-15 12:00:00", "1996-04-01 00:00:00")
+
+
+@query(
+    "daily_trend_range",
+    ", scoped AS (SELECT * FROM trips WHERE tpep_pickup_datetime BETWEEN '%s' AND '%s'), " % _RANGE
+    + _daily_sql("scoped", "tpep_pickup_datetime")
+    + _TREND_SQL,
+)
+def _(spark, d):
+    return temporal.daily_trend(filters.time_range(trips(spark, d), *_RANGE))
+
+
 @query("seasonal_by_dow", ", " + _daily_sql("trips", "tpep_pickup_datetime") + _SEASONAL_SQL)
 def _(spark, d):
     return temporal.seasonal_by_day(trips(spark, d))
@@ -1084,6 +1103,50 @@ def _(spark, d):
     return forecast.recent_demand(_city_series(spark, d))
 
 
+_SPAN = ("1996-01-01 00:00:00", "1996-04-01 00:00:00")
+_SPAN_SQL = """, dm AS (SELECT date_trunc('hour', tpep_pickup_datetime) AS hour_start, count(*) AS trip_count FROM trips
+  WHERE tpep_pickup_datetime >= '%s' AND tpep_pickup_datetime < '%s' GROUP BY 1)""" % _SPAN
+_LAST_SQL = f"TIMESTAMP '{_SPAN[1]}' - INTERVAL 1 HOUR"
+
+
+@query(
+    "demand_lags",
+    _SPAN_SQL
+    + f""", sp AS (SELECT unnest(generate_series((SELECT min(hour_start) FROM dm), {_LAST_SQL} + INTERVAL 24 HOUR,
+    INTERVAL 1 HOUR)) AS hour_start),
+f AS (SELECT hour_start, CASE WHEN hour_start <= {_LAST_SQL} THEN CAST(coalesce(trip_count, 0) AS DOUBLE) END AS trip_count
+  FROM sp LEFT JOIN dm USING (hour_start)),
+l AS (SELECT *, {", ".join(f"lag(trip_count, {n}) OVER (ORDER BY hour_start) AS lag_{n}" for n in forecast.LAGS)} FROM f)
+SELECT {ts_text("hour_start", "hour_start")}, trip_count, lag_24, lag_48, lag_168,
+  CAST(date_diff('hour', {_LAST_SQL}, hour_start) AS INTEGER) AS hour_ahead FROM l WHERE lag_168 IS NOT NULL""",
+)
+def _(spark, d):
+    """Spine and lags of a bounded series: what the regression is fitted to."""
+    return forecast.with_lags(_city_series(spark, d), start=_SPAN[0], end=_SPAN[1]).drop("last")
+
+
+@query(
+    "seasonal_naive_range",
+    _SPAN_SQL
+    + f""", s AS (SELECT CAST(a AS INTEGER) AS hour_ahead, {_LAST_SQL} + to_hours(a) AS hour_start FROM range(1, 25) r(a))
+SELECT s.hour_ahead, {ts_text("s.hour_start", "hour_start")}, coalesce(dm.trip_count, 0) AS predicted_trips
+FROM s LEFT JOIN dm ON dm.hour_start = s.hour_start - INTERVAL 168 HOUR""",
+)
+def _(spark, d):
+    return forecast.seasonal_naive_forecast(_city_series(spark, d), start=_SPAN[0], end=_SPAN[1])
+
+
+@query(
+    "recent_demand_range",
+    _SPAN_SQL
+    + f""", s AS (SELECT {_LAST_SQL} - to_hours(b) AS hour_start FROM range(0, 168) r(b))
+SELECT {ts_text("s.hour_start", "hour_start")}, coalesce(dm.trip_count, 0) AS trip_count
+FROM s LEFT JOIN dm ON dm.hour_start = s.hour_start""",
+)
+def _(spark, d):
+    return forecast.recent_demand(_city_series(spark, d), start=_SPAN[0], end=_SPAN[1])
+
+
 @query("demand_forecast")
 def _(spark, d):
     return forecast.demand_forecast(_city_series(spark, d))
@@ -1116,6 +1179,34 @@ def _(spark, d):
     return clusters.spatial_clusters(_learning_trips(spark, d))
 
 
+def _weighted(df: DataFrame, weight: str, means: list[str]) -> DataFrame:
+    """Rows and weighted means of a clustering, which are those of all clustered rows."""
+    total = F.sum(weight)
+    return df.agg(total.alias("rows"), *[(F.sum(F.col(c) * F.col(weight)) / total).alias(c) for c in means])
+
+
+@query(
+    "spatial_cluster_totals",
+    f"""
+SELECT count(*) AS rows, {r4("avg(pickup_latitude)", "latitude")}, {r4("avg(pickup_longitude)", "longitude")},
+  {r4("avg(fare_amount)", "avg_fare")} FROM trips""",
+)
+def _(spark, d):
+    found = clusters.spatial_clusters(_learning_trips(spark, d))
+    return _weighted(found, "trip_count", ["latitude", "longitude", "avg_fare"])
+
+
+@query(
+    "trip_segment_totals",
+    f"""
+SELECT count(*) AS rows, {r4("avg(fare_amount)", "avg_fare")}, {r4("avg(trip_distance)", "avg_distance")},
+  {r4("avg(trip_duration_minutes)", "avg_duration")} FROM trips""",
+)
+def _(spark, d):
+    found = clusters.trip_segments(_learning_trips(spark, d))
+    return _weighted(found, "customer_count", ["avg_fare", "avg_distance", "avg_duration"])
+
+
 @query("trip_segments")
 def _(spark, d):
     return clusters.trip_segments(_learning_trips(spark, d))
@@ -1143,6 +1234,44 @@ def _(spark, d):
     return clusters.customer_segments(settled(clusters.segment_inputs(trips(spark, d))))
 
 
+_LEARNING_SQL = f""", r AS (SELECT *, CAST('0x' || substr(md5(concat_ws('|', '{sampling.SEED}',
+    CAST(tpep_pickup_datetime AS VARCHAR), coalesce(CAST(passenger_count AS VARCHAR), ''))), 1, 4) AS INTEGER)
+    >= {round(sampling.TRAIN_SHARE * 65536)} AS is_test
+  FROM trips WHERE fare_amount > 0 AND trip_distance > 0 AND passenger_count IS NOT NULL),
+m AS (SELECT avg(fare_amount) AS mean_fare FROM r WHERE NOT is_test)"""
+
+
+@query(
+    "fare_split",
+    _LEARNING_SQL
+    + f"""
+SELECT count(*) FILTER (WHERE NOT is_test) AS training_rows, count(*) FILTER (WHERE is_test) AS test_rows,
+  {r4("any_value(mean_fare)", "mean_fare")},
+  {r4("sqrt(avg((fare_amount - mean_fare) * (fare_amount - mean_fare)) FILTER (WHERE is_test))", "baseline_rmse")}
+FROM r, m""",
+)
+def _(spark, d):
+    """What every model learns from and must beat."""
+    return models.split_report(models.learning_rows(trips(spark, d)))
+
+
+@query(
+    "fare_models",
+    _LEARNING_SQL
+    + f"""
+SELECT name AS model, count(*) FILTER (WHERE NOT is_test) AS training_rows, count(*) FILTER (WHERE is_test) AS test_rows
+FROM r, (VALUES {", ".join(f"('{m}')" for m in models.MODEL_FOLDERS)}) v(name) GROUP BY 1""",
+)
+def _(spark, d):
+    """All three kinds (small trees here) trained on one stored table; rows that fail
+    or do not beat the mean are missing."""
+    t = _learning_trips(spark, d)
+    small = {"random_forest": {"numTrees": 8, "maxDepth": 5}, "gbt": {"maxIter": 5, "maxDepth": 3}}
+    trained = models.train_all(t, **small)
+    found = models.metrics_frame(spark, trained).where("error IS NULL AND r2 > 0")
+    return found.select("model", "training_rows", "test_rows")
+
+
 @query("fare_model_random_forest")
 def _(spark, d):
     return models.metrics_frame(spark, {"m": models.train(_learning_trips(spark, d), "random_forest")})
@@ -1177,6 +1306,15 @@ def _(spark, d):
     )
 
 
+@query(
+    "fare_score_hours",
+    f"\nSELECT pickup_hour, {N}, {r4('avg(fare_amount)', 'avg_fare')} FROM trips GROUP BY 1",
+)
+def _(spark, d):
+    """Trips that a saved and reloaded model scored, per hour: every trip gets a fare."""
+    return QUERIES["fare_scores"](spark, d).where("avg_predicted_fare IS NOT NULL").drop("avg_predicted_fare")
+
+
 # ---- incremental and streaming loads ------------------------------------------------------
 
 

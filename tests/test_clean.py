@@ -4,6 +4,7 @@ import pytest
 
 from conftest import rows, trip
 from curbline.operators import clean
+from curbline.sources import trips as source
 
 START = datetime(2015, 1, 5, 10, 0, 0)
 
@@ -118,4 +119,22 @@ def test_report_agrees_with_cleaning(spark):
 def test_quality_and_rows_per_month(raw):
     cleaned = clean.clean_trips(raw([trip(), trip(fare_amount=20.0)]))
     assert rows(clean.data_quality(cleaned)) == [(0, 0, 0, 12.0, 20.0, 2.5, 2.5)]
-    assert rows(clean.rows_per_month(cleaned)) == [(2015, 1, 2)]
+    assert rows(source.load_report(cleaned)) == [(2015, 1, 2, 2)]
+
+
+def test_non_finite_cells_are_missing(raw):
+    nan, inf = float("nan"), float("inf")
+    data = [trip(), trip(tip_amount=nan), trip(fare_amount=inf), trip(pickup_latitude=nan), trip(tip_amount=-inf)]
+    cleaned = clean.clean_trips(raw(data))
+    assert sorted(r["tip_amount"] for r in cleaned.collect()) == [0.0, 0.0, 2.0]
+    assert clean.clean_report(raw(data)).first()["non_finite_cells"] == 4
+
+
+def test_other_time_zones_are_refused(spark, raw):
+    frame = raw([trip()])
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Paris")
+    try:
+        with pytest.raises(ValueError, match="UTC"):
+            clean.clean_trips(frame)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -68,8 +68,10 @@ def test_save_load_and_merge_of_metrics(spark, trained, small_trips, tmp_path):
 
 def test_one_failing_model_does_not_stop_the_others(small_trips):
     out = models.train_all(small_trips, random_forest={"numTrees": -1}, gbt={"maxIter": 1, "maxDepth": 1})
-    assert sorted(out) == ["gbt", "linear_regression"]
-    assert models.best_model(out) in out and models.best_model({}) is None
+    assert [name for name, m in out.items() if m.error] == ["random_forest"]
+    assert out["random_forest"].model is None and "numTrees" in out["random_forest"].error
+    assert models.best_model(out) in ("gbt", "linear_regression") and models.best_model({}) is None
+    assert models.best_model({"gbt": models.FareModel("gbt", None)}) is None
 
 
 def test_names():
@@ -106,3 +108,8 @@ def test_customer_segments_keep_revenue(small_trips):
     assert out.count() == 4
     fares = small_trips.agg(F.sum("fare_amount")).first()[0]
     assert out.agg(F.sum("total_revenue")).first()[0] == pytest.approx(fares)
+
+
+def test_only_the_linear_model_is_standardised(trained):
+    kinds = {name: [type(stage).__name__ for stage in m.model.stages] for name, m in trained.items()}
+    assert {name for name, stages in kinds.items() if "StandardScalerModel" in stages} == {"linear_regression"}
