@@ -160,6 +160,12 @@ def mixed(docs: DataFrame, text_column: str = "text", block_words: int = BLOCK_W
     own = own.withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id", "__hash").orderBy("source"))).alias("d")
     same = (F.col("d.__hash") == F.col("w.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.__nth") == F.col("w.nth"))
     words = F.regexp_extract_all(F.col("d." + text_column), F.lit(WORD + r"[\x20\x09-\x0D]*+"), F.lit(0))
-    joined = own.join(wanted, same).withColumn("__words", words)
-    text = F.expr("array_join(transform(w.parts, p -> array_join(slice(__words, CAST(p.from + 1 AS int), CAST(p.words AS int)), '')), '')")
+    joined = own.join(wanted, same)
+
+    def of_words(every: Column) -> Column:
+        pieces = F.transform("w.parts", lambda p: F.array_join(F.slice(every, p["from"].cast("int") + 1, p["words"].cast("int")), ""))
+        return F.array_join(pieces, "")
+
+    # as a lambda's variable the words are cut once a row, not once a piece
+    text = F.element_at(F.transform(F.array(words), of_words), 1)
     return joined.select(*[text.alias(c) if c == text_column else F.col("d." + c) for c in docs.columns])
