@@ -41,13 +41,18 @@ def geospatial_results(
     }
 
 
-def economic_results(trips: DataFrame) -> dict[str, DataFrame]:
+def economic_results(trips: DataFrame, fares: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Tips and revenue come from the fare state when there is one."""
+    if fares is None:
+        tips, revenue = (lambda key: economic.tip_analysis(trips, key)), economic.revenue_analysis(trips, "hour")
+    else:
+        tips, revenue = (lambda key: state.tip_analysis(fares, key)), state.revenue_by_hour(fares)
     return {
         "correlations": economic.correlations(trips),
-        "tip_by_payment_type": economic.tip_analysis(trips, "payment_type"),
-        "tip_by_hour": economic.tip_analysis(trips, "hour"),
-        "tip_by_distance": economic.tip_analysis(trips, "distance_bucket"),
-        "revenue_by_hour": economic.revenue_analysis(trips, "hour"),
+        "tip_by_payment_type": tips("payment_type"),
+        "tip_by_hour": tips("hour"),
+        "tip_by_distance": tips("distance_bucket"),
+        "revenue_by_hour": revenue,
         "market_share": economic.market_share(trips),
     }
 
@@ -95,6 +100,7 @@ def run_batch(
     stages=STAGES,
     skip_ingestion: bool = False,
     skip_cleaning: bool = False,
+    rebuild: bool = False,
     sample_fraction: float | None = None,
     hotspot_min_trips: int = 100,
     **model_params,
@@ -105,6 +111,10 @@ def run_batch(
     ``root/models``. A skipped step uses what an earlier run stored. On the full
     data counts, trends, hotspots and routes are rolled up from the stored state;
     with ``sample_fraction`` everything is computed from the sample.
+
+    The folder's files are added to the store as loads of their own: what other loads
+    brought stays, and only the months touched are refreshed. ``rebuild`` replaces
+    everything by what the folder holds.
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
@@ -114,15 +124,19 @@ def run_batch(
     if not (skip_ingestion and storage.exists(spark, raw_path)):
         source.ingest_folder(spark, input_dir, raw_path)
     if not (skip_cleaning and storage.exists(spark, store.cleaned_path)):
-        source.write_cleaned(spark.read.parquet(raw_path), store.cleaned_path)
-        incremental.rebuild_all(spark, store)
+        raw = spark.read.parquet(raw_path)
+        if rebuild:
+            source.write_cleaned(raw, store.cleaned_path)
+            incremental.rebuild_all(spark, store)
+        else:
+            incremental.apply_load(spark, store, raw)
 
     trips, tables = store.cleaned(spark), {}
     if sample_fraction is not None and sample_fraction < 1.0:
         trips = bernoulli(trips, sample_fraction, SEED)
     else:
         tables = {"hourly": store.state(spark, "hourly"), "zones": store.state(spark, "zones")}
-        tables["routes"] = store.state(spark, "routes")
+        tables["routes"], tables["fares"] = store.state(spark, "routes"), store.state(spark, "fares")
 
     results: dict[str, DataFrame] = {}
     if "temporal" in stages:
@@ -132,11 +146,12 @@ def run_batch(
             geospatial_results(trips, tables.get("zones"), tables.get("routes"), hotspot_min_trips)
         )
     if "economic" in stages:
-        results.update(economic_results(trips))
+        results.update(economic_results(trips, tables.get("fares")))
     if "ml" in stages:
         trained = models.train_all(trips, **model_params)
         for model in trained.values():
-            models.save(model, f"{root}/models")
+            if model.model is not None:
+                models.save(model, f"{root}/models")
         results["fare_models"] = models.metrics_frame(spark, trained)
     source.write_results(results, f"{root}/results")
     return results

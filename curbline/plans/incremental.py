@@ -1,7 +1,7 @@
 """Adding, or re-adding, monthly files without recomputing the rest.
 
 Cleaned trips are partitioned by (year, month, load_id), the load being the file
-a row came from. A load replaces its own partitions and no others, so running it
+a row came from (told apart by its whole path). A load replaces its own partitions and no others, so running it
 again changes nothing, a corrected file takes the place of its first version, and
 a stray row of an old month is added to that month. The state of every touched
 month is then rebuilt from all loads of that month.
@@ -14,6 +14,7 @@ removed last.
 from __future__ import annotations
 
 import json
+import re
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -28,14 +29,17 @@ from curbline.sources import trips as source
 TOUCHED_SCHEMA = StructType([StructField("year", IntegerType()), StructField("month", IntegerType())])
 
 
-def load_csv(spark: SparkSession, store: TripStore, csv_path) -> DataFrame:
+def load_csv(spark: SparkSession, store: TripStore, csv_path, drop_root: str | None = None) -> DataFrame:
     """Clean CSV files into the store and refresh the months they touch.
 
-    Returns the touched (year, month) pairs.
+    A file takes the place of an earlier one of the same path (from ``drop_root`` on,
+    if given), never of one that only has the same name. Returns the touched
+    (year, month) pairs.
     """
     scanned = source.read_csv(spark, csv_path)
-    files = [path.rsplit("/", 1)[-1] for path in scanned.inputFiles()]
-    return apply_load(spark, store, source.with_load_id(scanned), files)
+    files = spark.createDataFrame([(f,) for f in scanned.inputFiles()], "path string")
+    names = [r[0] for r in files.select(source.load_id_of(F.col("path"), drop_root)).collect()]
+    return apply_load(spark, store, source.with_load_id(scanned, drop_root), names)
 
 
 def apply_load(spark: SparkSession, store: TripStore, raw: DataFrame, load_ids=()) -> DataFrame:
@@ -84,16 +88,18 @@ def _write_loads(store: TripStore, raw: DataFrame) -> tuple[set, set]:
 
 def _stale_partitions(spark: SparkSession, store: TripStore, load_ids: set, written: set) -> set:
     """Partitions of these loads that an earlier run filled and this one did not."""
-    if not load_ids or not storage.exists(spark, store.cleaned_path):
-        return set()
-    held = store.cleaned(spark).where(F.col("load_id").isin(*sorted(load_ids)))
-    rows = held.select(*source.LOAD_PARTITIONS).distinct().collect()
-    return {(r["year"], r["month"], r["load_id"]) for r in rows} - written
+    held = set()
+    for load in sorted(load_ids):
+        pattern = f"{store.cleaned_path}/year=*/month=*/load_id={_literal(storage.escaped(spark, load))}"
+        for folder in storage.matching(spark, pattern):
+            year, month = re.search(r"/year=(-?\d+)/month=(\d+)/load_id=[^/]*$", folder).groups()
+            held.add((int(year), int(month), load))
+    return held - written
 
 
-def _month_in(months) -> Column:
-    """Flat test on the partition columns, so that it prunes folders."""
-    return (F.col("year") * 100 + F.col("month")).isin(*[y * 100 + m for y, m in months])
+def _literal(name: str) -> str:
+    """A file name as a glob pattern that matches nothing else."""
+    return re.sub(r"([\\*?\[\]{},])", r"\\\1", name)
 
 
 def _partition_in(partitions) -> Column:
@@ -110,7 +116,7 @@ def refresh(spark: SparkSession, store: TripStore, months, without=()) -> None:
     months = list(months)
     if not months:
         return
-    trips = store.cleaned(spark).where(_month_in(months))
+    trips = store.cleaned(spark, months)
     if without:
         trips = trips.where(~_partition_in(without))
 

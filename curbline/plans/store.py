@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from curbline.plans import state
 from curbline.plans import tables as T
 from curbline.schema import CLEANED_SCHEMA
+from curbline.sources import storage
 from curbline.sources import trips as source
 
 
@@ -23,8 +24,16 @@ class TripStore:
     def state_path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/state/{name}"
 
-    def cleaned(self, spark: SparkSession) -> DataFrame:
-        return source.read_cleaned(spark, self.cleaned_path)
+    def cleaned(self, spark: SparkSession, months=None) -> DataFrame:
+        """Cleaned trips; with ``months`` ((year, month) pairs) only their folders are
+        listed and read."""
+        if months is None:
+            return source.read_cleaned(spark, self.cleaned_path)
+        folders = [storage.partition_folder(spark, self.cleaned_path, year=y, month=m) for y, m in months]
+        folders = [f for f in folders if storage.exists(spark, f)]
+        if not folders:
+            return spark.createDataFrame([], CLEANED_SCHEMA)
+        return source.read_cleaned(spark, self.cleaned_path, folders)
 
     def state(self, spark: SparkSession, name: str) -> DataFrame:
         """Stored state. Its schema is that of its builder, so a state that holds no

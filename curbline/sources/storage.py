@@ -26,3 +26,14 @@ def partition_folder(spark: SparkSession, root: str, **values) -> str:
     utils = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
     parts = [utils.getPartitionPathString(name, str(value)) for name, value in values.items()]
     return "/".join([root.rstrip("/"), *parts])
+
+
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders that a glob pattern names; nothing below them is listed."""
+    fs, target = _fs_path(spark, pattern)
+    return sorted(status.getPath().toString() for status in fs.globStatus(target) or ())
+
+
+def escaped(spark: SparkSession, value: str) -> str:
+    """A partition value as Spark's writer spells it in a folder name."""
+    return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)

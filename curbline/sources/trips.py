@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curbline import schema as S
 from curbline.functions import columns as C
 from curbline.operators import clean
 
-ROWS_PER_FILE = 500_000
+ROWS_PER_FILE = 5_000_000
 LOAD_PARTITIONS = ["year", "month", "load_id"]
 
 
@@ -34,10 +34,24 @@ def stream_csv(spark: SparkSession, folder: str, files_per_batch: int | None = N
     return with_load_id(reader.csv(folder))
 
 
-def with_load_id(scanned: DataFrame) -> DataFrame:
-    """Name the file each row came from (URL-encoded, as Spark reports it); only
-    valid directly on a file scan."""
-    return scanned.select(*scanned.columns, F.col("_metadata.file_name").alias("load_id"))
+def _plain(path: Column) -> Column:
+    return F.regexp_replace(path, "^[A-Za-z0-9+.-]+:/+", "/")
+
+
+def load_id_of(path: Column, drop_root: str | None = None) -> Column:
+    """Load a file stands for: its name and a digest of its path, so that files of one
+    name in different folders are different loads. The path counts from ``drop_root``
+    on, if that is given: a drop that moves as a whole keeps its loads."""
+    plain = _plain(path)
+    if drop_root is not None:
+        root = F.concat(F.regexp_replace(_plain(F.lit(drop_root)), "/+$", ""), F.lit("/"))
+        plain = F.when(F.startswith(plain, root), F.substring(plain, F.length(root) + 1, F.length(plain))).otherwise(plain)
+    return F.concat_ws("~", F.regexp_extract(plain, "[^/]*$", 0), F.substring(F.md5(plain), 1, 16))
+
+
+def with_load_id(scanned: DataFrame, drop_root: str | None = None) -> DataFrame:
+    """Name the file each row came from; only valid directly on a file scan."""
+    return scanned.select(*scanned.columns, load_id_of(F.col("_metadata.file_path"), drop_root).alias("load_id"))
 
 
 def _with_month(trips: DataFrame) -> DataFrame:
@@ -45,9 +59,9 @@ def _with_month(trips: DataFrame) -> DataFrame:
 
 
 def write_partitioned(
-    df: DataFrame, path: str, partition_by, dynamic: bool = False, gather: bool = True
+    df: DataFrame, path: str, partition_by, dynamic: bool = False, gather: bool = True, rows_per_file: int = ROWS_PER_FILE
 ) -> None:
-    """Parquet, one folder per partition value, at most 500k rows per file.
+    """Parquet, one folder per partition value, at most ``rows_per_file`` rows a file.
 
     Gathering brings a partition's rows together so files are not tiny; the
     ``rebalance`` hint lets adaptive execution split a partition that is too big
@@ -57,7 +71,7 @@ def write_partitioned(
     writer = (
         (df.hint("rebalance", *partition_by) if gather else df)
         .write.mode("overwrite")
-        .option("maxRecordsPerFile", ROWS_PER_FILE)
+        .option("maxRecordsPerFile", rows_per_file)
         .option("compression", "snappy")
     )
     if dynamic:
@@ -65,14 +79,16 @@ def write_partitioned(
     writer.partitionBy(*partition_by).parquet(path)
 
 
-def ingest_csv(spark: SparkSession, csv_path, output_path: str, partition_by=("year", "month")) -> DataFrame:
+def ingest_csv(
+    spark: SparkSession, csv_path, output_path: str, partition_by=("year", "month"), gather: bool = True
+) -> DataFrame:
     """CSV to partitioned Parquet; returns the written dataset.
 
-    Vendor files hold a month each, so tasks see one or two months and write them
-    without a shuffle.
+    Rows of a partition are gathered, as files may hold any months. Where each file
+    holds one month, ``gather=False`` saves the shuffle.
     """
     rows = _with_month(with_load_id(read_csv(spark, csv_path)))
-    write_partitioned(rows, output_path, list(partition_by), gather=False)
+    write_partitioned(rows, output_path, list(partition_by), gather=gather)
     return spark.read.parquet(output_path)
 
 
@@ -104,10 +120,12 @@ def cleaned_rows(raw: DataFrame, limits: dict = S.CLEANING_LIMITS) -> DataFrame:
     return clean.clean_trips(raw, limits).select(*S.CLEANED_SCHEMA.fieldNames())
 
 
-def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
+def read_cleaned(spark: SparkSession, path: str, folders=None) -> DataFrame:
     """Cleaned trips. The schema is given, so load ids stay text and no footer is
-    opened to infer it; filters on year, month and load_id prune folders."""
-    return spark.read.schema(S.CLEANED_SCHEMA).parquet(path)
+    opened to infer it; filters on year, month and load_id prune folders. With
+    ``folders`` (below ``path``) only these are listed and read."""
+    reader = spark.read.schema(S.CLEANED_SCHEMA)
+    return reader.parquet(path) if folders is None else reader.option("basePath", path).parquet(*folders)
 
 
 def write_results(results: dict[str, DataFrame], folder: str) -> dict[str, str]:

@@ -156,3 +156,16 @@ def test_backtest_beats_naive_on_a_noisy_series(spark):
     frame = spark.createDataFrame(data, "hour_start timestamp, trip_count long")
     r = forecast.backtest(frame).first()
     assert r["test_hours"] == 168 and r["model_mae"] < r["naive_mae"]
+
+
+def test_a_stray_date_does_not_move_a_bounded_forecast(spark):
+    from datetime import datetime, timedelta
+
+    first = datetime(2015, 1, 1)
+    hours = [(first + timedelta(hours=h), 100 + 10 * (h % 24)) for h in range(28 * 24)]
+    steady = spark.createDataFrame(hours, "hour_start timestamp, trip_count long")
+    stray = steady.union(spark.createDataFrame([(datetime(2084, 5, 1), 1)], steady.schema))
+    bounds = {"start": "2015-01-01", "end": "2015-01-29"}
+    for ask in (forecast.demand_forecast, forecast.seasonal_naive_forecast, forecast.recent_demand):
+        assert rows(ask(stray, **bounds)) == rows(ask(steady))
+    assert forecast.with_lags(stray, **bounds).count() == forecast.with_lags(steady).count() == 28 * 24 - 168 + 24

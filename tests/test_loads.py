@@ -103,7 +103,7 @@ def test_csv_cells(spark, tmp_path):
 def test_folder_ingest_and_report(spark, drops, tmp_path):
     stored = source.ingest_folder(spark, str(drops), str(tmp_path / "raw"))
     assert rows(source.load_report(stored)) == [(2015, 1, 63, 153), (2015, 2, 50, 153), (2016, 1, 40, 153)]
-    assert {r[0] for r in stored.select("load_id").distinct().collect()} == set(DROPS)
+    assert {r[0].split("~")[0] for r in stored.select("load_id").distinct().collect()} == set(DROPS)
 
 
 def test_one_file_with_chosen_partitions(spark, drops, tmp_path):
@@ -127,11 +127,15 @@ def test_loading_order_does_not_matter(spark, drops, tmp_path, order):
 
 def test_reload_correction_and_emptied_month(spark, drops, tmp_path):
     store = TripStore(str(tmp_path / "store"))
-    incremental.load_csv(spark, store, [str(drops / n) for n in DROPS])
+
+    def load(folder, *names):
+        return incremental.load_csv(spark, store, [str(folder / n) for n in names], drop_root=str(folder))
+
+    load(drops, *DROPS)
     before = (tmp_path / "store" / "state" / "fares" / "year=2015" / "month=2").stat().st_mtime_ns
 
     # the same file again changes nothing
-    incremental.load_csv(spark, store, str(drops / "2016-01.csv"))
+    load(drops, "2016-01.csv")
     assert_tables_equal_direct(spark, store, everything(*DROPS))
     after = (tmp_path / "store" / "state" / "fares" / "year=2015" / "month=2").stat().st_mtime_ns
     assert before == after, "an untouched month was rewritten"
@@ -140,32 +144,32 @@ def test_reload_correction_and_emptied_month(spark, drops, tmp_path):
     fixed = tmp_path / "fixed"
     fixed.mkdir()
     write_csv(fixed / "2016-01.csv", DROPS["2016-01.csv"][:30])
-    touched = incremental.load_csv(spark, store, str(fixed / "2016-01.csv"))
+    touched = load(fixed, "2016-01.csv")
     assert sorted(rows(touched)) == [(2015, 1), (2016, 1)]
     remaining = everything("2015-01.csv", "2015-02.csv") + DROPS["2016-01.csv"][:30]
     assert_tables_equal_direct(spark, store, remaining)
 
     # a correction that holds nothing usable removes the month altogether
     write_csv(fixed / "2015-02.csv", [trip(fare_amount=-1.0)])
-    incremental.load_csv(spark, store, str(fixed / "2015-02.csv"))
+    load(fixed, "2015-02.csv")
     assert_tables_equal_direct(spark, store, DROPS["2015-01.csv"] + DROPS["2016-01.csv"][:30])
 
     # odd file names are load names like any other
     write_csv(fixed / "a b=50%.csv", monthly(2016, 5, 9))
-    incremental.load_csv(spark, store, str(fixed / "a b=50%.csv"))
+    load(fixed, "a b=50%.csv")
     write_csv(fixed / "a b=50%.csv", [])
-    touched = incremental.load_csv(spark, store, str(fixed / "a b=50%.csv"))
+    touched = load(fixed, "a b=50%.csv")
     assert rows(touched) == [(2016, 5)]
 
     # and so does one without any line
     write_csv(fixed / "2016-01.csv", [])
-    incremental.load_csv(spark, store, str(fixed / "2016-01.csv"))
+    load(fixed, "2016-01.csv")
     assert_tables_equal_direct(spark, store, DROPS["2015-01.csv"])
 
 
 def test_interrupted_correction_can_be_repeated(spark, drops, tmp_path, monkeypatch):
     store = TripStore(str(tmp_path / "store"))
-    incremental.load_csv(spark, store, [str(drops / n) for n in DROPS])
+    incremental.load_csv(spark, store, [str(drops / n) for n in DROPS], drop_root=str(drops))
     fixed = tmp_path / "fixed"
     fixed.mkdir()
     path = write_csv(fixed / "2016-01.csv", DROPS["2016-01.csv"][:10])
@@ -176,8 +180,8 @@ def test_interrupted_correction_can_be_repeated(spark, drops, tmp_path, monkeypa
     with monkeypatch.context() as broken:
         broken.setattr(incremental, "refresh", die)
         with pytest.raises(RuntimeError):
-            incremental.load_csv(spark, store, path)
-    incremental.load_csv(spark, store, path)
+            incremental.load_csv(spark, store, path, drop_root=str(fixed))
+    incremental.load_csv(spark, store, path, drop_root=str(fixed))
     assert_tables_equal_direct(spark, store, everything("2015-01.csv", "2015-02.csv") + DROPS["2016-01.csv"][:10])
 
 
@@ -247,3 +251,76 @@ def test_batch_run(spark, drops, tmp_path):
     assert again["trips_by_hour"].agg(F.sum("trip_count")).first()[0] < trips.count()
     with pytest.raises(ValueError):
         batch.run_batch(spark, str(drops), root, stages=("viz",))
+
+
+def two_folders(tmp_path):
+    """Files of one name, of different years, in two folders."""
+    for folder, year, n in (("a", 2015, 30), ("b", 2016, 20)):
+        (tmp_path / folder).mkdir()
+        write_csv(tmp_path / folder / "yellow_01.csv", monthly(year, 1, n))
+    return [str(tmp_path / f / "yellow_01.csv") for f in "ab"], monthly(2015, 1, 30) + monthly(2016, 1, 20)
+
+
+@pytest.mark.parametrize("calls", [lambda a, b: [a, b], lambda a, b: [b, a], lambda a, b: [[a, b]], lambda a, b: [a, b, a]])
+def test_equal_file_names_are_different_loads(spark, tmp_path, calls):
+    (a, b), everything_ = two_folders(tmp_path)
+    store = TripStore(str(tmp_path / "store"))
+    for path in calls(a, b):
+        incremental.load_csv(spark, store, path)
+    assert_tables_equal_direct(spark, store, everything_)
+
+
+def test_streams_of_two_folders(spark, tmp_path):
+    _, everything_ = two_folders(tmp_path)
+    store = TripStore(str(tmp_path / "store"))
+    for folder in ("a", "b", "a"):
+        arrivals.store_arrivals(spark, str(tmp_path / folder), store, str(tmp_path / f"checkpoint-{folder}")).awaitTermination()
+    assert_tables_equal_direct(spark, store, everything_)
+
+
+def test_streamed_and_loaded_files_are_the_same_loads(spark, tmp_path):
+    (a, _), _ = two_folders(tmp_path)
+    store = TripStore(str(tmp_path / "store"))
+    arrivals.store_arrivals(spark, str(tmp_path / "a"), store, str(tmp_path / "checkpoint")).awaitTermination()
+    incremental.load_csv(spark, store, a)
+    assert_tables_equal_direct(spark, store, monthly(2015, 1, 30))
+
+
+def test_a_batch_run_keeps_other_loads(spark, tmp_path):
+    (tmp_path / "drops").mkdir()
+    write_csv(tmp_path / "drops" / "2015-01.csv", DROPS["2015-01.csv"])
+    later = write_csv(tmp_path / "2015-02.csv", DROPS["2015-02.csv"])
+    root = str(tmp_path / "root")
+    run = lambda **options: batch.run_batch(spark, str(tmp_path / "drops"), root, stages=("temporal",), **options)
+    run()
+    incremental.load_csv(spark, TripStore(root), later)
+    run()
+    assert_tables_equal_direct(spark, TripStore(root), everything("2015-01.csv", "2015-02.csv"))
+    run(rebuild=True)
+    assert_tables_equal_direct(spark, TripStore(root), everything("2015-01.csv"))
+
+
+def test_a_refresh_lists_touched_months_only(spark, drops, tmp_path):
+    store = TripStore(str(tmp_path / "store"))
+    for name in DROPS:
+        incremental.load_csv(spark, store, str(drops / name))
+    files = store.cleaned(spark, [(2015, 2), (1999, 1)]).inputFiles()
+    assert files and all("/year=2015/month=2/" in f for f in files)
+    assert len(store.cleaned(spark).inputFiles()) > len(files)
+    assert store.cleaned(spark, [(1999, 1)]).count() == 0
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from curbline.session import shared_dir
+
+    def session(master, base):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: base), sparkContext=SimpleNamespace(master=master))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session("spark://host:7077", None), "x")
+    with pytest.raises(ValueError):
+        shared_dir(session("local-cluster[2,1,1024]", None), "x")
+    assert shared_dir(session("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/x-")
+    assert shared_dir(session("local[4]", None), "x")

@@ -11,8 +11,12 @@ import __spark_entry__ as entry
 from check_oracle import compare, duck
 from conftest import SF_SMALL
 
-# the loads of many tiny months are exercised by test_incremental instead
-SLOW = {"incremental_merge", "stream_merge"}
+# the loads of many tiny months are exercised by test_loads instead
+SLOW = {"incremental_merge", "stream_merge", "run_batch", "advanced_revenue_windows"} | {
+    f"incremental_{name}" for name in ("hourly", "zones", "routes", "airports", "summary")
+}
+# the operators of tests/llm have their own tests
+SLOW |= {name for name in entry.oracle_sql() if name.startswith("op")}
 
 
 @pytest.fixture(scope="module")
