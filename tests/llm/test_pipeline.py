@@ -1,13 +1,10 @@
 """The pipeline, stage by stage on its own input, against brute force."""
 
-import hashlib
 import re
 
-import numpy as np
 import pytest
-from pyspark.sql import functions as F
-from test_jaccard import brute
-from test_native import base, level
+from llm.test_jaccard import brute
+from llm.test_native import base, level
 
 import corpus_pipeline
 from curbline.llm import mixing, quality, secrets
