@@ -41,8 +41,10 @@ from curbline.llm.components import components
 from curbline.session import settled
 
 SHINGLE_WORDS, PERCENT = 5, 80
-#: Texts dealt out at a time, in bytes.
-BLOCK_BYTES = 64 << 20
+#: Texts dealt out at a time, in bytes; a task holds some ten times as much in arrays.
+BLOCK_BYTES = 8 << 20
+#: Buckets that a shuffle partition takes up one after the other.
+BUCKETS_A_PARTITION = 4
 #: Documents of a region that one task compares.
 REGION_DOCS = 2048
 #: Pivots of one split, and splits before tiles take over.
@@ -79,9 +81,10 @@ def _deal(buckets: int):
                 first = int(doc[part][0])
                 held = np.bincount(doc[part] - first)
                 low, high = h[part].astype(np.uint32), (h[part] >> np.uint64(32)).astype(np.uint16)
-                counts = held.astype(np.uint16 if held.max() < 65536 else np.uint32)
+                most = int(held.max())
+                counts = held.astype(np.uint8 if most < 256 else np.uint16 if most < 65536 else np.uint32)
                 out.append((b, block, first, low.tobytes(), high.tobytes(), b"%d" % counts.itemsize + counts.tobytes(), None, None, None))
-        out.append((-1 - ((block >> 24) + (block & 0xFFFFFF)) % buckets, block, 0, None, None, None, ids, n.tolist(), prints))
+        out.append((-1 - (31 * (block >> 24) + (block & 0xFFFFFF)) % buckets, block, 0, None, None, None, ids, n.tolist(), prints))
         return _batch(out, DEALT)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,7 +120,7 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def _counts(packed: bytes) -> np.ndarray:
-    return np.frombuffer(packed, np.uint16 if packed[:1] == b"2" else np.uint32, offset=1)
+    return np.frombuffer(packed, f"u{int(packed[:1])}", offset=1)
 
 
 def _find_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,10 +192,11 @@ def index(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """(id, n, print, shingles, prefix) of every document; ``shingles`` is null where
     no partner is possible, ``print`` is equal for equal sets."""
     spark = docs.sparkSession
-    buckets = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 32768)
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = min(BUCKETS_A_PARTITION * partitions, 65536)
     picked = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     dealt = picked.mapInArrow(_deal(buckets), DEALT)
-    shared = dealt.repartition(buckets, "bucket").mapInArrow(_find_shared, SHARED)
+    shared = dealt.repartition(partitions, "bucket").mapInArrow(_find_shared, SHARED)
     return shared.groupBy("block").applyInArrow(_select(percent), INDEXED)
 
 
