@@ -35,7 +35,9 @@ LATIN = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 COMMON = re.compile("[^\t-\r -~\u00a0-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u024f\u2010-\u2027\u2030-\u205e]")
 LATIN_PIECES = re.compile(rf" ?[{LATIN}]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\s{LATIN}0-9]+|\s+(?!\S)|\s+")
 #: Pieces a task remembers, and the longest that it does (in characters).
-KEPT_PIECES, KEPT_LENGTH = 400_000, 40
+KEPT_PIECES, KEPT_LENGTH = 250_000, 40
+#: Pairs of tokens whose test a task remembers.
+KEPT_PAIRS = 300_000
 #: Texts longer than this (in characters) are cut piece by piece, not all at once.
 CUT = 1 << 16
 
@@ -105,7 +107,7 @@ class Encoder:
                 limit, left = a, parts[left][1]
             else:
                 limit, right = b + 1, parts[right][0]
-        if len(self.beside) > 2_000_000:
+        if len(self.beside) >= KEPT_PAIRS:
             self.beside.clear()
         self.beside[pair] = ok
         return ok
