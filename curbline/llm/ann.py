@@ -3,9 +3,10 @@
 Every tree gives a vector a string of 64 random-hyperplane bits and keeps its
 vectors as an array sorted by string. A query descends to its longest matching
 prefix in every tree and then ascends in all trees at the same time, one bit a
-step, until the vectors below the prefixes are candidates enough. Candidates of
-one depth are a range of the sorted array, so a large group of equal vectors is
-found as a whole. All candidates are scored on the original vectors.
+step, until the vectors below the prefixes, counted tree by tree, are candidates
+enough and at least k different rows besides its own; at the root all rows are.
+Candidates of one depth are a range of the sorted array, so a large group of equal
+vectors is found as a whole. All candidates are scored on the original vectors.
 
 Nearness is the inner product. Vectors get one more component that makes all norms
 equal (queries get 0 there), which turns the largest inner product into the
@@ -52,35 +53,46 @@ class Forest:
         self.order = np.argsort(strings, axis=0, kind="stable")
         self.sorted = np.take_along_axis(strings, self.order, axis=0)
 
-    def ranges(self, queries: np.ndarray, enough: float) -> tuple[np.ndarray, np.ndarray]:
+    def below(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """First and last position in every tree (queries, trees) of the rows that
-        share the prefix at which all trees together have ``enough`` of them."""
-        trees = queries.shape[1]
+        share ``depth`` bits with each query."""
+        rest, trees = np.uint64((1 << (BITS - depth)) - 1), range(queries.shape[1])
+        low = np.stack([np.searchsorted(self.sorted[:, t], queries[:, t] & ~rest, "left") for t in trees], axis=1)
+        high = np.stack([np.searchsorted(self.sorted[:, t], queries[:, t] | rest, "right") for t in trees], axis=1)
+        return low, high
+
+    def ranges(self, queries: np.ndarray, enough: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``below`` at the depth at which all trees together have ``enough`` rows, and
+        the depth of every query; 0 is the root, which has all rows."""
         first, last = np.zeros(queries.shape, np.int64), np.full(queries.shape, len(self.sorted), np.int64)
-        climbing = np.arange(len(queries))
+        depths, climbing = np.zeros(len(queries), np.int64), np.arange(len(queries))
         for depth in range(BITS, 0, -1):
-            below = np.uint64((1 << (BITS - depth)) - 1)
-            own = queries[climbing]
-            low = np.stack([np.searchsorted(self.sorted[:, t], own[:, t] & ~below, "left") for t in range(trees)], axis=1)
-            high = np.stack([np.searchsorted(self.sorted[:, t], own[:, t] | below, "right") for t in range(trees)], axis=1)
+            low, high = self.below(queries[climbing], depth)
             stop = (high - low).sum(axis=1) >= enough
-            first[climbing[stop]], last[climbing[stop]] = low[stop], high[stop]
+            first[climbing[stop]], last[climbing[stop]], depths[climbing[stop]] = low[stop], high[stop], depth
             climbing = climbing[~stop]
             if not len(climbing):
                 break
-        return first, last
+        return first, last, depths
 
 
 def best(forest: Forest, x: np.ndarray, ids: np.ndarray, strings: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, enough: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Of every query its k best candidates: number, ids and inner products."""
-    first, last = forest.ranges(strings, enough)
+    """Of every query its k best candidates: number, ids and inner products. Trees may
+    all have the same rows, so a query with fewer than k candidates ascends further."""
+    first, last, depths = forest.ranges(strings, enough)
     seen = np.zeros(len(x), bool)
     for q in range(len(queries)):
-        for t in range(strings.shape[1]):
-            seen[forest.order[first[q, t] : last[q, t], t]] = True
-        found = np.flatnonzero(seen)
-        seen[found] = False
-        found = found[ids[found] != own[q]]
+        low, high, depth = first[q], last[q], int(depths[q])
+        while True:
+            for t in range(strings.shape[1]):
+                seen[forest.order[low[t] : high[t], t]] = True
+            found = np.flatnonzero(seen)
+            seen[found] = False
+            found = found[ids[found] != own[q]]
+            if len(found) >= k or depth == 0:
+                break
+            depth -= 1
+            (low,), (high,) = forest.below(strings[q : q + 1], depth)
         score = np.empty(len(found))
         for at in range(0, len(found), SCORED):
             part = found[at : at + SCORED]
@@ -112,8 +124,8 @@ def nearest(
     (its vec_id) is no candidate. Vectors that are null, empty, zero or hold null or
     non-finite components, and null ids, take no part; vectors of another number of
     dimensions are not compared. Repeated rows of one id and vector count once. Each
-    query gets min(k, candidates found) rows; an empty side gives none. Other columns
-    are not read.
+    query gets k rows, or as many as it can be compared with if these are fewer; an
+    empty side gives none. Other columns are not read.
     """
     spark = vectors.sparkSession
     plain = ["CAST(vec_id AS bigint) AS vec_id", "CAST(embedding AS array<double>) AS embedding"]
