@@ -7,7 +7,8 @@ only if words near it raise its score to the threshold.
 
 Texts are searched whole, row by row in Arrow batches. Patterns start at the
 border of a run and never give back what they matched, so time grows with the
-length of a text and not with its square.
+length of a text and not with its square. An account number, of 43 characters at most,
+may give back the groups after it, and the search goes on behind what was its own.
 """
 
 from __future__ import annotations
@@ -74,11 +75,25 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-def _proposals(text: str) -> Iterator[tuple[str, int, int]]:
-    for m in IBAN.finditer(text):
-        compact = m[0].replace(" ", "")
+def _account_end(run: str) -> int:
+    """Where the account number at the start of ``run`` ends, 0 if there is none. Groups
+    may be words that follow it, so ends before a space are tried too, the last first."""
+    end = len(run)
+    while end > 0:
+        compact = run[:end].replace(" ", "")
         if 15 <= len(compact) <= 34 and mod97(compact):
-            yield "iban", m.start(), m.end()
+            return end
+        end = run.rfind(" ", 0, end)
+    return 0
+
+
+def _proposals(text: str) -> Iterator[tuple[str, int, int]]:
+    at = 0
+    while m := IBAN.search(text, at):
+        end = _account_end(m[0])
+        if end:
+            yield "iban", m.start(), m.start() + end
+        at = m.start() + (end or 4)
     for m in CARD.finditer(text):
         digits = m[0].replace(" ", "").replace("-", "")
         if 13 <= len(digits) <= 15 and luhn(digits):

@@ -42,11 +42,31 @@ def test_further_kinds():
     assert pii.mod97("DE89370400440532013000") and not pii.mod97("DE88370400440532013000")
 
 
+def accounts(text):
+    return [text[a:b] for kind, a, b, _ in sorted(pii.more_spans(text, []), key=lambda s: s[1]) if kind == "iban"]
+
+
+def test_account_numbers_before_other_groups():
+    spaced, plain, british = "ES91 2100 0418 4502 0005 1332", "ES9121000418450200051332", "GB82 WEST 1234 5698 7654 32"
+    for account in (spaced, plain, british, "AT61 1904 3002 3457 3201", "BE68539007547034"):
+        for after in ("", " BIC CAIXESBB", " 2024", " CAIXESBB", " A", " 2024 2025 ABCD EFGH", " today", ", 2024", " 12345678 1234"):
+            assert accounts(f"IBAN {account}{after}") == [account], (account, after)
+    for first in (spaced, plain, british):
+        assert accounts(f"{first} {plain} {british} 2024") == [first, plain, british]
+    assert accounts(f"AB12 CDEF GHIJ {british}") == [british]  # a failed proposal takes nothing along
+    assert accounts(f"{spaced[:-1]}3 BIC") == accounts(f"{plain}BIC") == accounts(f"X{plain} BIC") == []
+
+
 def test_long_runs_take_linear_time():
     for text in ("a" * 400_000 + "@", "1" * 400_000 + ".1" * 300_000, "+1" + "(" * 400_000, "a@" * 200_000):
         pii.base_spans(text)
 
 
+def test_many_account_proposals_take_linear_time():
+    for text in ("AB12 " * 80_000, "AB12CDEF" * 50_000, "AB12 CDEF GHIJ KLMN " * 20_000):
+        assert pii.more_spans(text, []) == []
+
+
 def test_report(spark, odd_docs, no_docs):
     texts = ["a@b.example %x@c.example", "\U0001f600 é 10.0.0.255 and 10.0.0.256", "4111 1111 1111 1111", "+49 (30) 1234567"]
     docs = odd_docs.select("doc_id", "text").union(spark.createDataFrame(list(enumerate(texts, 60)), "doc_id long, text string"))
