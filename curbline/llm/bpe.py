@@ -2,8 +2,10 @@
 
 Every prefix of a text has exactly one last token in the encoding that merging by
 rank gives. It is found without merging: among the vocabulary strings that end at
-a position (matches of a suffix automaton), the right one is that which may stand
-after the last token of the prefix it leaves. Whether two tokens may stand side by
+a position, the right one is that which may stand after the last token of the prefix
+it leaves. They are matches of an Aho-Corasick automaton over the vocabulary, in place
+of a suffix automaton: both give the same strings, and compiled code (pyahocorasick)
+finds the former. Whether two tokens may stand side by
 side is a property of the pair: merging across their border must not come before
 the merges that made them. Back-pointers then give the ids.
 
