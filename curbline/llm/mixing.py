@@ -2,7 +2,7 @@
 
 The words of a source, its documents in a fixed order, are packed into blocks of
 ``block_words`` words. Every source gets a quota of blocks that meets its target.
-Output is a row of shards with ``shard_slots`` slots each. The sources of a
+The mix is a row of shards with ``shard_slots`` slots each. The sources of a
 shard's slots are a multinomial draw given the quotas: slot numbers of all sources
 are laid end to end and put in a pseudorandom order that is cut into shards, so a
 shard's counts vary as in independent draws while each source's total is met
@@ -98,6 +98,14 @@ def drawn_slots(held: DataFrame, shard_slots: int = SHARD_SLOTS, seed: int = SEE
     return made.select(F.expr(f"place div {shard_slots}").alias("shard"), (F.col("place") % shard_slots).alias("slot"), "rank", "block", "pass")
 
 
+def shard_counts(docs: DataFrame, text_column: str = "text", block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS, seed: int = SEED) -> DataFrame:
+    """(shard, source, slots): how many slots of a shard the draw gives to a source. Over
+    all shards they come to the source's quota; sources without slots have no row."""
+    goals = settled(quotas(targets(settled(sized(docs, text_column), "sizes")), block_words), "targets")
+    slots = drawn_slots(goals, shard_slots, seed).groupBy("shard", "rank").agg(F.count("*").alias("slots"))
+    return slots.hint("merge").join(goals.select("rank", "source"), "rank").select("shard", "source", "slots")
+
+
 def placed(sizes: DataFrame, goals: DataFrame) -> DataFrame:
     """``sizes`` with rank, source_size, target and ``first``, the number of words of
     its source before a document. Repeated rows follow each other."""
@@ -114,12 +122,15 @@ def placed(sizes: DataFrame, goals: DataFrame) -> DataFrame:
 
 
 def taken_pieces(docs: DataFrame, text_column: str = "text", block_words: int = BLOCK_WORDS, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
-    """The documents in place, and (rank, first, from, words, times): how often the mix
-    takes each piece of a document that lies in one block; from counts its words."""
+    """The documents in place, and (rank, first, from, words, times, shards): how often
+    the mix takes each piece of a document that lies in one block, and the shard of each
+    time; from counts its words."""
     sizes = settled(sized(docs, text_column), "sizes")
     goals = settled(quotas(targets(sizes), block_words), "targets")
     located = settled(placed(sizes, goals), "placed")
-    times = drawn_slots(goals, seed=seed).groupBy("rank", "block").agg(F.count("*").alias("times"))
+    # a block has one slot a pass
+    shards = F.array_compact(F.array(*[F.max(F.when(F.col("pass") == n, F.col("shard"))) for n in range(REPEATS)]))
+    times = drawn_slots(goals, seed=seed).groupBy("rank", "block").agg(F.count("*").alias("times"), shards.alias("shards"))
     block = F.explode(F.expr(f"sequence(first div {block_words}, (first + size - 1) div {block_words})"))
     pieces = located.where("size > 0").select("rank", "first", "size", block.alias("block"))
     start, end = F.greatest("first", F.col("block") * block_words), F.least(F.col("first") + F.col("size"), (F.col("block") + 1) * block_words)
@@ -129,8 +140,9 @@ def taken_pieces(docs: DataFrame, text_column: str = "text", block_words: int =
     return located, pieces.join(times.hint("merge"), ["rank", "block"])
 
 
-def mix_report(docs: DataFrame, text_column: str = "text", block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row of ``docs``.
+def mix_report(docs: DataFrame, text_column: str = "text", block_words: int = BLOCK_WORDS, seed: int = SEED, shards: bool = False) -> DataFrame:
+    """(doc_id, size, source_size, target, taken) of every row of ``docs``, and on request
+    ``shards``, the number of shards that words of the row are in.
 
     ``taken`` counts the words of a row that the mix takes, repeats included: at most
     twice its size, near the target over a source. Null and empty texts have size 0
@@ -139,10 +151,13 @@ def mix_report(docs: DataFrame, text_column: str = "text", block_words: int = BL
     Other columns are not read; an empty table gives no rows.
     """
     located, pieces = taken_pieces(docs, text_column, block_words, seed)
-    taken = pieces.groupBy("rank", "first").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    sums = [F.sum(F.col("words") * F.col("times")).alias("taken")]
+    if shards:
+        sums.append(F.size(F.array_distinct(F.flatten(F.collect_list("shards")))).cast("long").alias("shards"))
+    taken, names = pieces.groupBy("rank", "first").agg(*sums), ["taken", "shards"][: len(sums)]
     out = ["doc_id", "size", "source_size", "target"]
-    filled = located.where("size > 0").join(taken, ["rank", "first"], "left").select(*out, F.coalesce("taken", F.lit(0)).alias("taken"))
-    return filled.union(located.where("size = 0").select(*out, F.lit(0).cast("long").alias("taken")))
+    filled = located.where("size > 0").join(taken, ["rank", "first"], "left").select(*out, *[F.coalesce(c, F.lit(0)).alias(c) for c in names])
+    return filled.union(located.where("size = 0").select(*out, *[F.lit(0).cast("long").alias(c) for c in names]))
 
 
 def mixed(docs: DataFrame, text_column: str = "text", block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:

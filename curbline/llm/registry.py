@@ -25,7 +25,7 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix_report(table(spark, sf_dir, "documents"))
+    return mixing.mix_report(table(spark, sf_dir, "documents"), shards=True)
 
 
 def op3_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:

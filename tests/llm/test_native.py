@@ -118,6 +118,38 @@ def test_mixed_texts_are_what_is_taken(odd_docs):
     assert words == {k: v for k, v in taken.items() if v}
 
 
+def test_drawn_shards(spark, no_docs):
+    docs = spark.range(900).select(
+        F.col("id").alias("doc_id"), F.expr("repeat('w ', cast(id * 7 % 211 as int))").alias("text"),
+        F.expr("element_at(array('a', 'b', null), cast(id % 3 + 1 as int))").alias("source"),
+    )
+    goals = mixing.quotas(mixing.targets(mixing.sized(docs)))
+    quota = {r.source: r.quota for r in goals.collect()}
+    counts, total = {}, sum(quota.values())
+    for r in mixing.shard_counts(docs, shard_slots=64).collect():
+        counts[r.shard, r.source] = r.slots
+    n = -(-total // 64)
+    assert {s for s, _ in counts} == set(range(n)) and n > 10
+    assert {s: sum(counts.get((i, s), 0) for i in range(n)) for s in quota} == quota
+    for i in range(n):
+        assert sum(counts.get((i, s), 0) for s in quota) == min(64, total - 64 * i)
+    for s, q in quota.items():  # as drawn, not the same in every shard
+        drawn, p = [counts.get((i, s), 0) for i in range(n - 1)], q / total
+        spread = sum((c - 64 * p) ** 2 for c in drawn) / len(drawn)
+        assert 0.3 < spread / (64 * p * (1 - p)) < 3
+    sizes = mixing.sized(docs)
+    homes, want = {}, {}
+    for r in mixing.drawn_slots(goals).collect():
+        homes.setdefault((r["rank"], r["block"]), set()).add(r["shard"])
+    for r in mixing.placed(sizes, goals).collect():
+        ends = range(r["first"] // mixing.BLOCK_WORDS, -(-(r["first"] + r["size"]) // mixing.BLOCK_WORDS)) if r["size"] else ()
+        want[r["doc_id"]] = len(set().union(*(homes.get((r["rank"], b), set()) for b in ends)))
+    got = mixing.mix_report(docs, shards=True)
+    assert got.columns == ["doc_id", "size", "source_size", "target", "taken", "shards"]
+    assert {r.doc_id: r.shards for r in got.collect()} == want and len(set(want.values())) > 1
+    assert mixing.shard_counts(no_docs).count() == 0
+
+
 def test_mixing_nothing(no_docs):
     assert mixing.mix_report(no_docs).count() == 0 and mixing.mixed(no_docs).count() == 0
 
