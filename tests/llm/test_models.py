@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from curbline.llm import langid, quality
+from curbline.llm import langid, quality, samples
 
 SF = "/root/testdata/sf0.1"
 
@@ -78,6 +78,19 @@ def test_languages_of_odd_documents(odd_docs, no_docs):
     assert langid.language_report(no_docs, F.lit(False)).count() == 0
 
 
+def test_samples_have_rare_labels(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("text"))
+    hashed = {r.doc_id: r.h for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).collect()}
+    order = sorted(hashed, key=hashed.get)
+    rare = order[-3:]  # the last that hashes alone would take
+    label = F.when(F.col("doc_id").isin(rare), "fr").when(F.col("doc_id") % 2 == 0, "en").otherwise("de")
+    got = [(int(r.text), r.label) for r in samples.labelled_sample(docs, docs.select("doc_id", label.alias("label")), 300).collect()]
+    assert sorted(i for i, _ in got) == sorted(order[:297] + rare)
+    assert sorted(i for i, said in got if said == "fr") == sorted(rare)
+    many = docs.select("doc_id", (F.col("doc_id") % 40).alias("label"))
+    assert len({r.label for r in samples.labelled_sample(docs, many, 40).collect()}) == 40
+
+
 def test_gradients_are_those_of_the_loss():
     draw = np.random.default_rng(0)
     net = langid.Network.drawn(3, 4, draw)
