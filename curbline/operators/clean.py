@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from math import isfinite
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,12 +50,22 @@ def _doubles(df: DataFrame) -> list[str]:
 
 
 def _finite(name: str) -> Column:
-    return ~F.isnan(name) & (F.abs(name) < float("inf"))
+    """One test for both: NaN counts as greater than infinity."""
+    return F.abs(name) < float("inf")
 
 
-def without_non_finite(trips: DataFrame) -> DataFrame:
+def without_non_finite(trips: DataFrame, columns=None) -> DataFrame:
     """NaN and infinite cells as NULL, so that they spoil no mean, order or range."""
-    return trips.withColumns({c: F.when(_finite(c), F.col(c)) for c in _doubles(trips)})
+    columns = _doubles(trips) if columns is None else columns
+    return trips.withColumns({c: F.when(_finite(c), F.col(c)) for c in columns})
+
+
+def _bounded(limits: dict) -> set[str]:
+    """Columns that the rules hold between finite limits: a cell that is NaN or infinite
+    fails them as a missing one does, so it needs no test of its own."""
+    limited = {"trip_distance": ["trip_distance"], "fare_amount": ["fare_amount"]}
+    limited |= {short: [f"pickup_{full}", f"dropoff_{full}"] for short, full in (("lat", "latitude"), ("lon", "longitude"))}
+    return {c for key, names in limited.items() if all(isfinite(limits[f"{key}_{end}"]) for end in ("min", "max")) for c in names}
 
 
 def with_duration(trips: DataFrame) -> DataFrame:
@@ -95,7 +106,8 @@ def clean_trips(
     missing. The session's time zone must be UTC, on which calendar fields rest.
     """
     require_utc(raw.sparkSession)
-    raw = without_non_finite(raw)
+    bounded = _bounded(limits)
+    raw = without_non_finite(raw, [c for c in _doubles(raw) if c not in bounded])
     timed = with_duration(_fill_passengers(raw) if fill_before_filter else raw)
     kept = timed.where(reduce(Column.__and__, [*rules(limits).values(), _complete()]))
     return with_derived(kept.withColumn("tip_amount", F.coalesce("tip_amount", F.lit(0.0))))
