@@ -7,8 +7,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from curbline.llm import ann, bpe, chat, jaccard, langid, mixing, neardup, pii, quality, secrets
+from curbline.llm import ann, bpe, chat, fingerprint, hardneg, jaccard, langid, mixing, neardup, pii, quality, secrets, spelling
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -63,6 +64,19 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(table(spark, sf_dir, "documents"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_report(table(spark, sf_dir, "documents"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, moved)
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.counted_words(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": op1_chat_format,
     "op2_mixing": op2_mixing,
@@ -74,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_language_id": op9_language_id,
     "op10_secrets": op10_secrets,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_spelling": op13_spelling,
 }
 
 
@@ -147,8 +164,70 @@ SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(component_id, d.doc_id
 FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN parts ON parts.id = d.doc_id
 """
 
+NEGATIVES_SQL = """
+WITH whole AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+        CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM whole a JOIN whole b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), positives AS (
+    SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER own AS INTEGER) AS rank, id AS negative_id,
+    positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW own AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)
+QUALIFY row_number() OVER own <= 3
+"""
+
+SPELLING_SQL = """
+WITH RECURSIVE lowered AS (
+    SELECT doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+), runs AS (
+    SELECT doc_id, word, count(*) AS n
+    FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[a-z\\x{C0}-\\x{FF}]+')) AS word FROM lowered) GROUP BY ALL
+), crc_steps AS (
+    SELECT list_transform(range(256), lambda b: list_reduce(range(8),
+        lambda c, k: xor(c >> 1, 3988292384 * (c & 1)), b)) AS steps
+), hashed AS (
+    SELECT word, n, xor(list_reduce(list_transform(range(1, len(code), 2), lambda i: CAST('0x' || substr(code, i, 2) AS BIGINT)),
+        lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS h
+    FROM (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || word)) AS code FROM runs), crc_steps
+), changed AS (
+    SELECT n, CASE WHEN h % 97 = 0 THEN substr(word, 1, CAST(h % length(word) AS BIGINT))
+        || substr(word, CAST(h % length(word) + 2 AS BIGINT)) ELSE word END AS word FROM hashed
+), words AS (
+    SELECT word, CAST(sum(n) AS BIGINT) AS n FROM changed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cuts AS (
+    SELECT word, n, 0 AS place, word AS rest FROM words UNION ALL
+    SELECT word, n, place, substr(word, 1, place - 1) || substr(word, place + 1)
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS place FROM words)
+), near AS (
+    SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.word <> b.word
+    WHERE a.place = b.place OR a.place = 0 OR b.place = 0
+), best AS (
+    SELECT word, count(*) AS n_near, min({'n': -near_n, 'near': near}) AS best FROM near GROUP BY word
+), variants AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+        CASE WHEN -best.n >= 2 * w.n THEN best.near END AS form, CASE WHEN -best.n >= 2 * w.n THEN -best.n END AS form_n
+    FROM words w LEFT JOIN best USING (word)
+), ahead AS (
+    SELECT word, word AS root FROM variants
+    UNION ALL SELECT a.word, v.form FROM ahead a JOIN variants v ON v.word = a.root WHERE v.form IS NOT NULL
+), ends AS (SELECT a.word, a.root FROM ahead a JOIN variants v ON v.word = a.root WHERE v.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM variants JOIN ends USING (word)
+"""
+
 ORACLES: dict[str, str] = {
     "op1_chat_format": CHAT_SQL,
     "op3_embedding_neardup": NEARDUP_SQL,
     "op7_jaccard_join": JACCARD_SQL,
+    "op12_hard_negatives": NEGATIVES_SQL,
+    "op13_spelling": SPELLING_SQL,
 }
