@@ -26,6 +26,8 @@ OPEN, BODY, CLOSE, SLOT = "<|turn|>", "<|body|>", "<|end|>", "<|slot:"
 CONTROL = ("<|", "|>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<s>", "</s>")
 #: Edge of an image patch, seconds of audio and pages a token stands for.
 PATCH, AUDIO_TOKENS_A_SECOND, PAGE_TOKENS = 14, 25, 256
+#: Code points of a slice of a text that spans are read from.
+SLICE = 4096
 
 PART = T.StructType([
     T.StructField("kind", T.StringType()), T.StructField("text", T.StringType()), T.StructField("ref", T.StringType()),
@@ -127,13 +129,31 @@ def read_back(text: Column) -> Column:
     return F.transform(pieces, turn)
 
 
+def under_mask(text: Column, spans: Column) -> Column:
+    """The parts of a formatted conversation that lie in ``spans``, unescaped. The text is
+    cut into slices first, so that a span is not counted from the start of a long one."""
+    slices = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{SLICE}}}"), F.lit(0))
+
+    def cut(every: Column) -> Column:
+        def part(s: Column) -> Column:
+            first, last = F.floor(s["start"] / SLICE), F.floor((s["end"] - 1) / SLICE)
+            near = F.array_join(F.slice(every, (first + 1).cast("int"), F.greatest(last - first + 1, F.lit(0)).cast("int")), "")
+            return unescaped(F.substring(near, (s["start"] % SLICE + 1).cast("int"), (s["end"] - s["start"]).cast("int")))
+
+        return F.transform(spans, part)
+
+    # as a lambda's variable the text is cut once, not once a span
+    return F.element_at(F.transform(F.array(slices), cut), 1)
+
+
 def chat_report(messages: DataFrame) -> DataFrame:
-    """Formats ``messages`` (conv_id, turn, role, text) and reads the outcome back."""
+    """Formats ``messages`` (conv_id, turn, role, text) and reads the outcome back: turns
+    by the marks of the template, the loss by the spans of its mask."""
     parts = text_part(F.col("text"))
     done = formatted(messages.select("conv_id", "turn", "role", parts.alias("parts")))
-    back = done.select("conv_id", "text", "segments", read_back(F.col("text")).alias("turns"))
+    back = done.select("conv_id", "text", "loss", read_back(F.col("text")).alias("turns"))
     lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform("segments", unescaped), "")
+    loss = F.array_join(under_mask(F.col("text"), F.col("loss")), "")
     back = back.select("conv_id", "text", F.size("turns").cast("long").alias("n_turns"), lines.alias("lines"), loss.alias("loss"))
     return back.select(
         "conv_id",

@@ -21,6 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from curbline.llm.names import quoted
 from curbline.session import settled
 
 #: Words of a text: runs of anything but space and tab to carriage return.
@@ -163,7 +164,8 @@ def mix_report(docs: DataFrame, text_column: str = "text", block_words: int = BL
 def mixed(docs: DataFrame, text_column: str = "text", block_words: int = BLOCK_WORDS, seed: int = SEED) -> DataFrame:
     """The mix as rows of ``docs``: a row for the words taken in a first pass and one
     for those taken again, each with exactly these words (and the white space after
-    them) as text. Documents that are not taken have no row."""
+    them) as text. Documents that are not taken have no row. The other columns stay as
+    they are, whatever their names; they must be such that JSON can hold them."""
     located, pieces = taken_pieces(docs, text_column, block_words, seed)
     again = F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))).alias("pass")
     passes = pieces.select("rank", "first", "from", "words", again)
@@ -171,10 +173,14 @@ def mixed(docs: DataFrame, text_column: str = "text", block_words: int = BLOCK_W
     nth = Window.partitionBy("doc_id", "text_hash").orderBy("source", "first")
     numbered = located.where("size > 0").withColumn("nth", F.row_number().over(nth))
     wanted = numbered.join(passes, ["rank", "first"]).select("doc_id", "text_hash", "nth", "parts").alias("w")
-    own = docs.withColumn("__hash", F.xxhash64(text_column)).where(F.rlike(F.col(text_column), F.lit(WORD)))
-    own = own.withColumn("__nth", F.row_number().over(Window.partitionBy("doc_id", "__hash").orderBy("source"))).alias("d")
-    same = (F.col("d.__hash") == F.col("w.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.__nth") == F.col("w.nth"))
-    words = F.regexp_extract_all(F.col("d." + text_column), F.lit(WORD + r"[\x20\x09-\x0D]*+"), F.lit(0))
+    text = F.col(quoted(text_column))
+    # rows of one id, text and source are told apart by their other columns
+    row = F.struct(*[F.col(quoted(c)).alias(c) for c in docs.columns if c != text_column])
+    own = docs.select(row.alias("row"), text.alias("text"), "doc_id", "source", F.xxhash64(text).alias("hash"), F.xxhash64(F.to_json(row)).alias("others"))
+    own = own.where(F.rlike("text", F.lit(WORD)))
+    own = own.withColumn("nth", F.row_number().over(Window.partitionBy("doc_id", "hash").orderBy("source", "others"))).alias("d")
+    same = (F.col("d.hash") == F.col("w.text_hash")) & F.col("d.doc_id").eqNullSafe(F.col("w.doc_id")) & (F.col("d.nth") == F.col("w.nth"))
+    words = F.regexp_extract_all(F.col("d.text"), F.lit(WORD + r"[\x20\x09-\x0D]*+"), F.lit(0))
     joined = own.join(wanted, same)
 
     def of_words(every: Column) -> Column:
@@ -182,5 +188,5 @@ def mixed(docs: DataFrame, text_column: str = "text", block_words: int = BLOCK_W
         return F.array_join(pieces, "")
 
     # as a lambda's variable the words are cut once a row, not once a piece
-    text = F.element_at(F.transform(F.array(words), of_words), 1)
-    return joined.select(*[text.alias(c) if c == text_column else F.col("d." + c) for c in docs.columns])
+    mixed_text = F.element_at(F.transform(F.array(words), of_words), 1)
+    return joined.select(*[(mixed_text if c == text_column else F.col(quoted(c, "d.row"))).alias(c) for c in docs.columns])

@@ -41,7 +41,7 @@ CONTEXT = {
     "national": "ssn|social|security|tax|insurance",
     "born": "born|birth|dob|naissance|geboren|nacimiento|nacido",
 }
-NEAR = {kind: re.compile(words, re.IGNORECASE) for kind, words in CONTEXT.items()}
+NEAR = {kind: re.compile(rf"(?<![^\W\d_])(?:{words})(?:e?s)?(?![^\W\d_])", re.IGNORECASE) for kind, words in CONTEXT.items()}
 GAIN, REPORTED, REACH = 0.4, 0.6, 48
 DIGIT = re.compile(r"[0-9]")
 

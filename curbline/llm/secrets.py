@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curbline.llm.names import quoted
 from curbline.session import settled
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -61,14 +62,15 @@ def _found(text: Column, rank: int, kind: str, role: str, hint: str, pattern: st
 
 
 def with_parts(docs: DataFrame, text_column: str = "text") -> DataFrame:
-    """``docs`` and columns ``strong`` and ``weak``: all spans of either sort, by start
-    and kind. No shuffle; null text has none."""
-    text = F.col(text_column)
+    """``docs`` and columns ``strong`` and ``weak``, in place of columns of these names:
+    all spans of either sort, by start and kind. No shuffle; null text has none."""
+    text = F.col(quoted(text_column))
     found = [_found(text, rank, *kind) for rank, kind in enumerate(STRONG + WEAK)]
-    cut = docs.select(*docs.columns, *[c for c, _ in found])
+    kept = [c for c in docs.columns if c.lower() not in ("strong", "weak")]
+    cut = docs.select(F.struct(*[F.col(quoted(c)) for c in kept]).alias("row"), *[c for c, _ in found])
     exprs = [e for _, e in found]
     strong, weak = (f"array_sort(concat({', '.join(part)}))" for part in (exprs[: len(STRONG)], exprs[len(STRONG) :]))
-    return cut.select(*docs.columns, F.expr(strong).alias("strong"), F.expr(weak).alias("weak"))
+    return cut.select(*[F.col(quoted(c, "row")).alias(c) for c in kept], F.expr(strong).alias("strong"), F.expr(weak).alias("weak"))
 
 
 def find_secrets(docs: DataFrame, text_column: str = "text", reach: int = REACH) -> DataFrame:
@@ -80,7 +82,7 @@ def find_secrets(docs: DataFrame, text_column: str = "text", reach: int = REACH)
     spans; repeated rows have the same spans each, and rows of one id with different
     texts are told apart by ``text_hash``. Columns besides id and text are not read.
     """
-    picked = docs.select("doc_id", F.col(text_column).alias("text"))
+    picked = docs.select("doc_id", F.col(quoted(text_column)).alias("text"))
     parts = with_parts(picked).select("doc_id", F.xxhash64("text").alias("text_hash"), "strong", "weak")
     overlap = "filter(weak, w -> NOT exists(strong, s -> s.start < w.end AND w.start < s.end))"
     parts = settled(parts.withColumn("weak", F.when(F.size("weak") > 0, F.expr(overlap)).otherwise(F.col("weak"))), "parts")
@@ -123,11 +125,12 @@ def redacted(docs: DataFrame, text_column: str = "text", reach: int = REACH) ->
     """``docs`` with every reported span replaced by a mask; other rows unchanged."""
     found = find_secrets(docs, text_column, reach).select("doc_id", "text_hash", F.array_sort(F.concat("strong", "linked")).alias("spans"))
     found = found.where("size(spans) > 0").distinct().alias("f")
-    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.xxhash64(F.col("d." + text_column)) == F.col("f.text_hash"))
+    own = F.col(quoted(text_column, "d"))
+    same = F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.xxhash64(own) == F.col("f.text_hash"))
     joined = docs.alias("d").join(found, same, "left")
     masked = F.expr(f"""aggregate(f.spans, struct(0L AS at, CAST(array() AS array<string>) AS pieces), (s, x) -> IF(x.start < s.at,
         struct(greatest(s.at, x.end) AS at, s.pieces AS pieces),
-        struct(x.end AS at, concat(s.pieces, array(substring(d.{text_column}, CAST(s.at + 1 AS int), CAST(x.start - s.at AS int)), '{MASK}')) AS pieces)),
-        s -> concat(array_join(s.pieces, ''), substring(d.{text_column}, CAST(s.at + 1 AS int))))""")
-    text = F.when(F.col("f.spans").isNull(), F.col("d." + text_column)).otherwise(masked)
-    return joined.select(*[text.alias(c) if c == text_column else F.col("d." + c) for c in docs.columns])
+        struct(x.end AS at, concat(s.pieces, array(substring({quoted(text_column, 'd')}, CAST(s.at + 1 AS int), CAST(x.start - s.at AS int)), '{MASK}')) AS pieces)),
+        s -> concat(array_join(s.pieces, ''), substring({quoted(text_column, 'd')}, CAST(s.at + 1 AS int))))""")
+    text = F.when(F.col("f.spans").isNull(), own).otherwise(masked)
+    return joined.select(*[text.alias(c) if c == text_column else F.col(quoted(c, "d")) for c in docs.columns])

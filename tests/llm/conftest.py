@@ -1,6 +1,9 @@
 import pytest
 
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, label int, prefix string"
+#: Columns of users whose names operators have used, or use, for themselves.
+TAKEN = ["__hash", "__nth", "__key", "__score", "key", "nth", "hash", "row", "others", "cut_hex", "strong", "weak", "component", "kept_id", "d", "w"]
+DOC_SCHEMA += "".join(f", `{name}` string" for name in TAKEN)
 
 
 @pytest.fixture(scope="session")
@@ -23,7 +26,7 @@ def odd_docs(spark):
         (9, "other text of the same id", "en", "c"),
         (10, "\U0001f600 éé token = \"abcdefghijklmnop\" AKIA12345678901234", "en", "a"),
     ]
-    full = [(i, t, lang, s, None if t is None else len(t), 0.5, 1, "p") for i, t, lang, s in rows]
+    full = [(i, t, lang, s, None if t is None else len(t), 0.5, 1, "p", *[f"{name} {i}" for name in TAKEN]) for i, t, lang, s in rows]
     return spark.createDataFrame(full, DOC_SCHEMA)
 
 

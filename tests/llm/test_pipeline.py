@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from llm.conftest import TAKEN
 from llm.test_jaccard import brute
 from llm.test_native import base, level
 
@@ -88,6 +89,9 @@ def test_odd_documents_pass_all_stages(spark, odd_docs, tmp_path):
         columns = docs.columns
         docs = settled(stage(spark, docs, str(tmp_path)), "odd")
         sizes.append(docs.count())
+        for r in docs.collect():  # what the user brought stays as it was
+            assert (r["score"], r["label"], r["prefix"]) == (0.5, 1, "p")
+            assert [r[name] for name in TAKEN] == [f"{name} {r['doc_id']}" for name in TAKEN]
     n = odd_docs.count()
     assert sizes[0] == n and sizes[1] == n - 3 and sizes[2] == sizes[1]  # a repeated row, a variant, an edited copy
     assert set(columns) - {"text"} < set(docs.columns)
