@@ -7,7 +7,8 @@ return the columns of ``documents``. No stage is a cap, a prefix or a sample.
 
 Null and empty texts: scored like texts without n-grams; in no group of copies;
 without secrets; without words, so in no mix. Repeated rows are copies of each
-other, of which one stays. Extra columns travel along unread.
+other, of which one stays. Extra columns keep their names and values, whatever these
+are; the last stage alone has columns of its own (n_tokens, ids) in place of any so named.
 """
 
 from __future__ import annotations
@@ -16,12 +17,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curbline.llm import bpe, jaccard, mixing, quality, secrets
+from curbline.llm.names import quoted, unused
 from curbline.llm.registry import VOCABULARY, table
 from curbline.session import settled
 
-HIDDEN = "__"
-
-
 def _counted(docs: DataFrame) -> DataFrame:
     """``docs`` with n_chars, if it is a column, as the length of the text."""
     if "n_chars" not in docs.columns:
@@ -36,8 +35,9 @@ def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     taught = ~(quality.crc_remainder("doc_id", 4) == 2)
     labels = table(spark, sf_dir, "labels").where(taught).select("doc_id", F.col("quality").alias("label"))
     model = quality.train(docs.select("doc_id", "text"), labels)
-    scored = quality.with_scores(docs, model, name=HIDDEN + "score")
-    return scored.where(F.col(HIDDEN + "score") >= (quality.ACCEPT if model is not None else 0.0)).select(*docs.columns)
+    score = unused(docs, "score")
+    scored = quality.with_scores(docs, model, name=score)
+    return scored.where(F.col(score) >= (quality.ACCEPT if model is not None else 0.0)).drop(score)
 
 
 def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Rows are told apart by a hash of id and text, so ids may repeat.
     """
-    key = HIDDEN + "key"
+    key, nth = unused(docs, "key"), unused(docs, "nth")
     keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
     found = jaccard.near_duplicates(keyed.select(key, "text"), id_column=key).where("n_shingles > 0")
     group = found.select(F.col("doc_id").alias(key), F.col("component_id").alias("component")).distinct()
@@ -55,8 +55,8 @@ def keep_one_of_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     has_words = F.coalesce(F.rlike("text", F.lit(mixing.WORD)), F.lit(False))
     same = (keyed[key] == kept[key]) & keyed["doc_id"].eqNullSafe(kept["kept_id"])
     copies = keyed.where(has_words).join(kept, same, "left_semi")
-    nth = F.row_number().over(Window.partitionBy(key, "doc_id").orderBy(key))
-    one = copies.withColumn(HIDDEN + "nth", nth).where(F.col(HIDDEN + "nth") == 1).select(*docs.columns)
+    rows = Window.partitionBy(key, "doc_id").orderBy(*[F.col(quoted(c)) for c in ("lang", "source", "n_chars") if c in docs.columns], key)
+    one = copies.withColumn(nth, F.row_number().over(rows)).where(F.col(nth) == 1).drop(key, nth)
     return one.union(docs.where(~has_words))
 
 
