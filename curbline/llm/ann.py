@@ -3,8 +3,11 @@
 Every tree gives a vector a string of 64 random-hyperplane bits and keeps its
 vectors as an array sorted by string. A query descends to its longest matching
 prefix in every tree and then ascends in all trees at the same time, one bit a
-step, until the vectors below the prefixes, counted tree by tree, are candidates
-enough and at least k different rows besides its own; at the root all rows are.
+step. It stops as soon as a row as near as the k-th best found so far would be found
+with a chance of 1 - ``missed`` at least: two vectors at an angle a share a bit with
+chance 1 - a / pi, so they share a prefix of d bits in at least one of t trees with
+1 - (1 - (1 - a / pi)^d)^t. So a query among near neighbours stops at long prefixes and
+scores few rows, and one without any goes up far; at the root all rows are candidates.
 Candidates of one depth are a range of the sorted array, so a large group of equal
 vectors is found as a whole. All candidates are scored on the original vectors.
 
@@ -29,10 +32,10 @@ from pyspark.sql import functions as F
 from curbline.llm.neardup import VALID
 from curbline.session import settled
 
-TREES, BITS, SEED = 10, 64, 29
-#: Rows of a shard, queries of a block, and the share of a shard that a query's
-#: candidates (counted tree by tree) come to before it stops ascending.
-SHARD_ROWS, BLOCK_QUERIES, CANDIDATES = 16384, 2048, 1.5
+TREES, BITS, SEED = 128, 64, 29
+#: Rows of a shard, queries of a block, and the chance that a row as near as the last of
+#: the k best is missed.
+SHARD_ROWS, BLOCK_QUERIES, MISSED = 16384, 2048, 0.1
 #: Scalar products at a time.
 SCORED = 1 << 18
 
@@ -50,7 +53,7 @@ class Forest:
     """Sorted arrays of hash strings over some rows, one a tree."""
 
     def __init__(self, strings: np.ndarray):
-        self.order = np.argsort(strings, axis=0, kind="stable")
+        self.order = np.argsort(strings, axis=0, kind="stable").astype(np.int32)
         self.sorted = np.take_along_axis(strings, self.order, axis=0)
 
     def below(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,32 +79,53 @@ class Forest:
         return first, last, depths
 
 
-def best(forest: Forest, x: np.ndarray, ids: np.ndarray, strings: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, enough: float) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Of every query its k best candidates: number, ids and inner products. Trees may
-    all have the same rows, so a query with fewer than k candidates ascends further."""
+def top(found: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of some rows, ties by id."""
+    if len(found) > k:
+        edge = np.partition(score, len(score) - k)[len(score) - k]
+        found, score = found[score >= edge], score[score >= edge]
+    order = np.lexsort((ids[found], -score))[:k]
+    return found[order], score[order]
+
+
+def best(forest: Forest, x: np.ndarray, ids: np.ndarray, strings: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, enough: float, longest: float, missed: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
+    """Of every query its k best candidates: number, ids, inner products, rows scored.
+    ``longest`` is the norm that all vectors of the forest have."""
     first, last, depths = forest.ranges(strings, enough)
+    norms, trees = np.sqrt((queries * queries).sum(axis=1)) * longest, strings.shape[1]
+    near = [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
+    scored = [np.zeros(0, np.int64)] * len(queries)
     seen = np.zeros(len(x), bool)
-    for q in range(len(queries)):
-        low, high, depth = first[q], last[q], int(depths[q])
-        while True:
-            for t in range(strings.shape[1]):
-                seen[forest.order[low[t] : high[t], t]] = True
-            found = np.flatnonzero(seen)
-            seen[found] = False
-            found = found[ids[found] != own[q]]
-            if len(found) >= k or depth == 0:
-                break
-            depth -= 1
-            (low,), (high,) = forest.below(strings[q : q + 1], depth)
-        score = np.empty(len(found))
-        for at in range(0, len(found), SCORED):
-            part = found[at : at + SCORED]
-            score[at : at + len(part)] = (x[part] * queries[q]).sum(axis=1)
-        if len(found) > k:  # all that tie with the k-th stay for the moment
-            edge = np.partition(score, len(score) - k)[len(score) - k]
-            found, score = found[score >= edge], score[score >= edge]
-        order = np.lexsort((ids[found], -score))[:k]
-        yield q, ids[found[order]], score[order]
+    climbing = np.arange(len(queries))
+    for depth in range(int(depths.max(initial=0)), -1, -1):
+        now = climbing[depths[climbing] >= depth]
+        later = now[depths[now] > depth]
+        first[later], last[later] = forest.below(strings[later], depth)
+        done = []
+        for q in now:
+            for t in range(trees):
+                seen[forest.order[first[q, t] : last[q, t], t]] = True
+            new = seen.copy()
+            new[scored[q]] = False
+            scored[q], new = np.flatnonzero(seen), np.flatnonzero(new)
+            seen[scored[q]] = False
+            new = new[ids[new] != own[q]]
+            score = np.empty(len(new))
+            for at in range(0, len(new), SCORED):
+                part = new[at : at + SCORED]
+                score[at : at + len(part)] = np.einsum("ij,j->i", x[part], queries[q])
+            near[q] = top(np.concatenate([near[q][0], new]), np.concatenate([near[q][1], score]), ids, k)
+            if depth == 0 or len(near[q][0]) == k and _miss(near[q][1][-1] / norms[q], depth, trees) <= missed:
+                yield int(q), ids[near[q][0]], near[q][1], len(scored[q])
+                done.append(q)
+                scored[q] = np.zeros(0, np.int64)
+        climbing = np.setdiff1d(climbing, done)
+
+
+def _miss(cosine: float, depth: int, trees: int) -> float:
+    """The chance that no tree has ``depth`` bits in common for two such vectors."""
+    bit = 1 - np.arccos(np.clip(cosine, -1, 1)) / np.pi
+    return (1 - bit**depth) ** trees
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:
@@ -113,11 +137,14 @@ def nearest(
     queries: DataFrame,
     k: int = 20,
     trees: int = TREES,
-    candidates: float = CANDIDATES,
+    missed: float = MISSED,
+    candidates: float = 0.0,
     shard_rows: int = SHARD_ROWS,
     seed: int = SEED,
 ) -> DataFrame:
-    """(query_id, rank, vec_id, score): the k nearest found of every query.
+    """(query_id, rank, vec_id, score, scored): the k nearest found of every query, and how
+    many rows the query was compared with. ``candidates`` asks for more of them: a share
+    of the rows, counted tree by tree.
 
     ``vectors`` and ``queries`` have vec_id and embedding. Nearness is the inner
     product in double precision; ties go to the smaller vec_id. A query's own row
@@ -146,9 +173,9 @@ def nearest(
         base = rows.where(F.size("embedding") == dims).select(F.lit(dims).alias("dims"), shard.cast("int").alias("shard"), every(n_blocks).alias("block"), F.lit(False).alias("asks"), "vec_id", "embedding")
         ask = asked.where(F.size("embedding") == dims).select(F.lit(dims).alias("dims"), every(n_shards).alias("shard"), block.cast("int").alias("block"), F.lit(True).alias("asks"), "vec_id", "embedding")
         sides += [base, ask]
-    found_type = "query_id long, vec_id long, score double"
+    found_type = "query_id long, vec_id long, score double, scored long"
     if not sides:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double, scored long")
     both = sides[0]
     for side in sides[1:]:
         both = both.union(side)
@@ -159,20 +186,23 @@ def nearest(
         asks = np.array(table["asks"].to_pylist(), bool)
         every, ids = _matrix(table["embedding"].combine_chunks(), dims), table["vec_id"].to_numpy()
         x, own_ids, q, own = every[~asks], ids[~asks], every[asks], ids[asks]
-        out: list[list] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)]]
+        out: list[list] = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0)], [np.zeros(0, np.int64)]]
         if len(x) and len(q):
             planes = np.random.default_rng(seed).standard_normal((trees, BITS, dims + 1))
             lift = np.sqrt(np.maximum(about[dims][0] - (x * x).sum(axis=1), 0))
             forest = Forest(hash_strings(np.column_stack([x, lift]), planes))
             strings = hash_strings(np.column_stack([q, np.zeros(len(q))]), planes)
-            for n, near, score in best(forest, x, own_ids, strings, q, own, k, max(candidates * len(x), 4 * k)):
+            longest = float(np.sqrt(about[dims][0]))
+            for n, near, score, seen in best(forest, x, own_ids, strings, q, own, k, max(candidates * len(x), 16 * k), longest, missed):
                 out[0].append(np.full(len(near), own[n]))
                 out[1].append(near)
                 out[2].append(score)
-        return pa.table([pa.array(np.concatenate(c)) for c in out], ["query_id", "vec_id", "score"])
+                out[3].append(np.where(np.arange(len(near)) == 0, seen, 0))
+        return pa.table([pa.array(np.concatenate(c)) for c in out], ["query_id", "vec_id", "score", "scored"])
 
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = both.repartition(n, "dims", "shard", "block").groupBy("dims", "shard", "block").applyInArrow(search, found_type)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    counted = found.withColumn("scored", F.sum("scored").over(Window.partitionBy("query_id")))
+    ranked = counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score", "scored")

@@ -101,7 +101,7 @@ def test_forest_that_takes_all_is_exact(spark):
     table = vectors(spark, rows)
     got = defaultdict(list)
     found = ann.nearest(table, table.where("vec_id % 20 = 0"), k=9, candidates=50.0, shard_rows=64)
-    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    assert found.columns == ["query_id", "rank", "vec_id", "score", "scored"]
     for r in sorted(found.collect()):
         got[r.query_id].append((r.score, r.vec_id))
         assert r.rank == len(got[r.query_id])
@@ -131,6 +131,23 @@ def test_recall_over_the_table(spark):
     assert hits / total >= 0.9
 
 
+def test_neighbours_that_are_near_end_the_search():
+    """Among clustered vectors few rows are scored, and nearly all neighbours found."""
+    draw = np.random.default_rng(6)
+    x = np.repeat(draw.standard_normal((400, 64)), 40, axis=0) + 0.4 * draw.standard_normal((16_000, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    ids, asked = np.arange(len(x)), np.arange(0, len(x), 400)
+    planes = draw.standard_normal((ann.TREES, ann.BITS, 65))
+    strings = ann.hash_strings(np.column_stack([x, np.zeros(len(x))]), planes)
+    hits, share = 0, []
+    for q, near, _, scored in ann.best(ann.Forest(strings), x, ids, strings[asked], x[asked], asked, 20, 320, 1.0, ann.MISSED):
+        product = x @ x[asked[q]]
+        product[asked[q]] = -2
+        hits += len(set(near) & set(np.argsort(-product)[:20]))
+        share.append(scored / len(x))
+    assert hits >= 0.9 * 20 * len(asked) and np.mean(share) <= 0.1
+
+
 def test_unequal_norms(spark):
     """The largest inner product is not the smallest angle."""
     draw = np.random.default_rng(8)
