@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbline.operators import anomalies, clusters, demand, economic, forecast, geo, models, temporal
+from curbline.operators import anomalies, clusters, demand, economic, forecast, geo, models, moments, temporal
 from curbline.operators.sampling import SEED, bernoulli
 from curbline.plans import incremental, state
 from curbline.plans.store import TripStore
@@ -41,19 +41,22 @@ def geospatial_results(
     }
 
 
-def economic_results(trips: DataFrame, fares: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Tips and revenue come from the fare state when there is one."""
+def economic_results(
+    trips: DataFrame, fares: DataFrame | None = None, sums: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Tips and revenue come from the fare state, correlations and shares from the moment
+    state, when there is one."""
     if fares is None:
         tips, revenue = (lambda key: economic.tip_analysis(trips, key)), economic.revenue_analysis(trips, "hour")
     else:
         tips, revenue = (lambda key: state.tip_analysis(fares, key)), state.revenue_by_hour(fares)
     return {
-        "correlations": economic.correlations(trips),
+        "correlations": economic.correlations(trips) if sums is None else moments.correlations(sums),
         "tip_by_payment_type": tips("payment_type"),
         "tip_by_hour": tips("hour"),
         "tip_by_distance": tips("distance_bucket"),
         "revenue_by_hour": revenue,
-        "market_share": economic.market_share(trips),
+        "market_share": economic.market_share(trips) if sums is None else moments.market_share(sums),
     }
 
 
@@ -137,6 +140,7 @@ def run_batch(
     else:
         tables = {"hourly": store.state(spark, "hourly"), "zones": store.state(spark, "zones")}
         tables["routes"], tables["fares"] = store.state(spark, "routes"), store.state(spark, "fares")
+        tables["moments"] = store.state(spark, "moments")
 
     results: dict[str, DataFrame] = {}
     if "temporal" in stages:
@@ -146,7 +150,7 @@ def run_batch(
             geospatial_results(trips, tables.get("zones"), tables.get("routes"), hotspot_min_trips)
         )
     if "economic" in stages:
-        results.update(economic_results(trips, tables.get("fares")))
+        results.update(economic_results(trips, tables.get("fares"), tables.get("moments")))
     if "ml" in stages:
         trained = models.train_all(trips, **model_params)
         for model in trained.values():

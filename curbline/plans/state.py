@@ -10,7 +10,8 @@ projections or roll-ups of the states:
 * fare and tip tables roll sums up over months, on bands fine enough for every
   distance bucket scheme;
 * the tip median rolls up from counts per distinct tip;
-* the summary merges counts, means and squared deviations.
+* the summary merges counts, means and squared deviations;
+* sums and products of the model's variables add up (``operators.moments``).
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from curbline import schema as S
 from curbline.functions import columns as C
 from curbline.functions.rollup import percent_of
-from curbline.operators import clusters, economic
+from curbline.operators import clusters, economic, moments
 from curbline.plans import tables as T
 
 MONTH = ["year", "month"]
@@ -117,6 +118,11 @@ def summary_state(trips: DataFrame) -> DataFrame:
     )
 
 
+def moment_state(trips: DataFrame) -> DataFrame:
+    """Sums and products behind correlations, market shares and the linear fare model."""
+    return moments.moments(trips, MONTH)
+
+
 STATES = {
     "hourly": hourly_state,
     "zones": zone_state,
@@ -126,6 +132,7 @@ STATES = {
     "tips": tip_state,
     "tip_values": tip_values,
     "summary": summary_state,
+    "moments": moment_state,
 }
 
 

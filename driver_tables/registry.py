@@ -26,6 +26,7 @@ from curbline.operators import (
     forecast,
     geo,
     models,
+    moments,
     sampling,
     temporal,
 )
@@ -1285,6 +1286,75 @@ def _(spark, d):
     return models.metrics_frame(spark, {"m": models.train(_learning_trips(spark, d), "linear_regression")})
 
 
+def _ridge_sql(size: int, regularization: float) -> str:
+    """CTEs from ``variances`` (v), ``label_deviation`` (d) and ``related`` (i, j, r), the
+    correlations of features 1 to ``size`` and (j = size + 1) the label, to ``standard``
+    (i, b): the coefficients by Gauss-Jordan elimination."""
+    return f"""
+cells AS (SELECT i, j, CASE WHEN i = j THEN 1 + {regularization} / d ELSE coalesce(r, 0.0) END AS r FROM related, label_deviation),
+matrix AS (SELECT list(line ORDER BY i) AS m FROM (SELECT i, list(r ORDER BY j) AS line FROM cells GROUP BY i)),
+steps(k, m) AS (SELECT 1, m FROM matrix UNION ALL
+  SELECT k + 1, list_transform(m, lambda line, i: list_transform(line, lambda x, j:
+    CASE WHEN i = k THEN x / m[k][k] ELSE x - line[k] * m[k][j] / m[k][k] END)) FROM steps WHERE k <= {size}),
+standard AS (SELECT i, m[i][{size + 1}] * d AS b FROM (SELECT m, unnest(range(1, {size + 1})) AS i FROM steps WHERE k = {size + 1}), label_deviation)"""
+
+
+def _fare_line_sql(result: str) -> str:
+    """The linear model by its normal equations, then ``result``."""
+    pairs = [(i, j) for i in range(1, 11) for j in range(1, 12)]
+    names = [*models.FEATURES, models.LABEL]
+    related = " UNION ALL ".join(f"SELECT {i} AS i, {j} AS j, corr({names[i - 1]}, {names[j - 1]}) AS r FROM t" for i, j in pairs if i < j)
+    # each pair once, mirrored below the diagonal
+    return f"WITH RECURSIVE {TRIPS_SQL.strip()}" + _LEARNING_SQL + f""",
+t AS (SELECT {", ".join(names)} FROM r WHERE NOT is_test),
+label_deviation AS (SELECT stddev_pop(fare_amount) AS d, avg(fare_amount) AS mean FROM t),
+upper AS ({related}),
+related AS (SELECT * FROM upper UNION ALL SELECT j, i, r FROM upper WHERE j <= 10 UNION ALL SELECT i, i, 1.0 FROM (SELECT unnest(range(1, 11)) AS i)),
+{_ridge_sql(10, 0.01)},
+scales AS ({" UNION ALL ".join(f"SELECT {i + 1} AS i, '{f}' AS feature, stddev_pop({f}) AS s, avg({f}) AS mean FROM t" for i, f in enumerate(models.FEATURES))}),
+line AS (SELECT feature, b, scales.mean, CASE WHEN s > 0 THEN b / s ELSE 0.0 END AS coefficient FROM scales JOIN standard USING (i)),
+base AS (SELECT (SELECT mean FROM label_deviation) - sum(coefficient * mean) AS intercept FROM line)
+{result}"""
+
+
+_COEFFICIENTS_SQL = _fare_line_sql(f"""
+SELECT feature, {r4("coefficient", "coefficient")}, {r4("abs(b) / sum(abs(b)) OVER ()", "importance")} FROM line
+UNION ALL SELECT 'intercept', {r4("intercept", "coefficient")}, NULL FROM base""")
+
+_PREDICTED = " + ".join(f"(SELECT coefficient FROM line WHERE feature = '{f}') * {f}" for f in models.FEATURES)
+
+
+@query("fare_line_coefficients", _COEFFICIENTS_SQL, base=None)
+def _(spark, d):
+    """The linear model solved from the moment state."""
+    line, _ = moments.fare_line(state.moment_state(trips(spark, d)))
+    return moments.fare_coefficients(spark, line)
+
+
+@query(
+    "fare_line_metrics",
+    _fare_line_sql(f""", tested AS (SELECT fare_amount, (SELECT intercept FROM base) + {_PREDICTED} AS p FROM r WHERE is_test)
+SELECT 'linear_regression' AS model, (SELECT count(*) FROM t) AS training_rows, count(*) AS test_rows,
+  {r4("sqrt(avg((fare_amount - p) * (fare_amount - p)))", "rmse")},
+  {r4("1 - avg((fare_amount - p) * (fare_amount - p)) / var_pop(fare_amount)", "r2")} FROM tested"""),
+    base=None,
+)
+def _(spark, d):
+    """Its held-out error, from the moments of the test side."""
+    _, measured = moments.fare_line(state.moment_state(trips(spark, d)))
+    return models.metrics_frame(spark, {"line": measured}).select("model", "training_rows", "test_rows", "rmse", "r2")
+
+
+@query("correlations_rollup", ORACLES["correlations"].removeprefix(f"WITH {TRIPS_SQL.strip()}"))
+def _(spark, d):
+    return moments.correlations(state.moment_state(trips(spark, d)))
+
+
+@query("market_share_rollup", ORACLES["market_share"].removeprefix(f"WITH {TRIPS_SQL.strip()}"))
+def _(spark, d):
+    return moments.market_share(state.moment_state(trips(spark, d)))
+
+
 @query("feature_importance")
 def _(spark, d):
     return models.feature_importance(spark, models.train(_learning_trips(spark, d), "linear_regression").model)
@@ -1356,6 +1426,13 @@ _loaded_table("incremental_airports", ORACLES["airport_analysis"].removeprefix(f
 _loaded_table("incremental_summary", _summary_sql(), "summary_stats")
 
 
+@query("incremental_fare_line", _COEFFICIENTS_SQL, base=None)
+def _(spark, d):
+    """The linear model after two loads, from their merged moments."""
+    line, _ = moments.fare_line(_loaded(spark, d).state(spark, "moments"))
+    return moments.fare_coefficients(spark, line)
+
+
 @query("advanced_revenue_windows", ORACLES["revenue_windows"].removeprefix(f"WITH {TRIPS_SQL.strip()}"))
 def _(spark, d):
     """One of the six further analyses of a store, read back from its JSON result."""
