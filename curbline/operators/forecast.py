@@ -15,12 +15,14 @@ survived cleaning: without ``end`` the last trip, however far off, is the origin
 
 from __future__ import annotations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression, LinearRegressionModel
-from pyspark.sql import Column, DataFrame, Window
+from itertools import combinations_with_replacement
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from curbline.functions import columns as C
+from curbline.functions import ridge
 
 DAY, WEEK = 24, 168
 LAGS = (DAY, 2 * DAY, WEEK)
@@ -111,22 +113,66 @@ def with_lags(
     ).where(F.col(f"lag_{WEEK}").isNotNull())
 
 
-def _features(rows: DataFrame) -> DataFrame:
-    """Lags and 0/1 columns for hour of day and weekday, as one vector.
+_LAG_NAMES = [f"lag_{n}" for n in LAGS]
+#: Variables of the regression: lags, flags of the hours 1 to 23 and the weekdays 2 to 7
+#: (hour 0 and Sunday have none), and the trips to predict.
+_HOURS, _DAYS = range(1, 24), range(2, 8)
 
-    The codes are known beforehand, so no pass is spent on learning them.
-    """
-    hour, weekday = F.hour("hour_start"), F.dayofweek("hour_start")
-    flags = {f"is_hour_{h}": (hour == h).cast("double") for h in range(1, 24)}
-    flags.update({f"is_day_{d}": (weekday == d).cast("double") for d in range(2, 8)})
-    assembler = VectorAssembler(inputCols=[f"lag_{n}" for n in LAGS] + list(flags), outputCol="features")
-    return assembler.transform(rows.withColumns(flags)).drop(*flags)
+
+def _slots(rows: DataFrame) -> DataFrame:
+    """Sums and products of trips and lags per hour of day and weekday: 168 rows at most,
+    from one pass over all zones."""
+    seen = [*_LAG_NAMES, "trip_count"]
+    pairs = list(combinations_with_replacement(seen, 2))
+    known = rows.where(F.col("trip_count").isNotNull())
+    return known.groupBy(F.hour("hour_start").alias("hour"), F.dayofweek("hour_start").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(c).alias(c) for c in seen],
+        *[F.sum(F.col(x) * F.col(y)).alias(f"{x}*{y}") for x, y in pairs],
+    )
 
 
-def fit(rows: DataFrame) -> LinearRegressionModel:
-    """Linear regression on the lags, hour and weekday: one pass (normal equations)."""
-    regression = LinearRegression(labelCol="trip_count", featuresCol="features", maxIter=100, regParam=0.01)
-    return regression.fit(_features(rows.where(F.col("trip_count").isNotNull())))
+def _added(slots: list[Row]) -> ridge.Sums:
+    """Sums and products of all variables. Within a slot a flag is constant, so whatever
+    holds one is the slot's number or sum of the rest."""
+    seen = [*_LAG_NAMES, "trip_count"]
+    size = len(LAGS) + len(_HOURS) + len(_DAYS) + 1
+    counted = [*range(len(LAGS)), size - 1]
+    n, sums, products = 0, np.zeros(size), np.zeros((size, size))
+    for r in slots:
+        flags = np.zeros(size)
+        flags[len(LAGS) : -1] = [r["hour"] == h for h in _HOURS] + [r["day"] == d for d in _DAYS]
+        own = np.zeros(size)
+        own[counted] = [r[c] for c in seen]
+        n += r["n"]
+        sums += own + r["n"] * flags
+        products += np.outer(own, flags) + np.outer(flags, own) + r["n"] * np.outer(flags, flags)
+        for at, x in zip(counted, seen, strict=True):
+            products[at, counted] += [r[f"{x}*{y}" if seen.index(x) <= seen.index(y) else f"{y}*{x}"] for y in seen]
+    return ridge.Sums(n, sums, products)
+
+
+def fit(rows: DataFrame) -> ridge.Line:
+    """Linear regression on the lags, hour and weekday, by normal equations: one grouped
+    pass, of which the driver sees the sums of 168 slots."""
+    line = ridge.solved(_added(_slots(rows).collect()))
+    if line is None:
+        raise ValueError(f"no hour has the {max(LAGS)} hours of history that the regression needs")
+    return line
+
+
+def predicted(line: ridge.Line) -> Column:
+    """Trips that the line expects, 0 at least."""
+    w = [float(c) for c in line.coefficients]
+    hours, days = w[len(LAGS) : len(LAGS) + len(_HOURS)], w[len(LAGS) + len(_HOURS) :]
+
+    def of(values: list[float], nth: Column) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in [0.0, *values]]), nth)
+
+    total = F.lit(line.intercept) + of(hours, F.hour("hour_start") + 1) + of(days, F.dayofweek("hour_start"))
+    for name, c in zip(_LAG_NAMES, w, strict=False):
+        total = total + F.lit(c) * F.col(name)
+    return F.greatest(total, F.lit(0.0))
 
 
 def demand_forecast(demand: DataFrame, zone_columns=(), horizon: int = DAY, start=None, end=None) -> DataFrame:
@@ -138,12 +184,11 @@ def demand_forecast(demand: DataFrame, zone_columns=(), horizon: int = DAY, star
         raise ValueError(f"the horizon may not exceed the shortest lag ({min(LAGS)} hours)")
     model = fit(with_lags(demand, zone_columns, 0, None, start, end))
     ahead = with_lags(demand, zone_columns, horizon, WEEK, start, end).where(F.col("hour_ahead") > 0)
-    scored = model.transform(_features(ahead))
-    return scored.select(
+    return ahead.select(
         *zone_columns,
         "hour_ahead",
         "hour_start",
-        F.greatest("prediction", F.lit(0.0)).alias("predicted_trips"),
+        predicted(model).alias("predicted_trips"),
         F.col(f"lag_{WEEK}").alias("naive_trips"),
     ).orderBy(*zone_columns, "hour_ahead")
 
@@ -171,10 +216,9 @@ def backtest(demand: DataFrame, zone_columns=(), hours: int = WEEK, start=None,
     """
     model = fit(with_lags(demand, zone_columns, 0, None, start, end).where(F.col("hour_ahead") <= -hours))
     tested = with_lags(demand, zone_columns, 0, hours + WEEK, start, end).where(F.col("hour_ahead") > -hours)
-    scored = model.transform(_features(tested))
-    actual, predicted = F.col("trip_count"), F.greatest("prediction", F.lit(0.0))
-    return scored.agg(
-        F.avg(F.abs(actual - predicted)).alias("model_mae"),
+    actual = F.col("trip_count")
+    return tested.agg(
+        F.avg(F.abs(actual - predicted(model))).alias("model_mae"),
         F.avg(F.abs(actual - F.col(f"lag_{WEEK}"))).alias("naive_mae"),
         F.count(F.lit(1)).alias("test_hours"),
     )

@@ -79,10 +79,10 @@ def market_share(state: DataFrame) -> DataFrame:
     return added(state, "vendor_id").select(
         "vendor_id",
         F.col("n").alias("trip_count"),
-        (F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())).alias("market_share_percent"),
         (F.col(fare) / F.col("n") + CENTRES.get(models.LABEL, 0)).alias("avg_fare"),
         (F.col("sum_total") / F.col("n")).alias("avg_total"),
-    ).orderBy("vendor_id")
+        (F.col("n") * 100.0 / F.sum("n").over(Window.partitionBy())).alias("market_share_percent"),
+    ).orderBy(F.desc("trip_count"), "vendor_id")
 
 
 def _sides(state: DataFrame) -> dict[bool, ridge.Sums]:

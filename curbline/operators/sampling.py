@@ -31,6 +31,23 @@ def hash_split(df: DataFrame, key_columns, share: float = TRAIN_SHARE, seed: int
     return df.where(slot < cut), df.where(slot >= cut)
 
 
+def bottom_k(df: DataFrame, order: Column, k: int, rows: int | None = None) -> DataFrame:
+    """The ``k`` rows of smallest ``order`` (an md5 in hex, or text that is spread like
+    one), in that order.
+
+    Where there are many rows, those above a threshold that ``rows`` (counted, if not
+    given) makes about four times k lie below are left out first, so that a task sorts
+    and ships few rows, not k. If fewer than k are below, all rows are taken.
+    """
+    rows = df.count() if rows is None else rows
+    if rows > 16 * k:
+        cut = f"{min(round((4 * k + 64) / rows * (1 << 32)), (1 << 32) - 1):08x}"
+        below = df.where(order < F.lit(cut))
+        if below.limit(k).count() >= k:
+            df = below
+    return df.orderBy(order).limit(k)
+
+
 def spread(df: DataFrame, partitions: int | None) -> DataFrame:
     """Rows dealt out over that many tasks, for iterative fits on few large files."""
     return df if partitions is None else df.repartition(partitions)

@@ -7,6 +7,7 @@ cents often end exactly on a half, which the engines would round apart.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -1148,17 +1149,85 @@ def _(spark, d):
     return forecast.recent_demand(_city_series(spark, d), start=_SPAN[0], end=_SPAN[1])
 
 
-@query("demand_forecast")
+def _ridge_sql(size: int, regularization: float) -> str:
+    """CTEs from ``variances`` (v), ``label_deviation`` (d) and ``related`` (i, j, r), the
+    correlations of features 1 to ``size`` and (j = size + 1) the label, to ``standard``
+    (i, b): the coefficients by Gauss-Jordan elimination."""
+    return f"""
+cells AS (SELECT i, j, CASE WHEN i = j THEN 1 + {regularization} / d ELSE coalesce(r, 0.0) END AS r FROM related, label_deviation),
+matrix AS (SELECT list(line ORDER BY i) AS m FROM (SELECT i, list(r ORDER BY j) AS line FROM cells GROUP BY i)),
+steps(k, m) AS (SELECT 1, m FROM matrix UNION ALL
+  SELECT k + 1, list_transform(m, lambda line, i: list_transform(line, lambda x, j:
+    CASE WHEN i = k THEN x / m[k][k] ELSE x - line[k] * m[k][j] / m[k][k] END)) FROM steps WHERE k <= {size}),
+standard AS (SELECT i, m[i][{size + 1}] * d AS b FROM (SELECT m, unnest(range(1, {size + 1})) AS i FROM steps WHERE k = {size + 1}), label_deviation)"""
+
+
+def _regression_sql(zones: str, result: str, until: int = 0) -> str:
+    """Spine, lags and the regression on the hours up to ``until`` hours from the end, by
+    normal equations; then ``result`` from ``l`` (rows, predicted)."""
+    keys = f"{zones}, " if zones else ""
+    grid = {"zone_lat": "round(pickup_latitude, 1)", "zone_lon": "round(pickup_longitude, 1)"}
+    shown = "".join(f"{grid[z]} AS {z}, " for z in zones.split(", ") if z)
+    using, by = (f"{keys}hour_start", f"PARTITION BY {zones} " if zones else "")
+    lags = [f"lag_{n}" for n in forecast.LAGS]
+    seen = [*lags, "trip_count"]
+    return f"""WITH RECURSIVE {TRIPS_SQL.strip()}, dm AS (SELECT {shown}date_trunc('hour', tpep_pickup_datetime) AS hour_start,
+  count(*) AS trip_count FROM trips GROUP BY ALL),
+ends AS (SELECT max(hour_start) AS last FROM dm),
+sp AS (SELECT {keys}unnest(generate_series(first, last + INTERVAL 24 HOUR, INTERVAL 1 HOUR)) AS hour_start
+  FROM (SELECT {keys}min(hour_start) AS first FROM dm GROUP BY ALL), ends),
+f AS (SELECT {keys}hour_start, date_diff('hour', last, hour_start) AS hour_ahead,
+    CASE WHEN hour_start <= last THEN CAST(coalesce(trip_count, 0) AS DOUBLE) END AS trip_count
+  FROM sp LEFT JOIN dm USING ({using}), ends),
+l0 AS (SELECT *, hour(hour_start) AS h, dayofweek(hour_start) + 1 AS d,
+    {", ".join(f"lag(trip_count, {n}) OVER ({by}ORDER BY hour_start) AS lag_{n}" for n in forecast.LAGS)} FROM f),
+l1 AS (SELECT * FROM l0 WHERE lag_168 IS NOT NULL),
+g AS (SELECT h, d, count(*) AS n, [{", ".join(f"sum({c})" for c in seen)}] AS own,
+    [{", ".join("[" + ", ".join(f"sum({x} * {y})" for y in seen) + "]" for x in seen)}] AS two FROM l1 WHERE hour_ahead <= {until} GROUP BY h, d),
+v AS (SELECT h, d, i, CASE WHEN i <= 3 THEN i WHEN i = 33 THEN 4 ELSE 0 END AS a,
+    CASE WHEN i BETWEEN 4 AND 26 AND h = i - 3 OR i BETWEEN 27 AND 32 AND d = i - 25 THEN 1 ELSE 0 END AS flag
+  FROM (SELECT h, d, unnest(range(1, 34)) AS i FROM g)),
+total AS (SELECT sum(n) AS n FROM g),
+means AS (SELECT i, sum(CASE WHEN a > 0 THEN own[a] ELSE n * flag END) / (SELECT n FROM total) AS m FROM v JOIN g USING (h, d) GROUP BY i),
+spreads AS (SELECT i, j, p / (SELECT n FROM total) - x.m * y.m AS c FROM (SELECT x.i, y.i AS j, sum(CASE
+    WHEN x.a > 0 AND y.a > 0 THEN two[x.a][y.a] WHEN x.a > 0 THEN own[x.a] * y.flag WHEN y.a > 0 THEN own[y.a] * x.flag
+    ELSE n * x.flag * y.flag END) AS p FROM v x JOIN v y USING (h, d) JOIN g USING (h, d) GROUP BY ALL)
+  JOIN means x USING (i) JOIN (SELECT i AS j, m FROM means) y USING (j)),
+scales AS (SELECT i, sqrt(c) AS s FROM spreads WHERE i = j),
+label_deviation AS (SELECT s AS d FROM scales WHERE i = 33),
+related AS (SELECT i, j, CASE WHEN x.s > 1e-9 AND y.s > 1e-9 THEN c / (x.s * y.s) END AS r FROM spreads
+  JOIN scales x USING (i) JOIN (SELECT i AS j, s FROM scales) y USING (j) WHERE i <= 32),
+{_ridge_sql(32, 0.01)},
+line AS (SELECT i, CASE WHEN s > 1e-9 THEN b / s ELSE 0.0 END AS w FROM standard JOIN scales USING (i)),
+base AS (SELECT (SELECT m FROM means WHERE i = 33) - sum(w * m) AS intercept FROM line JOIN means USING (i)),
+l AS (SELECT l1.*, greatest(0.0, intercept + coalesce(hw.w, 0) + coalesce(dw.w, 0)
+    + {" + ".join(f"lag_{n} * (SELECT w FROM line WHERE i = {i + 1})" for i, n in enumerate(forecast.LAGS))}) AS predicted
+  FROM l1 CROSS JOIN base LEFT JOIN line hw ON hw.i = l1.h + 3 AND l1.h > 0 LEFT JOIN line dw ON dw.i = l1.d + 25 AND l1.d > 1)
+{result}"""
+
+
+def _forecast_sql(zones: str) -> str:
+    keys = f"{zones}, " if zones else ""
+    return _regression_sql(zones, f"""SELECT {keys}CAST(hour_ahead AS INTEGER) AS hour_ahead, {ts_text("hour_start", "hour_start")},
+  {r4("predicted", "predicted_trips")}, {r4("lag_168", "naive_trips")} FROM l WHERE hour_ahead > 0""")
+
+
+@query("demand_forecast", _forecast_sql(""), base=None)
 def _(spark, d):
     return forecast.demand_forecast(_city_series(spark, d))
 
 
-@query("demand_forecast_by_zone")
+@query("demand_forecast_by_zone", _forecast_sql("zone_lat, zone_lon"), base=None)
 def _(spark, d):
     return forecast.demand_forecast(_zone_series(spark, d), _COARSE_ZONE)
 
 
-@query("forecast_backtest")
+@query(
+    "forecast_backtest",
+    _regression_sql("", f"""SELECT {r4("avg(abs(trip_count - predicted))", "model_mae")}, {r4("avg(abs(trip_count - lag_168))", "naive_mae")},
+  count(*) AS test_hours FROM l WHERE hour_ahead > -168 AND hour_ahead <= 0""", until=-forecast.WEEK),
+    base=None,
+)
 def _(spark, d):
     return forecast.backtest(_city_series(spark, d))
 
@@ -1175,7 +1244,35 @@ def _learning_trips(spark, d) -> DataFrame:
     return settled(sampling.spread(trips(spark, d).select(*columns), spark.sparkContext.defaultParallelism))
 
 
-@query("spatial_clusters")
+def _kmeans_sql(relation: str, columns: list[str], k: int, scaled: bool) -> str:
+    """CTEs from a relation to ``labelled``: its rows with ``c``, the number of their
+    cluster, by the same starts and rounds."""
+    unit = ", ".join(f"CAST(CAST(round({c} / {clusters.HASH_UNIT}) AS BIGINT) AS VARCHAR)" for c in columns)
+    means = ", ".join((f"avg({c}) AS m{i}, coalesce(nullif(stddev_samp({c}), 0), 1.0) AS s{i}" if scaled else f"0.0 AS m{i}, 1.0 AS s{i}") for i, c in enumerate(columns))
+    point = ", ".join(f"(CAST({c} AS DOUBLE) - m{i}) / s{i}" for i, c in enumerate(columns))
+    away = " + ".join(f"(p[{i + 1}] - z[{i + 1}]) * (p[{i + 1}] - z[{i + 1}])" for i in range(len(columns)))
+    new = ", ".join(f"avg(p[{i + 1}])" for i in range(len(columns)))
+    return f"""
+scaling AS MATERIALIZED (SELECT {means}{f" FROM {relation}" if scaled else ""}),
+points AS MATERIALIZED (SELECT *, row_number() OVER () AS id, [{point}] AS p, md5(concat_ws('|', '{sampling.SEED}', {unit})) AS hash FROM {relation}, scaling),
+places AS MATERIALIZED (SELECT id, p FROM points),
+starts AS (SELECT row_number() OVER (ORDER BY hash) - 1 AS c, p AS z FROM (
+  SELECT hash, any_value(p) AS p FROM points GROUP BY hash ORDER BY hash LIMIT {k})),
+rounds(nth, c, z) AS (SELECT 0, c, z FROM starts UNION ALL
+  SELECT r.nth + 1, r.c, coalesce(n.z, r.z) FROM rounds r LEFT JOIN (SELECT near.c AS c, [{new}] AS z
+    FROM (SELECT id, any_value(p) AS p, min({{'away': {away}, 'c': c}}) AS near FROM rounds CROSS JOIN places GROUP BY id) GROUP BY near.c) n ON n.c = r.c
+  WHERE r.nth < {clusters.MAX_ITERATIONS}),
+numbered AS (SELECT id, min({{'away': {away}, 'c': c}}) AS near FROM places CROSS JOIN (SELECT c, z FROM rounds WHERE nth = (SELECT max(nth) FROM rounds)) GROUP BY id),
+labelled AS (SELECT points.*, CAST(near.c AS INTEGER) AS c FROM points JOIN numbered USING (id))"""
+
+
+@query(
+    "spatial_clusters",
+    f"""WITH RECURSIVE {TRIPS_SQL.strip()}, {_kmeans_sql("trips", ["pickup_latitude", "pickup_longitude"], 20, False)}
+SELECT c AS cluster_id, {N}, {r4("avg(pickup_latitude)", "latitude")}, {r4("avg(pickup_longitude)", "longitude")},
+  {r4("avg(fare_amount)", "avg_fare")} FROM labelled GROUP BY c""",
+    base=None,
+)
 def _(spark, d):
     return clusters.spatial_clusters(_learning_trips(spark, d))
 
@@ -1208,7 +1305,13 @@ def _(spark, d):
     return _weighted(found, "customer_count", ["avg_fare", "avg_distance", "avg_duration"])
 
 
-@query("trip_segments")
+@query(
+    "trip_segments",
+    f"""WITH RECURSIVE {TRIPS_SQL.strip()}, {_kmeans_sql("trips", ["fare_amount", "trip_distance", "trip_duration_minutes"], 5, True)}
+SELECT c AS segment, count(*) AS customer_count, {r4("avg(fare_amount)", "avg_fare")}, {r4("avg(trip_distance)", "avg_distance")},
+  {r4("avg(trip_duration_minutes)", "avg_duration")} FROM labelled GROUP BY c""",
+    base=None,
+)
 def _(spark, d):
     return clusters.trip_segments(_learning_trips(spark, d))
 
@@ -1230,7 +1333,14 @@ def _(spark, d):
     return state.segment_inputs(state.fare_state(t), state.tip_state(t))
 
 
-@query("customer_segments")
+@query(
+    "customer_segments",
+    "WITH RECURSIVE " + re.sub(r"round\((.+?) \+ 1e-07, 4\) AS", r"(\1) AS", f"{TRIPS_SQL.strip()}{_SEGMENTS_SQL.replace('SELECT f.*', ', si AS (SELECT f.*', 1)})")
+    + f""", {_kmeans_sql("si", clusters.SEGMENT_FEATURES, 4, True)}
+SELECT c AS segment, {", ".join(r4(f"avg({c})", c) for c in clusters.SEGMENT_FEATURES if c != "total_revenue")},
+  {r4("sum(total_revenue)", "total_revenue")}, count(*) AS group_count FROM labelled GROUP BY c""",
+    base=None,
+)
 def _(spark, d):
     return clusters.customer_segments(settled(clusters.segment_inputs(trips(spark, d))))
 
@@ -1286,19 +1396,6 @@ def _(spark, d):
     return models.metrics_frame(spark, {"m": models.train(_learning_trips(spark, d), "linear_regression")})
 
 
-def _ridge_sql(size: int, regularization: float) -> str:
-    """CTEs from ``variances`` (v), ``label_deviation`` (d) and ``related`` (i, j, r), the
-    correlations of features 1 to ``size`` and (j = size + 1) the label, to ``standard``
-    (i, b): the coefficients by Gauss-Jordan elimination."""
-    return f"""
-cells AS (SELECT i, j, CASE WHEN i = j THEN 1 + {regularization} / d ELSE coalesce(r, 0.0) END AS r FROM related, label_deviation),
-matrix AS (SELECT list(line ORDER BY i) AS m FROM (SELECT i, list(r ORDER BY j) AS line FROM cells GROUP BY i)),
-steps(k, m) AS (SELECT 1, m FROM matrix UNION ALL
-  SELECT k + 1, list_transform(m, lambda line, i: list_transform(line, lambda x, j:
-    CASE WHEN i = k THEN x / m[k][k] ELSE x - line[k] * m[k][j] / m[k][k] END)) FROM steps WHERE k <= {size}),
-standard AS (SELECT i, m[i][{size + 1}] * d AS b FROM (SELECT m, unnest(range(1, {size + 1})) AS i FROM steps WHERE k = {size + 1}), label_deviation)"""
-
-
 def _fare_line_sql(result: str) -> str:
     """The linear model by its normal equations, then ``result``."""
     pairs = [(i, j) for i in range(1, 11) for j in range(1, 12)]
