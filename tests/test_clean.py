@@ -138,3 +138,17 @@ def test_other_time_zones_are_refused(spark, raw):
             clean.clean_trips(frame)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_one_finite_test_a_column_and_none_where_limits_hold(raw):
+    """Limited columns need no test of their own; others have one."""
+    plan = clean.clean_trips(raw([trip()]))._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Infinity") == len(["extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount"])
+    assert "isnan" not in plan
+
+
+def test_a_limit_that_is_not_finite_still_drops_nan_and_infinity(raw):
+    inf = float("inf")
+    open_ = {**clean.S.CLEANING_LIMITS, "fare_amount_max": inf, "lat_max": inf}
+    odd = [trip(fare_amount=inf), trip(fare_amount=float("nan")), trip(pickup_latitude=inf), trip(dropoff_latitude=float("nan"))]
+    assert clean.clean_trips(raw([trip(fare_amount=1e6), *odd]), open_).count() == 1
