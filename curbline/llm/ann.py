@@ -3,7 +3,7 @@
 Every tree gives a vector a string of 64 random-hyperplane bits and keeps its
 vectors as an array sorted by string. A query descends to its longest matching
 prefix in every tree and then ascends in all trees at the same time, one bit a
-step. It stops as soon as a row as near as the k-th best found so far would be found
+step or more. It stops as soon as a row as near as the k-th best found so far would be found
 with a chance of 1 - ``missed`` at least: two vectors at an angle a share a bit with
 chance 1 - a / pi, so they share a prefix of d bits in at least one of t trees with
 1 - (1 - (1 - a / pi)^d)^t. So a query among near neighbours stops at long prefixes and
@@ -41,11 +41,11 @@ SCORED = 1 << 18
 
 
 def hash_strings(x: np.ndarray, planes: np.ndarray) -> np.ndarray:
-    """Strings of 64 bits of the rows of x, one column a tree, as unsigned integers."""
-    out = np.empty((len(x), len(planes)), np.uint64)
-    for t, normals in enumerate(planes):
+    """Strings of 64 bits of the rows of x, one row a tree, as unsigned integers."""
+    out, x = np.empty((len(planes), len(x)), np.uint64), x.astype(np.float32)
+    for t, normals in enumerate(planes.astype(np.float32)):
         bits = np.packbits(x @ normals.T > 0, axis=1)
-        out[:, t] = bits.view(">u8")[:, 0]
+        out[t] = bits.view(">u8")[:, 0]
     return out
 
 
@@ -53,30 +53,27 @@ class Forest:
     """Sorted arrays of hash strings over some rows, one a tree."""
 
     def __init__(self, strings: np.ndarray):
-        self.order = np.argsort(strings, axis=0, kind="stable").astype(np.int32)
-        self.sorted = np.take_along_axis(strings, self.order, axis=0)
-
-    def below(self, queries: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-        """First and last position in every tree (queries, trees) of the rows that
-        share ``depth`` bits with each query."""
-        rest, trees = np.uint64((1 << (BITS - depth)) - 1), range(queries.shape[1])
-        low = np.stack([np.searchsorted(self.sorted[:, t], queries[:, t] & ~rest, "left") for t in trees], axis=1)
-        high = np.stack([np.searchsorted(self.sorted[:, t], queries[:, t] | rest, "right") for t in trees], axis=1)
+        self.order = np.argsort(strings, axis=1, kind="stable")
+        self.sorted = np.take_along_axis(strings, self.order, axis=1)
+
+    def below(self, queries: np.ndarray, depths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last position in every tree (trees, queries) of the rows that share
+        as many bits with each query as ``depths`` tells."""
+        rest = np.array([(1 << (BITS - d)) - 1 for d in range(BITS + 1)], np.uint64)[depths]
+        low = np.stack([np.searchsorted(own, q & ~rest, "left") for own, q in zip(self.sorted, queries, strict=True)])
+        high = np.stack([np.searchsorted(own, q | rest, "right") for own, q in zip(self.sorted, queries, strict=True)])
         return low, high
 
-    def ranges(self, queries: np.ndarray, enough: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """``below`` at the depth at which all trees together have ``enough`` rows, and
-        the depth of every query; 0 is the root, which has all rows."""
-        first, last = np.zeros(queries.shape, np.int64), np.full(queries.shape, len(self.sorted), np.int64)
-        depths, climbing = np.zeros(len(queries), np.int64), np.arange(len(queries))
-        for depth in range(BITS, 0, -1):
-            low, high = self.below(queries[climbing], depth)
-            stop = (high - low).sum(axis=1) >= enough
-            first[climbing[stop]], last[climbing[stop]], depths[climbing[stop]] = low[stop], high[stop], depth
-            climbing = climbing[~stop]
-            if not len(climbing):
-                break
-        return first, last, depths
+    def depths(self, queries: np.ndarray, enough: float) -> np.ndarray:
+        """For each query the greatest depth at which all trees together have ``enough``
+        rows, found by halving; 0 is the root, which has all rows."""
+        low, high = np.zeros(queries.shape[1], np.int64), np.full(queries.shape[1], BITS)
+        while (low < high).any():
+            middle = (low + high + 1) // 2
+            first, last = self.below(queries, middle)
+            held = (last - first).sum(axis=0) >= enough
+            low, high = np.where(held, middle, low), np.where(held, high, middle - 1)
+        return low
 
 
 def top(found: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,20 +88,17 @@ def top(found: np.ndarray, score: np.ndarray, ids: np.ndarray, k: int) -> tuple[
 def best(forest: Forest, x: np.ndarray, ids: np.ndarray, strings: np.ndarray, queries: np.ndarray, own: np.ndarray, k: int, enough: float, longest: float, missed: float) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """Of every query its k best candidates: number, ids, inner products, rows scored.
     ``longest`` is the norm that all vectors of the forest have."""
-    first, last, depths = forest.ranges(strings, enough)
-    norms, trees = np.sqrt((queries * queries).sum(axis=1)) * longest, strings.shape[1]
+    norms, trees = np.sqrt((queries * queries).sum(axis=1)) * longest, len(strings)
     near = [(np.zeros(0, np.int64), np.zeros(0))] * len(queries)
     scored = [np.zeros(0, np.int64)] * len(queries)
     seen = np.zeros(len(x), bool)
-    climbing = np.arange(len(queries))
-    for depth in range(int(depths.max(initial=0)), -1, -1):
-        now = climbing[depths[climbing] >= depth]
-        later = now[depths[now] > depth]
-        first[later], last[later] = forest.below(strings[later], depth)
-        done = []
-        for q in now:
-            for t in range(trees):
-                seen[forest.order[first[q, t] : last[q, t], t]] = True
+    depths, climbing = forest.depths(strings, enough), np.arange(len(queries))
+    while len(climbing):
+        first, last = forest.below(strings[:, climbing], depths[climbing])
+        on = []
+        for q, low, high in zip(climbing.tolist(), first.T.tolist(), last.T.tolist(), strict=True):
+            for rows, start, end in zip(forest.order, low, high, strict=True):
+                seen[rows[start:end]] = True
             new = seen.copy()
             new[scored[q]] = False
             scored[q], new = np.flatnonzero(seen), np.flatnonzero(new)
@@ -115,17 +109,23 @@ def best(forest: Forest, x: np.ndarray, ids: np.ndarray, strings: np.ndarray, qu
                 part = new[at : at + SCORED]
                 score[at : at + len(part)] = np.einsum("ij,j->i", x[part], queries[q])
             near[q] = top(np.concatenate([near[q][0], new]), np.concatenate([near[q][1], score]), ids, k)
-            if depth == 0 or len(near[q][0]) == k and _miss(near[q][1][-1] / norms[q], depth, trees) <= missed:
-                yield int(q), ids[near[q][0]], near[q][1], len(scored[q])
-                done.append(q)
+            depth, goal = int(depths[q]), 0
+            if len(near[q][0]) == k:
+                bit = 1 - np.arccos(np.clip(near[q][1][-1] / norms[q], -1, 1)) / np.pi
+                goal = _depth(bit, trees, missed)
+            if depth <= goal:
+                yield q, ids[near[q][0]], near[q][1], len(scored[q])
                 scored[q] = np.zeros(0, np.int64)
-        climbing = np.setdiff1d(climbing, done)
+            else:  # half the way to where these neighbours call for, as better ones may come
+                depths[q] = (depth + goal) // 2
+                on.append(q)
+        climbing = np.array(on, np.int64)
 
 
-def _miss(cosine: float, depth: int, trees: int) -> float:
-    """The chance that no tree has ``depth`` bits in common for two such vectors."""
-    bit = 1 - np.arccos(np.clip(cosine, -1, 1)) / np.pi
-    return (1 - bit**depth) ** trees
+def _depth(bit: float, trees: int, missed: float) -> int:
+    """The greatest depth at which two vectors that share a bit with chance ``bit`` have it
+    in common in no tree with a chance of ``missed`` at most; 0 is the root."""
+    return next((d for d in range(BITS, 0, -1) if (1 - bit**d) ** trees <= missed), 0)
 
 
 def _matrix(column: pa.Array, size: int) -> np.ndarray:

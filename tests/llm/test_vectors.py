@@ -140,7 +140,7 @@ def test_neighbours_that_are_near_end_the_search():
     planes = draw.standard_normal((ann.TREES, ann.BITS, 65))
     strings = ann.hash_strings(np.column_stack([x, np.zeros(len(x))]), planes)
     hits, share = 0, []
-    for q, near, _, scored in ann.best(ann.Forest(strings), x, ids, strings[asked], x[asked], asked, 20, 320, 1.0, ann.MISSED):
+    for q, near, _, scored in ann.best(ann.Forest(strings), x, ids, strings[:, asked], x[asked], asked, 20, 320, 1.0, ann.MISSED):
         product = x @ x[asked[q]]
         product[asked[q]] = -2
         hits += len(set(near) & set(np.argsort(-product)[:20]))
