@@ -104,6 +104,7 @@ def run_batch(
     skip_ingestion: bool = False,
     skip_cleaning: bool = False,
     rebuild: bool = False,
+    repair: bool = False,
     sample_fraction: float | None = None,
     hotspot_min_trips: int = 100,
     **model_params,
@@ -117,7 +118,8 @@ def run_batch(
 
     The folder's files are added to the store as loads of their own: what other loads
     brought stays, and only the months touched are refreshed. ``rebuild`` replaces
-    everything by what the folder holds.
+    everything by what the folder holds. ``repair`` reads badly typed cells in other ways
+    before they count as missing.
     """
     unknown = set(stages) - set(STAGES)
     if unknown:
@@ -125,7 +127,7 @@ def run_batch(
     root = root.rstrip("/")
     store, raw_path = TripStore(root), f"{root}/raw"
     if not (skip_ingestion and storage.exists(spark, raw_path)):
-        source.ingest_folder(spark, input_dir, raw_path)
+        source.ingest_folder(spark, input_dir, raw_path, repair=repair)
     if not (skip_cleaning and storage.exists(spark, store.cleaned_path)):
         raw = spark.read.parquet(raw_path)
         if rebuild:

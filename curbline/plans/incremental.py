@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from curbline.plans import state
+from curbline.plans import ledger, state
 from curbline.plans.store import TripStore
 from curbline.sources import storage
 from curbline.sources import trips as source
@@ -29,17 +29,48 @@ from curbline.sources import trips as source
 TOUCHED_SCHEMA = StructType([StructField("year", IntegerType()), StructField("month", IntegerType())])
 
 
-def load_csv(spark: SparkSession, store: TripStore, csv_path, drop_root: str | None = None) -> DataFrame:
+def load_csv(
+    spark: SparkSession, store: TripStore, csv_path, drop_root: str | None = None, repair: bool = False
+) -> DataFrame:
     """Clean CSV files into the store and refresh the months they touch.
 
     A file takes the place of an earlier one of the same path (from ``drop_root`` on,
-    if given), never of one that only has the same name. Returns the touched
-    (year, month) pairs.
+    if given), never of one that only has the same name. ``repair`` reads badly typed
+    cells in other ways before they count as missing. Returns the touched (year, month)
+    pairs.
     """
-    scanned = source.read_csv(spark, csv_path)
-    files = spark.createDataFrame([(f,) for f in scanned.inputFiles()], "path string")
-    names = [r[0] for r in files.select(source.load_id_of(F.col("path"), drop_root)).collect()]
-    return apply_load(spark, store, source.with_load_id(scanned, drop_root), names)
+    return load_listed(spark, store, source.csv_files(spark, csv_path, drop_root), drop_root, repair)
+
+
+def load_changed(
+    spark: SparkSession, store: TripStore, csv_path, drop_root: str | None = None, repair: bool = False
+) -> DataFrame:
+    """``load_csv`` of those files that are new or were corrected since their last load.
+
+    Files that left the folder keep their trips.
+    """
+    files = ledger.due(spark, store, source.csv_files(spark, csv_path, drop_root))
+    return load_listed(spark, store, files, drop_root, repair)
+
+
+def load_corrected(spark: SparkSession, store: TripStore, csv_path, repair: bool = False) -> DataFrame:
+    """``load_csv`` of those files that the store holds in another version."""
+    files = ledger.corrected(spark, store, source.csv_files(spark, csv_path))
+    return load_listed(spark, store, files, repair=repair)
+
+
+def load_listed(
+    spark: SparkSession, store: TripStore, files: DataFrame, drop_root: str | None = None, repair: bool = False
+) -> DataFrame:
+    """Load listed files (load_id, path, length, modified) and note them; the driver sees
+    a row a file."""
+    listed = files.collect()
+    if not listed:
+        return spark.createDataFrame([], TOUCHED_SCHEMA)
+    raw = source.scan_csv(spark, [storage.literal(f["path"]) for f in listed], drop_root, repair)
+    touched = apply_load(spark, store, raw, [f["load_id"] for f in listed])
+    ledger.note(spark, store, spark.createDataFrame(listed, files.schema))
+    return touched
 
 
 def apply_load(spark: SparkSession, store: TripStore, raw: DataFrame, load_ids=()) -> DataFrame:
@@ -90,18 +121,13 @@ def _stale_partitions(spark: SparkSession, store: TripStore, load_ids: set, writ
     """Partitions of these loads that an earlier run filled and this one did not."""
     held = set()
     for load in sorted(load_ids):
-        pattern = f"{store.cleaned_path}/year=*/month=*/load_id={_literal(storage.escaped(spark, load))}"
+        pattern = f"{store.cleaned_path}/year=*/month=*/load_id={storage.literal(storage.escaped(spark, load))}"
         for folder in storage.matching(spark, pattern):
             year, month = re.search(r"/year=(-?\d+)/month=(\d+)/load_id=[^/]*$", folder).groups()
             held.add((int(year), int(month), load))
     return held - written
 
 
-def _literal(name: str) -> str:
-    """A file name as a glob pattern that matches nothing else."""
-    return re.sub(r"([\\*?\[\]{},])", r"\\\1", name)
-
-
 def _partition_in(partitions) -> Column:
     named = F.concat_ws("/", *[F.col(c).cast("string") for c in source.LOAD_PARTITIONS])
     return named.isin(*[f"{y}/{m}/{load}" for y, m, load in partitions])

@@ -21,6 +21,10 @@ class TripStore:
     def cleaned_path(self) -> str:
         return f"{self.root.rstrip('/')}/cleaned"
 
+    @property
+    def ledger_path(self) -> str:
+        return f"{self.root.rstrip('/')}/ledger"
+
     def state_path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/state/{name}"
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 
@@ -37,3 +39,17 @@ def matching(spark: SparkSession, pattern: str) -> list[str]:
 def escaped(spark: SparkSession, value: str) -> str:
     """A partition value as Spark's writer spells it in a folder name."""
     return spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(value)
+
+
+def literal(name: str) -> str:
+    """A file name as a glob pattern that matches nothing else."""
+    return re.sub(r"([\\*?\[\]{},])", r"\\\1", name)
+
+
+def move_file(spark: SparkSession, path: str, target: str) -> None:
+    """Put a file in the place of ``target``."""
+    fs, to = _fs_path(spark, target)
+    fs.delete(to, False)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(path), to):
+        raise OSError(f"could not move {path} to {target}")

@@ -8,20 +8,52 @@ from pyspark.sql import functions as F
 from curbline import schema as S
 from curbline.functions import columns as C
 from curbline.operators import clean
+from curbline.sources import cells
 
 ROWS_PER_FILE = 5_000_000
 LOAD_PARTITIONS = ["year", "month", "load_id"]
 
 
-def read_csv(spark: SparkSession, path) -> DataFrame:
+def read_csv(spark: SparkSession, path, repair: bool = False) -> DataFrame:
     """Vendor CSV: header line, fixed schema, empty cell = NULL.
 
-    A cell that does not parse becomes NULL and its row is kept. ``path`` may be
-    a file, a folder, a glob or a list of them; all are one scan.
+    A cell that does not parse becomes NULL and its row is kept. With ``repair`` it is
+    first read in the other ways of ``cells.links`` (``1.0`` as a whole number, say).
+    ``path`` may be a file, a folder, a glob or a list of them; all are one scan.
     """
+    if repair:
+        return cells.typed(read_csv_text(spark, path))
     return _csv_options(spark.read.schema(S.TRIP_SCHEMA)).csv(path)
 
 
+def read_csv_text(spark: SparkSession, path) -> DataFrame:
+    """The same scan with every cell as text, for ``cells.typed`` and ``cells.cell_report``."""
+    return _csv_options(spark.read.schema(cells.as_text())).csv(path)
+
+
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
+
+def files_of(listing: DataFrame, drop_root: str | None = None) -> DataFrame:
+    """(load_id, path, length, modified) of a scan of whole files; no content is read."""
+    named = load_id_of(F.col("_metadata.file_path"), drop_root).alias("load_id")
+    modified = F.unix_micros("_metadata.file_modification_time").alias("modified")
+    return listing.select(named, "path", F.col("_metadata.file_size").alias("length"), modified)
+
+
+def csv_files(spark: SparkSession, path, drop_root: str | None = None) -> DataFrame:
+    """Files that ``read_csv`` of the same path would scan, also those without a row."""
+    return files_of(spark.read.format("binaryFile").load(path), drop_root)
+
+
+def stream_files(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """CSV files as they arrive in a folder, a row a file."""
+    reader = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).option("pathGlobFilter", "*.csv")
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return files_of(reader.load(folder))
+
+
 def _csv_options(reader):
     return reader.option("header", True).option("nullValue", "").option("emptyValue", "").option("mode", "PERMISSIVE")
 
@@ -54,6 +86,13 @@ def with_load_id(scanned: DataFrame, drop_root: str | None = None) -> DataFrame:
     return scanned.select(*scanned.columns, load_id_of(F.col("_metadata.file_path"), drop_root).alias("load_id"))
 
 
+def scan_csv(spark: SparkSession, path, drop_root: str | None = None, repair: bool = False) -> DataFrame:
+    """``read_csv`` with the load each row belongs to."""
+    if repair:
+        return cells.typed(with_load_id(read_csv_text(spark, path), drop_root))
+    return with_load_id(read_csv(spark, path), drop_root)
+
+
 def _with_month(trips: DataFrame) -> DataFrame:
     return trips.withColumns({"year": F.year(C.PICKUP), "month": F.month(C.PICKUP)})
 
@@ -80,24 +119,29 @@ def write_partitioned(
 
 
 def ingest_csv(
-    spark: SparkSession, csv_path, output_path: str, partition_by=("year", "month"), gather: bool = True
+    spark: SparkSession,
+    csv_path,
+    output_path: str,
+    partition_by=("year", "month"),
+    gather: bool = True,
+    repair: bool = False,
 ) -> DataFrame:
     """CSV to partitioned Parquet; returns the written dataset.
 
     Rows of a partition are gathered, as files may hold any months. Where each file
     holds one month, ``gather=False`` saves the shuffle.
     """
-    rows = _with_month(with_load_id(read_csv(spark, csv_path)))
+    rows = _with_month(scan_csv(spark, csv_path, repair=repair))
     write_partitioned(rows, output_path, list(partition_by), gather=gather)
     return spark.read.parquet(output_path)
 
 
-def ingest_folder(spark: SparkSession, input_dir: str, output_dir: str) -> DataFrame:
+def ingest_folder(spark: SparkSession, input_dir: str, output_dir: str, repair: bool = False) -> DataFrame:
     """Every ``*.csv`` of a folder into one dataset, in one scan.
 
     A folder without CSV files is an error (path not found).
     """
-    return ingest_csv(spark, f"{input_dir.rstrip('/')}/*.csv", output_dir)
+    return ingest_csv(spark, f"{input_dir.rstrip('/')}/*.csv", output_dir, repair=repair)
 
 
 def load_report(trips: DataFrame) -> DataFrame:

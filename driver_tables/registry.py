@@ -35,6 +35,7 @@ from curbline.plans import batch, incremental, state
 from curbline.plans import tables as T
 from curbline.plans.store import TripStore
 from curbline.session import settled, shared_dir
+from curbline.sources import cells, storage
 from curbline.sources import trips as source
 from curbline.streaming import arrivals
 from driver_tables.trips_view import KEEP_SQL, RAW_SQL, ROW_KEY, TRIPS_SQL, raw_trips, table, trips
@@ -177,6 +178,48 @@ def _(spark, d):
     return source.load_report(stored).join(money, ["year", "month"])
 
 
+def _odd_texts(spark, d):
+    """Raw trips as text, with cells as other tools write them: passengers like ``2.0``,
+    fares like ``$12.50``, pickups with the month first, and tips that say ``n/a``."""
+    raw = raw_trips(spark, d, with_key=True)
+    odd = {
+        1: ("passenger_count", F.concat(F.col("passenger_count").cast("string"), F.lit(".0"))),
+        2: ("fare_amount", F.concat(F.lit("$"), F.format_number("fare_amount", "0.00"))),
+        3: ("tip_amount", F.lit("n/a")),
+        4: (C.PICKUP, F.date_format(C.PICKUP, "M/d/yyyy H:mm:ss")),
+    }
+    texts = {f: F.col(f).cast("string") for f in S.TRIP_SCHEMA.names}
+    for line, (name, cell) in odd.items():
+        texts[name] = F.when(F.col("l_linenumber") == line, cell).otherwise(texts[name])
+    return raw.select(*[c.alias(f) for f, c in texts.items()])
+
+
+_ODD_CELLS = {
+    "passenger_count": ("passenger_count IS NULL", "l_linenumber = 1 AND passenger_count IS NOT NULL", "false"),
+    "fare_amount": ("false", "l_linenumber = 2", "false"),
+    "tip_amount": ("tip_amount IS NULL AND l_linenumber <> 3", "false", "l_linenumber = 3"),
+    C.PICKUP: ("false", "l_linenumber = 4", "false"),
+}
+
+
+def _cells_sql() -> str:
+    def counted(name: str) -> str:
+        tests = zip(("empty", "repaired", "rejected"), _ODD_CELLS.get(name, ("false",) * 3))
+        return f"SELECT '{name}' AS column_name, count(*) AS cells, " + ", ".join(
+            f"count(*) FILTER (WHERE {test}) AS {shown}" for shown, test in tests
+        )
+
+    return "\n" + "\nUNION ALL ".join(f"{counted(name)} FROM raw" for name in S.TRIP_SCHEMA.names)
+
+
+@query("csv_cells", _cells_sql(), base=RAW_SQL)
+def _(spark, d):
+    """Cells of CSV files that a strict parse would lose: repaired, rejected and empty."""
+    drop = shared_dir(spark, "drop")
+    source.export_csv(_odd_texts(spark, d), drop)
+    return cells.cell_report(source.read_csv_text(spark, drop))
+
+
 @query("json_results", "\nSELECT pickup_hour AS hour, count(*) AS trip_count FROM trips GROUP BY 1")
 def _(spark, d):
     """A result set through the JSON sink and back."""
@@ -1523,6 +1566,15 @@ _loaded_table("incremental_airports", ORACLES["airport_analysis"].removeprefix(f
 _loaded_table("incremental_summary", _summary_sql(), "summary_stats")
 
 
+@query("repaired_load_hourly", _HOURLY_SQL)
+def _(spark, d):
+    """Files with badly typed cells load whole."""
+    drop, store = shared_dir(spark, "drop"), TripStore(shared_dir(spark, "store"))
+    source.export_csv(_odd_texts(spark, d), drop)
+    incremental.load_csv(spark, store, drop, repair=True)
+    return store.table(spark, "temporal_hourly_stats")
+
+
 @query("incremental_fare_line", _COEFFICIENTS_SQL, base=None)
 def _(spark, d):
     """The linear model after two loads, from their merged moments."""
@@ -1559,3 +1611,24 @@ def _(spark, d):
     for _ in range(2):
         arrivals.store_arrivals(spark, drop, store, checkpoint).awaitTermination()
     return store.table(spark, "tip_behavior_analysis")
+
+
+def _deliver(spark, rows, folder: str) -> None:
+    """Four CSV files of fixed names, in the place of those delivered before."""
+    made = shared_dir(spark, "made")
+    source.export_csv(rows.repartition(4, "VendorID", "passenger_count", C.PICKUP), made)
+    for path in storage.matching(spark, f"{made}/part-*.csv"):
+        storage.move_file(spark, path, f"{folder}/{path.rsplit('/', 1)[1][:10]}.csv")
+
+
+@query("stream_corrected", _TIPS_SQL)
+def _(spark, d):
+    """The tip table after a stream took up files with wrong tips and a payment type
+    missing, and again after the same files were corrected."""
+    drop, store = shared_dir(spark, "drop"), TripStore(shared_dir(spark, "store"))
+    checkpoint, raw = shared_dir(spark, "stream"), raw_trips(spark, d)
+    wrong = raw.where("payment_type <> 2").withColumn("tip_amount", F.col("tip_amount") + 1)
+    for delivered in (wrong, raw):
+        _deliver(spark, delivered, drop)
+        arrivals.store_arrivals(spark, drop, store, checkpoint).awaitTermination()
+    return store.table(spark, "tip_behavior_analysis")

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from conftest import rows, trip
 from curbline.operators import clean, economic
-from curbline.plans import batch, incremental, state
+from curbline.plans import batch, incremental, ledger, state
 from curbline.plans import tables as T
 from curbline.plans.store import TripStore
 from curbline.schema import TRIP_SCHEMA
+from curbline.sources import cells
 from curbline.sources import trips as source
 from curbline.streaming import arrivals
 
@@ -100,6 +101,86 @@ def test_csv_cells(spark, tmp_path):
     assert short["VendorID"] == 2 and short["fare_amount"] is None
 
 
+ODD_CELLS = {
+    "VendorID": ["2.0", " 2 ", "2.5", "two", ""],
+    "passenger_count": ["1.0", "+1", "1e0", "99999999999", "  "],
+    "fare_amount": ["$1,234.50", "-$3", "12,34", "1,234", "NaN"],
+    "tpep_pickup_datetime": ["1/5/2015 10:00", "01/05/2015 10:00:00 pm", "2015-01-05T10:00:00", "10:00:00", "2015-02-30 00:00:00"],
+}
+READ_CELLS = {
+    "VendorID": [2, 2, None, None, None],
+    "passenger_count": [1, 1, 1, None, None],
+    "fare_amount": [1234.5, -3.0, None, 1234.0, "nan"],
+    "tpep_pickup_datetime": [datetime(2015, 1, 5, 10), datetime(2015, 1, 5, 22), datetime(2015, 1, 5, 10), None, None],
+}
+CELL_COUNTS = {  # empty, repaired, rejected
+    "VendorID": (1, 1, 2),
+    "passenger_count": (1, 2, 1),
+    "fare_amount": (0, 3, 1),
+    "tpep_pickup_datetime": (0, 2, 2),
+    "trip_distance": (0, 0, 0),
+}
+
+
+def test_cells_are_repaired_or_rejected(spark):
+    ordinary = {f: str(v) for f, v in trip().items()}
+    texts = [{**ordinary, **{c: cells_[i] for c, cells_ in ODD_CELLS.items()}} for i in range(5)]
+    frame = spark.createDataFrame([tuple(t[f] for f in TRIP_SCHEMA.names) for t in texts], cells.as_text()).coalesce(1)
+    read = cells.typed(frame)
+    assert read.schema == TRIP_SCHEMA
+    got = read.collect()
+    for name, want in READ_CELLS.items():
+        shown = [r[name] if r[name] == r[name] else "nan" for r in got]
+        assert shown == want, name
+    counts = {r["column_name"]: (r["empty"], r["repaired"], r["rejected"]) for r in cells.cell_report(frame).collect()}
+    assert {c: counts[c] for c in CELL_COUNTS} == CELL_COUNTS
+    empty = cells.cell_report(frame.limit(0)).collect()
+    assert len(empty) == len(TRIP_SCHEMA) and all(r["cells"] == r["rejected"] == 0 for r in empty)
+
+
+def test_ordinary_files_read_alike_with_and_without_repair(spark, drops):
+    assert sorted(rows(source.read_csv(spark, str(drops), repair=True)), key=str) == sorted(rows(source.read_csv(spark, str(drops))), key=str)
+
+
+def test_a_file_of_odd_passengers_loads_whole(spark, tmp_path):
+    path = write_csv(tmp_path / "odd.csv", [{**r, "passenger_count": f"{r['passenger_count']}.0"} for r in DROPS["2015-01.csv"]])
+    strict, store = TripStore(str(tmp_path / "strict")), TripStore(str(tmp_path / "store"))
+    assert incremental.load_csv(spark, strict, path).count() == 0
+    incremental.load_csv(spark, store, path, repair=True)
+    assert_tables_equal_direct(spark, store, DROPS["2015-01.csv"])
+
+
+def test_changed_files_are_loaded_again_and_no_others(spark, tmp_path):
+    folder, store = tmp_path / "drop [x] 1", TripStore(str(tmp_path / "store"))
+    folder.mkdir()
+    for name in ("2015-01.csv", "2015-02.csv"):
+        write_csv(folder / name, DROPS[name])
+    write_csv(folder / "empty.csv", [])
+    pattern = str(folder).replace("[", "\\[").replace("]", "\\]")
+    assert sorted(rows(incremental.load_changed(spark, store, pattern))) == [(2015, 1), (2015, 2)]
+    assert incremental.load_changed(spark, store, pattern).count() == 0
+    write_csv(folder / "2015-02.csv", DROPS["2015-02.csv"][:20])
+    write_csv(folder / "empty.csv", DROPS["2016-01.csv"][:40])
+    assert sorted(rows(incremental.load_changed(spark, store, pattern))) == [(2015, 2), (2016, 1)]
+    assert_tables_equal_direct(
+        spark, store, DROPS["2015-01.csv"] + DROPS["2015-02.csv"][:20] + DROPS["2016-01.csv"][:40]
+    )
+    assert ledger.taken(spark, store).count() == 3
+
+
+def test_a_stream_takes_up_corrected_files(spark, tmp_path):
+    folder, store, check = tmp_path / "drop", TripStore(str(tmp_path / "store")), str(tmp_path / "check")
+    folder.mkdir()
+    arrivals.store_arrivals(spark, str(folder), store, check).awaitTermination()  # nothing yet
+    write_csv(folder / "2015-01.csv", DROPS["2015-01.csv"][:10])
+    write_csv(folder / "2015-02.csv", [])
+    arrivals.store_arrivals(spark, str(folder), store, check).awaitTermination()
+    for name in DROPS:  # two corrected, one of them without a row before, and one new
+        write_csv(folder / name, DROPS[name])
+    arrivals.store_arrivals(spark, str(folder), store, check).awaitTermination()
+    assert_tables_equal_direct(spark, store, everything(*DROPS))
+
+
 def test_folder_ingest_and_report(spark, drops, tmp_path):
     stored = source.ingest_folder(spark, str(drops), str(tmp_path / "raw"))
     assert rows(source.load_report(stored)) == [(2015, 1, 63, 153), (2015, 2, 50, 153), (2016, 1, 40, 153)]
