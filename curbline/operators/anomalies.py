@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.functions import columns as C
+from curbline.operators import quantiles
 
 SHARE = 0.01
 NORMAL_MAD = 1.4826  # deviation of a normal variable in units of its MAD
@@ -17,10 +18,17 @@ DEMAND_FEATURES = ["trip_count", "avg_fare"]
 ROUTE_FEATURES = ["avg_distance", "avg_duration"]
 
 
+def _quantiles(df: DataFrame, wanted: dict[str, float], accuracy: int | None) -> dict[str, float | None]:
+    """Column -> its value at a cumulative share, exactly or by a sketch."""
+    if accuracy is None:
+        return quantiles.exact_quantiles(df, {name: (F.col(name), p) for name, p in wanted.items()})
+    return df.agg(*[C.quantile(name, p, accuracy).alias(name) for name, p in wanted.items()]).first().asDict()
+
+
 def _flag_top(scored: DataFrame, score: str, share: float, accuracy: int | None = None) -> DataFrame:
     """Rows at or above the (1 - share) quantile of the score."""
-    cut = scored.agg(C.quantile(score, 1.0 - share, accuracy).alias("c")).scalar()
-    return scored.where(F.col(score) >= cut)
+    cut = _quantiles(scored, {score: 1.0 - share}, accuracy)[score]
+    return scored.where(F.col(score) >= F.lit(cut))
 
 
 def robust_scores(df: DataFrame, features, accuracy: int | None = None) -> DataFrame:
@@ -28,25 +36,19 @@ def robust_scores(df: DataFrame, features, accuracy: int | None = None) -> DataF
     deviations (1.4826 * median absolute deviation; the standard deviation where
     that is 0; 0 where both are).
 
-    Medians and deviations are scalar subqueries. They are exact; ``accuracy`` makes
-    them sketches of bounded size, with a rank error of rows / accuracy.
+    Medians are exact, found by counting bins (``quantiles.exact_quantiles``), so ``df``
+    is read a few times: give it stored rows. ``accuracy`` makes them sketches of bounded
+    size, with a rank error of rows / accuracy, in a pass each.
     """
     measured = df.withColumns({f"_x_{f}": F.col(f).cast("double") for f in features})
-    centres = measured.agg(F.struct(*[C.quantile(f"_x_{f}", 0.5, accuracy).alias(f) for f in features]).alias("m")).scalar()
-    placed = measured.withColumn("_centre", centres)
-    placed = placed.withColumns({f"_d_{f}": F.abs(F.col(f"_x_{f}") - F.col("_centre")[f]) for f in features})
-    spreads = placed.agg(
-        F.struct(
-            *[C.quantile(f"_d_{f}", 0.5, accuracy).alias(f"{f}_mad") for f in features],
-            *[F.stddev(f).alias(f"{f}_std") for f in features],
-        ).alias("s")
-    ).scalar()
-    placed = placed.withColumn("_spread", spreads)
+    centres = _quantiles(measured, {f"_x_{f}": 0.5 for f in features}, accuracy)
+    placed = measured.withColumns({f"_d_{f}": F.abs(F.col(f"_x_{f}") - F.lit(centres[f"_x_{f}"])) for f in features})
+    mads = _quantiles(placed, {f"_d_{f}": 0.5 for f in features}, accuracy)
+    stds = df.agg(*[F.stddev(f).alias(f) for f in features]).first()
 
     def part(f: str) -> Column:
-        mad = F.col("_spread")[f"{f}_mad"] * NORMAL_MAD
-        scale = F.when(mad > 0, mad).otherwise(F.col("_spread")[f"{f}_std"])
-        return F.coalesce(F.try_divide(F.col(f"_d_{f}"), scale), F.lit(0.0))
+        mad = (mads[f"_d_{f}"] or 0.0) * NORMAL_MAD
+        return F.coalesce(F.try_divide(F.col(f"_d_{f}"), F.lit(mad if mad > 0 else stds[f])), F.lit(0.0))
 
     scored = placed.withColumn("score", F.greatest(*[part(f) for f in features], F.lit(0.0)))
     return scored.select(*df.columns, "score")
@@ -154,21 +156,25 @@ def isolation_forest(
     return _flag_top(scored, "score", share)
 
 
-def demand_anomalies(hourly: DataFrame, share: float = SHARE, method: str = "robust") -> DataFrame:
+def demand_anomalies(
+    hourly: DataFrame, share: float = SHARE, method: str = "robust", accuracy: int | None = None
+) -> DataFrame:
     """Unusual hourly rows by trips and mean fare."""
     keys = ["pickup_year", "pickup_month", "pickup_day_of_week", "pickup_hour"]
-    return _detect(hourly, DEMAND_FEATURES, keys, share, method)
+    return _detect(hourly, DEMAND_FEATURES, keys, share, method, accuracy)
 
 
-def route_anomalies(routes: DataFrame, share: float = SHARE, method: str = "robust") -> DataFrame:
+def route_anomalies(
+    routes: DataFrame, share: float = SHARE, method: str = "robust", accuracy: int | None = None
+) -> DataFrame:
     """Unusual routes by mean distance and duration."""
     keys = ["pickup_lat_grid", "pickup_lon_grid", "dropoff_lat_grid", "dropoff_lon_grid", "pickup_year", "pickup_month"]
-    return _detect(routes, ROUTE_FEATURES, keys, share, method)
+    return _detect(routes, ROUTE_FEATURES, keys, share, method, accuracy)
 
 
-def _detect(df: DataFrame, features, keys, share: float, method: str) -> DataFrame:
+def _detect(df: DataFrame, features, keys, share: float, method: str, accuracy: int | None) -> DataFrame:
     if method == "robust":
-        return robust_anomalies(df, features, share)
+        return robust_anomalies(df, features, share, accuracy)
     if method == "forest":
         return isolation_forest(df, features, keys, share)
     raise ValueError(f"unknown method {method!r}")

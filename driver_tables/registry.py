@@ -184,7 +184,7 @@ def _odd_texts(spark, d):
     raw = raw_trips(spark, d, with_key=True)
     odd = {
         1: ("passenger_count", F.concat(F.col("passenger_count").cast("string"), F.lit(".0"))),
-        2: ("fare_amount", F.concat(F.lit("$"), F.format_number("fare_amount", "0.00"))),
+        2: ("fare_amount", F.concat(F.lit("$"), F.col("fare_amount").cast("string"))),
         3: ("tip_amount", F.lit("n/a")),
         4: (C.PICKUP, F.date_format(C.PICKUP, "M/d/yyyy H:mm:ss")),
     }
