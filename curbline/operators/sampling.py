@@ -8,16 +8,32 @@ from pyspark.sql import functions as F
 TRAIN_SHARE, SEED = 0.8, 42
 
 
-def bernoulli(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
-    """Keep each row with the given probability."""
-    return df if fraction >= 1.0 else df.sample(False, fraction, seed)
+def bernoulli(df: DataFrame, fraction: float, seed: int = SEED, key_columns=None) -> DataFrame:
+    """Keep each row with the given probability, by a hash of its values, so that the
+    same rows are kept whatever the partitioning or a recomputed stage.
+
+    Rows that are equal in all columns are kept or left together. With ``key_columns``
+    only these are hashed, by an md5 that other engines compute alike.
+    """
+    if fraction >= 1.0:
+        return df
+    if key_columns is None:
+        digest = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns])
+        return df.where(F.pmod(digest, F.lit(1 << 32)) < F.lit(round(fraction * (1 << 32))))
+    cut = min(round(fraction * (1 << 32)), (1 << 32) - 1)
+    return df.where(_digest(key_columns, seed, 8) < F.lit(f"{cut:08x}"))
+
+
+def _digest(key_columns, seed: int, digits: int) -> Column:
+    """The first hex digits of an md5 of the columns as text. NULL counts as an empty text."""
+    shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_columns]
+    return F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *shown)), 1, digits)
 
 
 def split_slot(key_columns, seed: int = SEED) -> Column:
     """A slot from 0 to 65535 by the values of a row: the first hex digits of an md5,
     which other engines compute alike. NULL counts as an empty text."""
-    shown = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key_columns]
-    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), *shown)), 1, 4), 16, 10).cast("int")
+    return F.conv(_digest(key_columns, seed, 4), 16, 10).cast("int")
 
 
 def hash_split(df: DataFrame, key_columns, share: float = TRAIN_SHARE, seed: int = SEED):

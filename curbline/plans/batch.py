@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from curbline.operators import anomalies, clusters, demand, economic, forecast, geo, models, moments, temporal
 from curbline.operators.sampling import SEED, bernoulli
 from curbline.plans import incremental, state
+from curbline.plans import tables as T
 from curbline.plans.store import TripStore
 from curbline.session import settled
 from curbline.sources import storage
@@ -89,9 +90,13 @@ def advanced_results(
 
 
 def run_advanced(spark: SparkSession, store: TripStore, route_min_trips: int = 200) -> dict[str, DataFrame]:
-    """The further analyses of a store, also written as JSON under ``root/results``."""
+    """The further analyses of a store, also written as JSON under ``root/results``.
+
+    Routes of ``route_min_trips`` trips are among those looked at, however small that is.
+    """
     segments = state.segment_inputs(store.state(spark, "fares"), store.state(spark, "tips"))
-    results = advanced_results(store.tables(spark), store.cleaned(spark), segments, route_min_trips)
+    tables = store.tables(spark, min(T.MIN_ROUTE_TRIPS, route_min_trips))
+    results = advanced_results(tables, store.cleaned(spark), segments, route_min_trips)
     source.write_results(results, f"{store.root.rstrip('/')}/results")
     return results
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -180,12 +181,12 @@ def _(spark, d):
 
 def _odd_texts(spark, d):
     """Raw trips as text, with cells as other tools write them: passengers like ``2.0``,
-    fares like ``$12.50``, pickups with the month first, and tips that say ``n/a``."""
+    fares like ``$12.50``, pickups with the month first, and surcharges that say ``n/a``."""
     raw = raw_trips(spark, d, with_key=True)
     odd = {
         1: ("passenger_count", F.concat(F.col("passenger_count").cast("string"), F.lit(".0"))),
         2: ("fare_amount", F.concat(F.lit("$"), F.col("fare_amount").cast("string"))),
-        3: ("tip_amount", F.lit("n/a")),
+        3: ("extra", F.lit("n/a")),
         4: (C.PICKUP, F.date_format(C.PICKUP, "M/d/yyyy H:mm:ss")),
     }
     texts = {f: F.col(f).cast("string") for f in S.TRIP_SCHEMA.names}
@@ -197,7 +198,8 @@ def _odd_texts(spark, d):
 _ODD_CELLS = {
     "passenger_count": ("passenger_count IS NULL", "l_linenumber = 1 AND passenger_count IS NOT NULL", "false"),
     "fare_amount": ("false", "l_linenumber = 2", "false"),
-    "tip_amount": ("tip_amount IS NULL AND l_linenumber <> 3", "false", "l_linenumber = 3"),
+    "tip_amount": ("tip_amount IS NULL", "false", "false"),
+    "extra": ("false", "false", "l_linenumber = 3"),
     C.PICKUP: ("false", "l_linenumber = 4", "false"),
 }
 
@@ -971,6 +973,26 @@ surge AS (SELECT *, (trip_count - mean) / CASE WHEN std = 0 THEN 1.0 ELSE std EN
 )
 
 
+_KEPT_ROWS = "substr(md5(concat_ws('|', '42', l_orderkey, l_partkey, l_suppkey, l_linenumber)), 1, 8) < '40000000'"
+
+
+def _sampled_sql(relation: str) -> str:
+    return f"""
+SELECT VendorID AS vendor_id, {N}, {r4("sum(fare_amount)", "fares")} FROM {relation} WHERE {_KEPT_ROWS} GROUP BY 1"""
+
+
+@query("bernoulli_trips", _sampled_sql("trips"))
+def _(spark, d):
+    """A quarter of the trips by their keys, over two partitionings that agree."""
+    t = trips(spark, d, with_key=True)
+    kept = sampling.bernoulli(t, 0.25, key_columns=ROW_KEY)
+    dealt = sampling.bernoulli(t.repartition(5, "l_linenumber"), 0.25, key_columns=ROW_KEY).select(*ROW_KEY)
+    both = kept.join(dealt, ROW_KEY, "left_semi")
+    return both.groupBy(F.col("VendorID").alias("vendor_id")).agg(
+        F.count(F.lit(1)).alias("trip_count"), F.sum("fare_amount").alias("fares")
+    )
+
+
 @query(
     "demand_surge",
     _SURGES
@@ -1591,6 +1613,39 @@ def _(spark, d):
     return spark.read.schema(kept).json(f"{store.root}/results/revenue_optimization")
 
 
+# analysis: its own query, and the two columns of it that are shown
+_ADVANCED = {
+    "surge_hours": ("demand_surge", "trip_count", "z_score"),
+    "surge_zones": ("hot_zones", "trip_count", "avg_fare"),
+    "route_optimization": ("inefficient_routes", "trip_count", "minutes_per_mile"),
+    "revenue_optimization": ("revenue_windows", "pickup_hour", "total_revenue"),
+    "customer_segments": ("customer_segments", "group_count", "total_revenue"),
+    "demand_anomalies": ("anomalies_hourly", "trip_count", "score"),
+    "demand_forecast": ("demand_forecast", "hour_ahead", "predicted_trips"),
+    "demand_history": ("recent_demand", "trip_count", "NULL"),
+}
+
+
+@query(
+    "advanced_analyses",
+    "\nUNION ALL ".join(
+        f"SELECT '{shown}' AS analysis, CAST({count} AS BIGINT) AS n, CAST({value} AS DOUBLE) AS value FROM ({ORACLES[name]})"
+        for shown, (name, count, value) in _ADVANCED.items()
+    ),
+    base=None,
+)
+def _(spark, d):
+    """All further analyses of a store by one call, each read back from its JSON rows."""
+    store = _loaded(spark, d)
+    batch.run_advanced(spark, store, route_min_trips=SLOW_ROUTE_TRIPS)
+    parts = []
+    for shown, (_, count, value) in _ADVANCED.items():
+        kept = f"{count} long" + ("" if value == "NULL" else f", {value} double")
+        found = spark.read.schema(kept).json(f"{store.root}/results/{shown}")
+        parts.append(found.selectExpr(f"'{shown}' AS analysis", f"{count} AS n", f"CAST({value} AS DOUBLE) AS value"))
+    return reduce(DataFrame.union, parts)
+
+
 @query("run_batch", _BY_HOUR)
 def _(spark, d):
     """CSV drops to results and models in one call; a second run, which analyses again

@@ -168,6 +168,17 @@ def test_bernoulli_is_a_repeatable_subset(spark):
     assert some.count() == pytest.approx(5000, rel=0.1)
     assert some.exceptAll(sampling.bernoulli(frame, 0.25, seed=3)).count() == 0
     assert sampling.bernoulli(frame, 1.0).count() == 20_000
+    assert sampling.bernoulli(frame, 0.0).count() == 0
+
+
+def test_bernoulli_goes_by_value(spark):
+    frame = spark.range(20_000).withColumn("odd.name", F.when(F.col("id") % 2 == 0, F.col("id")))
+    for keys in (None, ["id"]):
+        some = sampling.bernoulli(frame, 0.25, 3, keys)
+        again = sampling.bernoulli(frame.repartition(7, "id"), 0.25, 3, keys)
+        assert some.count() == pytest.approx(5000, rel=0.1)
+        assert sorted(r["id"] for r in some.collect()) == sorted(r["id"] for r in again.collect())
+        assert sampling.bernoulli(frame, 0.5, 3, keys).join(some, "id", "left_semi").count() == some.count()
 
 
 def test_hash_split_is_disjoint_and_stable(spark):

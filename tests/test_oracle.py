@@ -12,7 +12,10 @@ from check_oracle import compare, duck
 from conftest import SF_SMALL
 
 # the loads of many tiny months are exercised by test_loads instead
-SLOW = {"incremental_merge", "stream_merge", "run_batch", "advanced_revenue_windows"} | {
+SLOW = {"incremental_merge", "stream_merge", "stream_corrected", "run_batch", "repaired_load_hourly"} | {
+    "advanced_revenue_windows",
+    "advanced_analyses",
+} | {
     f"incremental_{name}" for name in ("hourly", "zones", "routes", "airports", "summary")
 }
 # the operators of tests/llm have their own tests

@@ -67,7 +67,10 @@ def test_single_pass_aggregates(spark, store):
 
 
 # these run loads or fits while the plan is built
-EAGER = {"incremental_merge", "stream_merge", "csv_ingest_report", "anomalies_hourly_forest"}
+EAGER = {"incremental_merge", "stream_merge", "stream_corrected", "csv_ingest_report", "anomalies_hourly_forest"} | {
+    "repaired_load_hourly",
+    "advanced_analyses",
+}
 
 
 @pytest.mark.parametrize("name", sorted(set(entry.oracle_sql()) - EAGER))
