@@ -14,6 +14,7 @@ from curbline.functions import columns as C
 from curbline.functions.rollup import percent_of
 from curbline.session import require_utc
 
+RULES = ["duration", "distance", "fare", "passengers", "pickup_location", "dropoff_location"]
 REQUIRED = [C.PICKUP, C.DROPOFF, "fare_amount", "trip_distance"]
 
 
@@ -60,6 +61,11 @@ def without_non_finite(trips: DataFrame, columns=None) -> DataFrame:
     return trips.withColumns({c: F.when(_finite(c), F.col(c)) for c in columns})
 
 
+def odd_cells(raw: DataFrame) -> Column:
+    """How many cells of a row are NaN or infinite."""
+    return sum((F.coalesce(~_finite(c), F.lit(False)).cast("int") for c in _doubles(raw)), F.lit(0))
+
+
 def _bounded(limits: dict) -> set[str]:
     """Columns that the rules hold between finite limits: a cell that is NaN or infinite
     fails them as a missing one does, so it needs no test of its own."""
@@ -121,8 +127,7 @@ def clean_report(
 
     A trip that breaks several rules is counted under each of them.
     """
-    odd = sum((F.coalesce(~_finite(c), F.lit(False)).cast("int") for c in _doubles(raw)), F.lit(0))
-    raw = without_non_finite(raw.withColumn("_odd", odd))
+    raw = without_non_finite(raw.withColumn("_odd", odd_cells(raw)))
     timed = with_duration(_fill_passengers(raw) if fill_before_filter else raw)
     checks = {name: F.coalesce(rule, F.lit(False)) for name, rule in rules(limits).items()}
     keep = reduce(Column.__and__, checks.values(), _complete())

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
-from curbline.plans import ledger, state
+from curbline.plans import ledger, reports, state
 from curbline.plans.store import TripStore
 from curbline.sources import storage
 from curbline.sources import trips as source
@@ -79,7 +79,7 @@ def apply_load(spark: SparkSession, store: TripStore, raw: DataFrame, load_ids=(
     ``load_ids`` names loads that may hold no row at all. The driver sees the
     partitions written (months times files), never rows.
     """
-    written, seen = _write_loads(store, raw)
+    written, seen, keys = _write_loads(store, raw)
     stale = _stale_partitions(spark, store, set(load_ids) | seen, written)
     months = sorted({(y, m) for y, m, _ in written | stale})
     refresh(spark, store, months, without=stale)
@@ -87,6 +87,7 @@ def apply_load(spark: SparkSession, store: TripStore, raw: DataFrame, load_ids=(
         storage.drop_folder(
             spark, storage.partition_folder(spark, store.cleaned_path, year=y, month=m, load_id=load)
         )
+    reports.note(spark, store, keys, set(load_ids) | seen)
     return spark.createDataFrame(months, TOUCHED_SCHEMA)
 
 
@@ -101,20 +102,24 @@ def _noted(observation: Observation) -> list | None:
     return json.loads(row.getString(0)) if row.length() else None
 
 
-def _write_loads(store: TripStore, raw: DataFrame) -> tuple[set, set]:
-    """One pass: write the cleaned rows and note which partitions they fell into.
+def _write_loads(store: TripStore, raw: DataFrame) -> tuple[set, set, list]:
+    """One pass: write the cleaned rows, note which partitions they fell into, and count
+    raw trips by what cleaning does to them.
 
-    The notes are sets, so a repeated task does not change them.
+    The notes are sets and counts of the observed step's one complete run, so a repeated
+    task does not change them.
     """
     loads, parts = Observation(), Observation()
-    noting = raw.observe(loads, _as_json_set("load_id").alias("seen"))
+    keyed = reports.keyed(raw)
+    noting = keyed.observe(loads, _as_json_set("load_id").alias("seen"), *reports.counts()).drop("trip_key")
     rows = source.cleaned_rows(noting).observe(parts, _as_json_set(*source.LOAD_PARTITIONS).alias("seen"))
     source.write_partitioned(rows, store.cleaned_path, source.LOAD_PARTITIONS, dynamic=True)
     written = {(p["year"], p["month"], p["load_id"]) for p in _noted(parts) or []}
     seen = _noted(loads)
+    keys = reports.counted(loads.get if seen is not None else None, keyed)
     if seen is None:  # not one usable row, so this pass is over files of rejects only
-        seen = [row.asDict() for row in raw.select("load_id").distinct().collect()]
-    return written, {p["load_id"] for p in seen}
+        return written, {k["trip_key"].split("|", 4)[4] for k in keys}, keys
+    return written, {p["load_id"] for p in seen}, keys
 
 
 def _stale_partitions(spark: SparkSession, store: TripStore, load_ids: set, written: set) -> set:

@@ -25,6 +25,10 @@ class TripStore:
     def ledger_path(self) -> str:
         return f"{self.root.rstrip('/')}/ledger"
 
+    @property
+    def reports_path(self) -> str:
+        return f"{self.root.rstrip('/')}/reports"
+
     def state_path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/state/{name}"
 

@@ -32,7 +32,7 @@ from curbline.operators import (
     sampling,
     temporal,
 )
-from curbline.plans import batch, incremental, state
+from curbline.plans import batch, incremental, reports, state
 from curbline.plans import tables as T
 from curbline.plans.store import TripStore
 from curbline.session import settled, shared_dir
@@ -1588,6 +1588,18 @@ _loaded_table("incremental_airports", ORACLES["airport_analysis"].removeprefix(f
 _loaded_table("incremental_summary", _summary_sql(), "summary_stats")
 
 
+@query("stored_cleaning_report", ORACLES["clean_trips_report"], base=None)
+def _(spark, d):
+    """The cleaning report of a store after two loads, from the figures noted with them."""
+    return reports.cleaning_report(spark, _two_loads(spark, d))
+
+
+@query("stored_rows_per_month", _ROWS_PER_MONTH)
+def _(spark, d):
+    """Rows per month of a store after the loads of two folders, without reading trips."""
+    return reports.rows_per_month(spark, _loaded(spark, d))
+
+
 @query("repaired_load_hourly", _HOURLY_SQL)
 def _(spark, d):
     """Files with badly typed cells load whole."""

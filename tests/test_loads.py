@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows, trip
 from curbline.operators import clean, economic
-from curbline.plans import batch, incremental, ledger, state
+from curbline.plans import batch, incremental, ledger, reports, state
 from curbline.plans import tables as T
 from curbline.plans.store import TripStore
 from curbline.schema import TRIP_SCHEMA
@@ -181,6 +181,26 @@ def test_a_stream_takes_up_corrected_files(spark, tmp_path):
     assert_tables_equal_direct(spark, store, everything(*DROPS))
 
 
+@pytest.mark.parametrize("keys", [reports.KEYS, 3])
+def test_reports_of_loads(spark, tmp_path, monkeypatch, keys):
+    """Noted with the pass that writes, or by one of their own where keys are too many."""
+    monkeypatch.setattr(reports, "KEYS", keys)
+    store = TripStore(str(tmp_path / "store"))
+    assert reports.cleaning_report(spark, store).first()["input_rows"] == 0
+    odd = [trip(fare_amount=float("nan")), trip(tpep_pickup_datetime=None), trip(trip_distance=500.0, passenger_count=9)]
+    a = write_csv(tmp_path / "a.csv", DROPS["2015-01.csv"] + odd)
+    b = write_csv(tmp_path / "b.csv", DROPS["2016-01.csv"])
+    rejects = write_csv(tmp_path / "rejects.csv", odd)
+    for path in ([a, b], a, rejects):
+        incremental.load_csv(spark, store, path)
+    everything_raw = source.read_csv(spark, [a, b, rejects])
+    assert rows(reports.cleaning_report(spark, store)) == rows(clean.clean_report(everything_raw))
+    assert rows(reports.rows_per_month(spark, store)) == rows(source.load_report(store.cleaned(spark)))
+    write_csv(tmp_path / "b.csv", [])
+    incremental.load_changed(spark, store, [a, b, rejects])
+    assert rows(reports.cleaning_report(spark, store)) == rows(clean.clean_report(source.read_csv(spark, [a, b, rejects])))
+
+
 def test_folder_ingest_and_report(spark, drops, tmp_path):
     stored = source.ingest_folder(spark, str(drops), str(tmp_path / "raw"))
     assert rows(source.load_report(stored)) == [(2015, 1, 63, 153), (2015, 2, 50, 153), (2016, 1, 40, 153)]

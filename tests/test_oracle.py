@@ -15,6 +15,8 @@ from conftest import SF_SMALL
 SLOW = {"incremental_merge", "stream_merge", "stream_corrected", "run_batch", "repaired_load_hourly"} | {
     "advanced_revenue_windows",
     "advanced_analyses",
+    "stored_cleaning_report",
+    "stored_rows_per_month",
 } | {
     f"incremental_{name}" for name in ("hourly", "zones", "routes", "airports", "summary")
 }

@@ -70,6 +70,8 @@ def test_single_pass_aggregates(spark, store):
 EAGER = {"incremental_merge", "stream_merge", "stream_corrected", "csv_ingest_report", "anomalies_hourly_forest"} | {
     "repaired_load_hourly",
     "advanced_analyses",
+    "stored_cleaning_report",
+    "stored_rows_per_month",
 }
 
 
