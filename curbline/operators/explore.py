@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from itertools import count
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     DateType,
@@ -97,9 +97,28 @@ def histogram(
     ).orderBy("bin")
 
 
+def _least_groups(df: DataFrame, group: Column, n: int) -> DataFrame:
+    """Rows of the least groups that hold ``n`` rows together, or all rows if there are fewer.
+
+    Rows before a top-n are cut to these, as a task would ship n rows otherwise, however
+    many tasks there are. The cut is a scalar subquery over the counts; ``group`` is a
+    whole number, of few enough values for one window over them.
+    """
+    counts = df.groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("rows"))
+    upto = F.sum("rows").over(Window.orderBy("g").rowsBetween(Window.unboundedPreceding, 0))
+    reached = F.min(F.when(F.col("upto") >= n, F.col("g")))
+    cut = counts.withColumn("upto", upto).agg(F.coalesce(reached, F.max("g")).alias("cut")).scalar()
+    return df.where(group <= cut)
+
+
 def head_rows(trips: DataFrame, n: int = 100, year=None, month=None) -> DataFrame:
-    """First n trips by pickup time (ties by the other displayed columns)."""
+    """First n trips by pickup time (ties by the other displayed columns).
+
+    Only trips up to the hour in which the n-th starts are ordered.
+    """
     scoped = filters.calendar(trips, year, month).select(*PAGE_COLUMNS)
+    hour = F.coalesce(F.floor(F.unix_seconds(C.PICKUP) / 3600), F.lit(-(2**60)))
+    scoped = _least_groups(scoped, hour, n)
     return scoped.orderBy(*_order(scoped, C.PICKUP, "asc")).limit(n)
 
 
@@ -109,12 +128,14 @@ def scatter(
     """About random but repeatable points: the rows with the smallest key hashes.
 
     ``key_columns`` identify a row; the same rows come back whatever the
-    partitioning. Each task keeps ``sample_size`` rows at most.
+    partitioning. Only rows under the least power of two that enough hashes lie under
+    are ordered: about twice the sample, however many rows and tasks there are.
     """
     df = filters.calendar(df, year, month)
     digest = F.md5(F.concat_ws("-", *[F.col(c).cast("string") for c in key_columns]))
     picked = df.select(digest.alias("h"), F.col(x_field).alias("x"), F.col(y_field).alias("y"))
-    top = picked.orderBy("h", "x", "y").limit(sample_size)
+    bits = F.length(F.conv(F.substring("h", 1, 15), 16, 2))
+    top = _least_groups(picked, bits, sample_size).orderBy("h", "x", "y").limit(sample_size)
     return top.select(F.col("x").cast("double").alias(x_field), F.col("y").cast("double").alias(y_field))
 
 
@@ -130,13 +151,24 @@ def _order_names(df: DataFrame, order_by: str | None) -> list[str]:
     return [first] + [c for c in PAGE_COLUMNS if c != first and c in df.columns]
 
 
+def checked_direction(direction: str) -> str:
+    if direction.lower() not in ("asc", "desc"):
+        raise ValueError(f"direction must be asc or desc, not {direction!r}")
+    return direction.lower()
+
+
+def page_offset(page: int, page_size: int) -> int:
+    """Rows before a page."""
+    if page < 1 or not 1 <= page_size <= MAX_PAGE_SIZE:
+        raise ValueError("page starts at 1 and page_size lies between 1 and 1000")
+    return (page - 1) * page_size
+
+
 def _order(df: DataFrame, order_by: str | None, direction: str) -> list[Column]:
     """Chosen column first, then every displayed column, all in one direction.
 
     Rows equal in all of them look the same, so pages are well defined.
     """
-    if direction not in ("asc", "desc"):
-        raise ValueError(f"direction must be asc or desc, not {direction!r}")
     return [_directed(F.col(c), direction) for c in _order_names(df, order_by)]
 
 
@@ -250,18 +282,21 @@ def explore(
     groups until at most ``rest_rows`` are left to a final top-n, which therefore
     never carries more; a page further in costs a few more small jobs.
     """
-    if page < 1 or not 1 <= page_size <= MAX_PAGE_SIZE:
-        raise ValueError("page starts at 1 and page_size lies between 1 and 1000")
-    direction = order_direction.lower()
-    df = filters.explorer(trips, **wanted)
-    offset = (page - 1) * page_size
+    offset, direction = page_offset(page, page_size), checked_direction(order_direction)
+    return rows_from(filters.explorer(trips, **wanted), offset, page_size, order_by, direction, rest_rows)
+
+
+def rows_from(
+    df: DataFrame, offset: int, size: int, order_by: str | None, direction: str, rest_rows: int = REST_ROWS
+) -> DataFrame:
+    """``size`` rows from ``offset`` on, in the order of pages."""
     order = _order(df, order_by, direction)
     sought = _seek(df, order_by, direction, offset, rest_rows)
     if sought is None:
         return df.select(*PAGE_COLUMNS).limit(0)
     df, offset = sought
     names = list(dict.fromkeys(PAGE_COLUMNS + _order_names(df, order_by)))
-    paged = df.select(*names).orderBy(*order).offset(offset).limit(page_size)
+    paged = df.select(*names).orderBy(*order).offset(offset).limit(size)
     return paged.select(*PAGE_COLUMNS)
 
 
@@ -273,7 +308,7 @@ def explore_after(
     Keyset paging: no prefix is sorted or counted at all. Rows equal to ``last``
     in every displayed column are skipped with it.
     """
-    direction = order_direction.lower()
+    direction = checked_direction(order_direction)
     df = filters.explorer(trips, **wanted)
     conditions, same = [], F.lit(True)
     for name in _order_names(df, order_by):
@@ -293,6 +328,11 @@ def explore_after(
 def page_info(trips: DataFrame, page: int = 1, page_size: int = 100, **wanted) -> DataFrame:
     """One row about a page: size of the filtered set, pages, neighbours."""
     total = filters.explorer(trips, **wanted).agg(F.count(F.lit(1)).alias("total_count"))
+    return info(total, page, page_size)
+
+
+def info(total: DataFrame, page: int, page_size: int) -> DataFrame:
+    """The row of ``page_info``, given the ``total_count``."""
     pages = F.ceil(F.col("total_count") / F.lit(page_size))
     return total.select(
         F.lit(page).alias("page"),

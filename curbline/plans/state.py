@@ -11,7 +11,9 @@ projections or roll-ups of the states:
   distance bucket scheme;
 * the tip median rolls up from counts per distinct tip;
 * the summary merges counts, means and squared deviations;
-* sums and products of the model's variables add up (``operators.moments``).
+* sums and products of the model's variables add up (``operators.moments``);
+* rows per value range add up, and pages are found from them (``operators.ranks``);
+* sketches of numbers without a grid merge (``operators.sketches``).
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from pyspark.sql import functions as F
 from curbline import schema as S
 from curbline.functions import columns as C
 from curbline.functions.rollup import percent_of
-from curbline.operators import clusters, economic, moments
+from curbline.operators import clusters, economic, moments, ranks, sketches
 from curbline.plans import tables as T
 
 MONTH = ["year", "month"]
@@ -123,6 +125,16 @@ def moment_state(trips: DataFrame) -> DataFrame:
     return moments.moments(trips, MONTH)
 
 
+def rank_state(trips: DataFrame) -> DataFrame:
+    """Rows per month and value range of the displayed columns."""
+    return ranks.counts(trips, MONTH)
+
+
+def sketch_state(trips: DataFrame) -> DataFrame:
+    """Sketches of the ratios and durations of a month."""
+    return sketches.sketched(trips, MONTH)
+
+
 STATES = {
     "hourly": hourly_state,
     "zones": zone_state,
@@ -133,6 +145,8 @@ STATES = {
     "tip_values": tip_values,
     "summary": summary_state,
     "moments": moment_state,
+    "ranks": rank_state,
+    "sketches": sketch_state,
 }
 
 

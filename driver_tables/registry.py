@@ -30,9 +30,10 @@ from curbline.operators import (
     models,
     moments,
     sampling,
+    sketches,
     temporal,
 )
-from curbline.plans import batch, incremental, reports, state
+from curbline.plans import batch, incremental, pages, reports, state
 from curbline.plans import tables as T
 from curbline.plans.store import TripStore
 from curbline.session import settled, shared_dir
@@ -1600,6 +1601,50 @@ def _(spark, d):
     return reports.rows_per_month(spark, _loaded(spark, d))
 
 
+# pages of a store: order, direction, page, its size, year
+_STORED_PAGES = [
+    ("trip_distance", "asc", 151, 100, None),
+    (C.PICKUP, "desc", 40, 250, None),
+    ("tip_amount", "asc", 120, 60, None),
+    ("trip_duration_minutes", "desc", 9, 70, 1997),
+]
+
+
+@query(
+    "stored_pages",
+    "".join(
+        f""", p{i} AS (SELECT * FROM trips WHERE {f"pickup_year = {year}" if year else "true"}
+  ORDER BY {_page_order(first, direction)} LIMIT {size} OFFSET {(nth - 1) * size})"""
+        for i, (first, direction, nth, size, year) in enumerate(_STORED_PAGES)
+    )
+    + "".join(f"{' UNION ALL' if i else ''} SELECT {i} AS nth, {_PAGE_SQL} FROM p{i}" for i in range(len(_STORED_PAGES))),
+)
+def _(spark, d):
+    """Pages of a store after two loads, found from its counts per value range."""
+    store = _two_loads(spark, d)
+    found = [
+        pages.page(spark, store, nth, size, first, direction, year, rest_rows=500).withColumn("nth", F.lit(i))
+        for i, (first, direction, nth, size, year) in enumerate(_STORED_PAGES)
+    ]
+    return reduce(DataFrame.union, found)
+
+
+_SHARES = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.99]
+
+
+@query(
+    "sketch_quantiles",
+    f"""
+SELECT measure, share, (SELECT count(*) FROM trips) AS n, true AS within
+FROM (VALUES {", ".join(f"('{name}')" for name in ("minutes", "fare_per_mile", "miles_per_hour", "tip_percent"))}) m(measure),
+  (VALUES {", ".join(f"(CAST({p} AS DOUBLE))" for p in _SHARES)}) s(share)""",
+)
+def _(spark, d):
+    """Quantiles from the merged sketches of all months: do their true ranks keep to the bound?"""
+    t = trips(spark, d)
+    return sketches.checked(t, sketches.quantiles(state.sketch_state(t), _SHARES))
+
+
 @query("repaired_load_hourly", _HOURLY_SQL)
 def _(spark, d):
     """Files with badly typed cells load whole."""

@@ -16,6 +16,7 @@ SLOW = {"incremental_merge", "stream_merge", "stream_corrected", "run_batch", "r
     "advanced_revenue_windows",
     "advanced_analyses",
     "stored_cleaning_report",
+    "stored_pages",
     "stored_rows_per_month",
 } | {
     f"incremental_{name}" for name in ("hourly", "zones", "routes", "airports", "summary")

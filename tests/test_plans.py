@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from curbline.operators import economic, explore, geo, temporal
-from curbline.plans import incremental
+from curbline.plans import incremental, pages
 from curbline.plans import tables as T
 from curbline.plans.store import TripStore
 from curbline.sources import trips as source
@@ -66,6 +66,17 @@ def test_single_pass_aggregates(spark, store):
         assert plan_of(df).count("FileScan") == 1
 
 
+def test_pages_of_a_store_read_few_files(spark, store):
+    everything = len(store.cleaned(spark).inputFiles())
+    for direction, nth in (("asc", 1), ("asc", 12), ("desc", 20)):
+        found = pages.page(spark, store, nth, 100, order_direction=direction)
+        assert found.collect() == explore.explore(store.cleaned(spark), nth, 100, order_direction=direction).collect()
+        assert 0 < len(found.inputFiles()) < everything / 10
+    plan = plan_of(pages.page(spark, store, 12, 100, "trip_distance"))
+    assert "GreaterThanOrEqual(trip_distance" in plan and "LessThanOrEqual(trip_distance" in plan
+    assert all("/state/ranks/" in f for f in pages.page_info(spark, store, 2).inputFiles())
+
+
 # these run loads or fits while the plan is built
 EAGER = {"incremental_merge", "stream_merge", "stream_corrected", "csv_ingest_report", "anomalies_hourly_forest"} | {
     "repaired_load_hourly",
