@@ -1604,9 +1604,9 @@ def _(spark, d):
 # pages of a store: order, direction, page, its size, year
 _STORED_PAGES = [
     ("trip_distance", "asc", 151, 100, None),
-    (C.PICKUP, "desc", 40, 250, None),
-    ("tip_amount", "asc", 120, 60, None),
-    ("trip_duration_minutes", "desc", 9, 70, 1997),
+    (C.PICKUP, "desc", 9, 250, None),
+    ("tip_amount", "asc", 40, 60, None),
+    ("trip_duration_minutes", "desc", 4, 70, 1997),
 ]
 
 

@@ -82,6 +82,7 @@ EAGER = {"incremental_merge", "stream_merge", "stream_corrected", "csv_ingest_re
     "repaired_load_hourly",
     "advanced_analyses",
     "stored_cleaning_report",
+    "stored_pages",
     "stored_rows_per_month",
 }
 
