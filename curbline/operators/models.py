@@ -57,7 +57,10 @@ METRICS_SCHEMA = StructType(
 SPLIT_KEY = [C.PICKUP, "passenger_count"]
 # Memory for the statistics of one pass over a tree level (MB), so that a level of all
 # trees takes few passes; iterations between checkpoints of a boosted model.
-TREE_OPTIONS = {"maxMemoryInMB": 1024, "cacheNodeIds": True, "checkpointInterval": 10}
+TREE_OPTIONS = {"maxMemoryInMB": 1024, "checkpointInterval": 10}
+# Training rows of a task, which holds their binned features: a forest has 100 row counts
+# and node ids for each of them as well, but sends statistics of all its nodes a task.
+ROWS_PER_TASK = {"random_forest": 800_000, "gbt": 400_000}
 
 
 @dataclass
@@ -101,9 +104,9 @@ def fare_features(trips: DataFrame) -> DataFrame:
 
 def _regressor(name: str, **params):
     trees = {"featuresCol": "features", "labelCol": LABEL, "seed": SEED, **TREE_OPTIONS}
-    if name == "random_forest":
-        return RandomForestRegressor(**{**trees, "numTrees": 100, "maxDepth": 10, **params})
-    if name == "gbt":
+    if name == "random_forest":  # node ids spare each row a way down 100 trees a level
+        return RandomForestRegressor(**{**trees, "cacheNodeIds": True, "numTrees": 100, "maxDepth": 10, **params})
+    if name == "gbt":  # one tree of few levels at a time: storing node ids costs more than the way down
         return GBTRegressor(**{**trees, "maxIter": 100, "maxDepth": 5, **params})
     common = {"featuresCol": "scaled_features", "labelCol": LABEL}
     return LinearRegression(**{**common, "maxIter": 100, "regParam": 0.01, **params})
@@ -156,9 +159,21 @@ def split_report(rows: DataFrame) -> DataFrame:
     return sums.select("training_rows", "test_rows", "mean_fare", F.sqrt(gap).alias("baseline_rmse"))
 
 
+def tasks_for(training: DataFrame, name: str, count: int) -> int | None:
+    """Tasks that ``count`` rows are dealt over for a fit; None to take them as they are stored."""
+    limit = ROWS_PER_TASK.get(name)
+    if limit is None or count <= limit:
+        return None
+    return max(-(-count // limit), training.rdd.getNumPartitions())
+
+
 def fit_one(rows: DataFrame, name: str, counts, partitions: int | None = None, **params) -> FareModel:
-    """Fit a model on the training side of stored ``learning_rows``."""
-    model = _pipeline(name, **params).fit(spread(rows.where(~F.col("is_test")), partitions))
+    """Fit a model on the training side of stored ``learning_rows``, dealt out so that no
+    task holds more than ``ROWS_PER_TASK`` of them, or over ``partitions`` tasks."""
+    training = rows.where(~F.col("is_test"))
+    if partitions is None:
+        partitions = tasks_for(training, name, counts["training_rows"])
+    model = _pipeline(name, **params).fit(spread(training, partitions))
     m = regression_metrics(model.transform(rows.where("is_test"))).first()
     return FareModel(name, model, m["rmse"], m["mae"], m["r2"], counts["training_rows"], counts["test_rows"])
 
@@ -174,8 +189,8 @@ def train(
 
     All trips are used unless ``fraction`` asks for a sample. Features are computed
     once and stored, for the many passes of a fit; ``partitions`` spreads the rows
-    over that many tasks. Returns the fitted model with its hold-out metrics; only
-    these numbers reach the driver.
+    over that many tasks (by default as many as ``tasks_for`` tells). Returns the fitted
+    model with its hold-out metrics; only these numbers reach the driver.
     """
     rows = settled(learning_rows(trips, fraction), "features")
     return fit_one(rows, canonical(name), split_report(rows).first(), partitions, **params)
