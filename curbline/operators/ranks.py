@@ -18,10 +18,15 @@ TIMES = [C.PICKUP, C.DROPOFF]
 _DIGITS, _POWERS, _INFINITE = 2000, 400, 2_000_000
 
 
-def _number_range(v: Column) -> Column:
-    """Whole number that grows with ``v``: no step of it can turn the order of two values."""
+def _power(v: Column) -> Column:
+    return F.floor(F.log10(F.abs(v)))
+
+
+def _number_range(v: Column, power: Column | None = None) -> Column:
+    """Whole number that grows with ``v``: no step of it can turn the order of two values.
+    ``power`` names a column that holds ``_power`` of it already."""
     size = F.abs(v)
-    power = F.floor(F.log10(size))
+    power = _power(v) if power is None else power
     digits = F.least(F.floor(size / F.pow(F.lit(10.0), F.greatest(power - 2, F.lit(-305)))), F.lit(_DIGITS - 1))
     place = (power + _POWERS) * _DIGITS + digits
     return (
@@ -37,15 +42,21 @@ def _number_range(v: Column) -> Column:
 def counts(trips: DataFrame, months: list[str]) -> DataFrame:
     """(months, column, range, n, low, high, first, last): rows of each range, with its
     least and greatest number or time. NULL cells have the range NULL."""
-    ranges = []
-    for name in PAGE_COLUMNS:
+    cells, named = [], []
+    for i, name in enumerate(PAGE_COLUMNS):
         time = F.col(name) if name in TIMES else F.lit(None).cast("timestamp")
         number = F.lit(None).cast("double") if name in TIMES else F.col(name).cast("double")
-        place = F.floor(F.unix_seconds(name) / 3600) if name in TIMES else _number_range(number)
-        ranges.append(
-            F.struct(F.lit(name).alias("column"), place.alias("range"), number.alias("number"), time.alias("time"))
-        )
-    long = trips.select(*months, F.inline(F.array(*ranges)))
+        cells += [number.alias(f"v{i}"), time.alias(f"t{i}")]
+        named.append(f"(v{i}, t{i}) AS `{name}`")
+    # cells become rows by a projection each, then one copy of the formula gives their
+    # ranges: ten copies side by side make code too long for Java to compile
+    long = trips.sparkSession.sql(
+        f"SELECT * FROM {{cells}} UNPIVOT INCLUDE NULLS ((number, time) FOR `column` IN ({', '.join(named)}))",
+        cells=trips.select(*months, *cells),
+    ).withColumn("power", _power(F.col("number")))
+    hour = F.floor(F.unix_seconds("time") / 3600)
+    place = F.when(F.col("time").isNotNull(), hour).otherwise(_number_range(F.col("number"), F.col("power")))
+    long = long.select(*months, "column", place.alias("range"), "number", "time")
     return long.groupBy(*months, "column", "range").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("number").alias("low"),
