@@ -79,7 +79,7 @@ def apply_load(spark: SparkSession, store: TripStore, raw: DataFrame, load_ids=(
     ``load_ids`` names loads that may hold no row at all. The driver sees the
     partitions written (months times files), never rows.
     """
-    written, seen, keys = _write_loads(store, raw)
+    written, seen, told = _write_loads(store, raw)
     stale = _stale_partitions(spark, store, set(load_ids) | seen, written)
     months = sorted({(y, m) for y, m, _ in written | stale})
     refresh(spark, store, months, without=stale)
@@ -87,7 +87,7 @@ def apply_load(spark: SparkSession, store: TripStore, raw: DataFrame, load_ids=(
         storage.drop_folder(
             spark, storage.partition_folder(spark, store.cleaned_path, year=y, month=m, load_id=load)
         )
-    reports.note(spark, store, keys, set(load_ids) | seen)
+    reports.note(spark, store, told, set(load_ids) | seen)
     return spark.createDataFrame(months, TOUCHED_SCHEMA)
 
 
@@ -103,23 +103,18 @@ def _noted(observation: Observation) -> list | None:
 
 
 def _write_loads(store: TripStore, raw: DataFrame) -> tuple[set, set, list]:
-    """One pass: write the cleaned rows, note which partitions they fell into, and count
-    raw trips by what cleaning does to them.
+    """Write the cleaned rows; returns which partitions they fell into, the loads seen, and
+    what cleaning did to each load and month.
 
-    The notes are sets and counts of the observed step's one complete run, so a repeated
-    task does not change them.
+    A trip needs one of these figures or more, so they are summed by a grouped pass of its
+    own over the columns of the rules: noting keys in the pass that writes took longer.
     """
-    loads, parts = Observation(), Observation()
-    keyed = reports.keyed(raw)
-    noting = keyed.observe(loads, _as_json_set("load_id").alias("seen"), *reports.counts()).drop("trip_key")
-    rows = source.cleaned_rows(noting).observe(parts, _as_json_set(*source.LOAD_PARTITIONS).alias("seen"))
-    source.write_partitioned(rows, store.cleaned_path, source.LOAD_PARTITIONS, dynamic=True)
-    written = {(p["year"], p["month"], p["load_id"]) for p in _noted(parts) or []}
-    seen = _noted(loads)
-    keys = reports.counted(loads.get if seen is not None else None, keyed)
-    if seen is None:  # not one usable row, so this pass is over files of rejects only
-        return written, {k["trip_key"].split("|", 4)[4] for k in keys}, keys
-    return written, {p["load_id"] for p in seen}, keys
+    told = reports.figures(raw).collect()
+    if any(r["load_id"] is None for r in told):
+        raise ValueError("raw trips need a load_id")
+    source.write_partitioned(source.cleaned_rows(raw), store.cleaned_path, source.LOAD_PARTITIONS, dynamic=True)
+    written = {(r["year"], r["month"], r["load_id"]) for r in told if r["output_rows"]}
+    return written, {r["load_id"] for r in told}, told
 
 
 def _stale_partitions(spark: SparkSession, store: TripStore, load_ids: set, written: set) -> set:

@@ -1,14 +1,13 @@
 """What cleaning did to each load, noted while it was written and rolled up on read.
 
 A row a load and month of pickup: trips in and out, failures per rule and non-finite
-cells. The figures come from the pass that writes the load: every raw trip has a short
-key (month, rules met, odd cells, load), and the pass counts trips a key. A load that
-is applied again replaces its rows.
+cells. The figures are sums by load and month, combined in every task before the shuffle,
+in a scan of the columns they need. A load that is applied again replaces its rows.
 """
 
 from __future__ import annotations
 
-import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -19,60 +18,34 @@ from curbline.operators import clean
 from curbline.plans.store import TripStore
 from curbline.sources import storage
 
-#: Keys that a pass returns; where there are more, they are counted by a pass of their own.
+#: Keys (a load and month each) that a file of reports holds.
 KEYS = 10_000
 RULES = clean.RULES
 FIGURES = ["input_rows", "output_rows", *[f"failed_{name}" for name in RULES], "non_finite_cells"]
 SCHEMA = "load_id string, year int, month int, " + "".join(f"{f} long, " for f in FIGURES) + "nth long"
 
 
-def keyed(raw: DataFrame) -> DataFrame:
-    """Raw trips with their duration and ``trip_key``."""
-    met = F.concat(*[F.when(rule, "1").otherwise("0") for rule in map(clean.rules().get, RULES)])
-    month = [F.coalesce(part(C.PICKUP).cast("string"), F.lit("")) for part in (F.year, F.month)]
-    key = F.concat_ws("|", *month, met, clean.odd_cells(raw).cast("string"), "load_id")
-    return clean.with_duration(raw).withColumn("trip_key", key)
+def figures(raw: DataFrame) -> DataFrame:
+    """(load_id, year, month, ``FIGURES``) of raw trips; the month is that of pickup."""
+    timed = clean.with_duration(raw)
+    met = {name: F.coalesce(rule, F.lit(False)) for name, rule in clean.rules().items()}
+    flags = {f"met_{name}": met[name] for name in RULES}
+    month = {"year": F.year(C.PICKUP), "month": F.month(C.PICKUP)}
+    rows = timed.select("load_id", *[c.alias(n) for n, c in {**month, **flags}.items()], clean.odd_cells(raw).alias("odd"))
+    kept = reduce(Column.__and__, [F.col(f) for f in flags])
+    sums = [F.count(F.lit(1)), F.count_if(kept), *[F.count_if(~F.col(f)) for f in flags], F.sum("odd")]
+    return rows.groupBy("load_id", "year", "month").agg(*[s.alias(f) for s, f in zip(sums, FIGURES, strict=True)])
 
 
-def counts() -> list[Column]:
-    """Aggregates of ``keyed`` trips for an observation; see ``counted``."""
-    top = F.expr(f"approx_top_k(trip_key, {KEYS}, {2 * KEYS})")
-    return [F.to_json(top).alias("keys"), F.count(F.lit(1)).alias("trips")]
-
-
-def counted(observed: dict | None, trips: DataFrame) -> list[Row]:
-    """(trip_key, n) from the observed counts. They are exact as long as no key was given
-    up, which shows in their sum; otherwise, or if the observed step was dropped as
-    empty, ``trips`` are counted."""
-    if observed:
-        found = [Row(trip_key=k["item"], n=k["count"]) for k in json.loads(observed["keys"] or "[]")]
-        if sum(k["n"] for k in found) == observed["trips"]:
-            return found
-    return trips.groupBy("trip_key").agg(F.count(F.lit(1)).alias("n")).collect()
-
-
-def note(spark: SparkSession, store: TripStore, keys: list[Row], load_ids) -> None:
-    """Add the reports of loads; those without a trip get a row of zeros."""
+def note(spark: SparkSession, store: TripStore, told: list[Row], load_ids) -> None:
+    """Add the reports of loads (rows of ``figures``); those without a trip get a row of zeros."""
     nth = 0
     if storage.exists(spark, store.reports_path):
         nth = _stored(spark, store).agg(F.coalesce(F.max("nth") + 1, F.lit(0))).first()[0]
-    split = F.split("trip_key", r"\|", 5)
-    told = spark.createDataFrame(keys, "trip_key string, n long").select(
-        split[4].alias("load_id"),
-        split[0].try_cast("int").alias("year"),
-        split[1].try_cast("int").alias("month"),
-        split[2].alias("met"),
-        split[3].cast("long").alias("odd"),
-        "n",
-    )
-    kept = F.col("met") == "1" * len(RULES)
-    failed = [F.substring("met", i + 1, 1) == "0" for i in range(len(RULES))]
-    sums = [F.sum("n"), *[F.sum(F.when(c, F.col("n")).otherwise(0)) for c in (kept, *failed)], F.sum(F.col("n") * F.col("odd"))]
-    rows = told.groupBy("load_id", "year", "month").agg(*[s.alias(f) for s, f in zip(sums, FIGURES)])
-    named = {k["trip_key"].split("|", 4)[4] for k in keys}
-    silent = [(load, None, None, *[0] * len(FIGURES)) for load in sorted(set(load_ids) - named)]
-    rows = rows.union(spark.createDataFrame(silent, SCHEMA.removesuffix(", nth long")))
-    rows.withColumn("nth", F.lit(nth).cast("long")).coalesce(1).write.mode("append").parquet(store.reports_path)
+    silent = sorted(set(load_ids) - {r["load_id"] for r in told})
+    rows = [*map(tuple, told), *[(load, None, None, *[0] * len(FIGURES)) for load in silent]]
+    noted = spark.createDataFrame(rows, SCHEMA.removesuffix(", nth long")).withColumn("nth", F.lit(nth).cast("long"))
+    noted.coalesce(1).write.mode("append").option("maxRecordsPerFile", KEYS).parquet(store.reports_path)
 
 
 def _stored(spark: SparkSession, store: TripStore) -> DataFrame:
