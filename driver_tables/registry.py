@@ -1726,9 +1726,11 @@ def _(spark, d):
 
 
 def _deliver(spark, rows, folder: str) -> None:
-    """Four CSV files of fixed names, in the place of those delivered before."""
+    """CSV files of fixed names, in the place of those delivered before: four, or as many as
+    tasks read the rows, so that large deliveries are not written by four tasks."""
     made = shared_dir(spark, "made")
-    source.export_csv(rows.repartition(4, "VendorID", "passenger_count", C.PICKUP), made)
+    files = max(4, rows.rdd.getNumPartitions())
+    source.export_csv(rows.repartition(files, "VendorID", "passenger_count", C.PICKUP), made)
     for path in storage.matching(spark, f"{made}/part-*.csv"):
         storage.move_file(spark, path, f"{folder}/{path.rsplit('/', 1)[1][:10]}.csv")
 
