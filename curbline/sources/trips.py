@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -78,7 +80,7 @@ def load_id_of(path: Column, drop_root: str | None = None) -> Column:
     if drop_root is not None:
         root = F.concat(F.regexp_replace(_plain(F.lit(drop_root)), "/+$", ""), F.lit("/"))
         plain = F.when(F.startswith(plain, root), F.substring(plain, F.length(root) + 1, F.length(plain))).otherwise(plain)
-    return F.concat_ws("~", F.regexp_extract(plain, "[^/]*$", 0), F.substring(F.md5(plain), 1, 16))
+    return F.concat_ws("~", F.substring_index(plain, "/", -1), F.substring(F.md5(plain), 1, 16))
 
 
 def with_load_id(scanned: DataFrame, drop_root: str | None = None) -> DataFrame:
@@ -86,11 +88,22 @@ def with_load_id(scanned: DataFrame, drop_root: str | None = None) -> DataFrame:
     return scanned.select(*scanned.columns, load_id_of(F.col("_metadata.file_path"), drop_root).alias("load_id"))
 
 
+def with_listed_load_id(scanned: DataFrame, path, drop_root: str | None = None) -> DataFrame:
+    """``with_load_id`` of a scan of ``path``, by looking up its listing: a load is worked
+    out once a file, not once a row, and a row a file goes to every task. Only a file that
+    came after the listing has it worked out by row."""
+    files = scanned.sparkSession.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("_file"))
+    loads = files.distinct().select("_file", load_id_of(F.col("_file"), drop_root).alias("_load"))
+    rows = scanned.select(*scanned.columns, F.col("_metadata.file_path").alias("_file"))
+    named = F.coalesce("_load", load_id_of(F.col("_file"), drop_root)).alias("load_id")
+    return rows.join(F.broadcast(loads), "_file", "left").select(*scanned.columns, named)
+
+
 def scan_csv(spark: SparkSession, path, drop_root: str | None = None, repair: bool = False) -> DataFrame:
     """``read_csv`` with the load each row belongs to."""
     if repair:
-        return cells.typed(with_load_id(read_csv_text(spark, path), drop_root))
-    return with_load_id(read_csv(spark, path), drop_root)
+        return cells.typed(with_listed_load_id(read_csv_text(spark, path), path, drop_root))
+    return with_listed_load_id(read_csv(spark, path), path, drop_root)
 
 
 def _with_month(trips: DataFrame) -> DataFrame:
@@ -173,10 +186,12 @@ def read_cleaned(spark: SparkSession, path: str, folders=None) -> DataFrame:
 
 
 def write_results(results: dict[str, DataFrame], folder: str) -> dict[str, str]:
-    """Each named result set as JSON lines in its own folder."""
+    """Each named result set as JSON lines in its own folder. They are small and do not
+    depend on each other, so a few are written at the same time."""
     paths = {name: f"{folder.rstrip('/')}/{name}" for name in results}
-    for name, df in results.items():
-        df.write.mode("overwrite").json(paths[name])
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(df.write.mode("overwrite").json, paths[name]) for name, df in results.items()]:
+            done.result()
     return paths
 
 

@@ -9,6 +9,7 @@ from curbline.operators import clean, models, ranks
 from curbline.plans import reports
 from curbline.plans.state import MONTH
 from curbline.sources import storage
+from curbline.sources import trips as source
 from driver_tables import registry
 
 
@@ -54,3 +55,29 @@ def test_large_deliveries_have_more_files(spark, raw, tmp_path):
     assert 4 < len(names) <= 9
     read = spark.read.option("header", True).csv(str(tmp_path)).select("passenger_count")
     assert sorted(int(v) for (v,) in rows(read)) == list(range(1, 60))
+
+
+def test_load_ids_are_worked_out_once_a_file(spark, raw, tmp_path):
+    """Every row looks its file up; names with blanks and signs are found, and a file that
+    is named twice is read twice, not four times."""
+    for name in ("a b%20c,1.csv", "é+[x].csv"):
+        source.export_csv(raw([trip(), trip(VendorID=2)]).coalesce(1), str(tmp_path / "made"))
+        storage.move_file(spark, storage.matching(spark, f"{tmp_path}/made/part-*.csv")[0], f"{tmp_path}/drop/{name}")
+    one = storage.literal(f"{tmp_path}/drop/a b%20c,1.csv")
+    for path, root in ((f"{tmp_path}/drop", None), (f"{tmp_path}/drop", str(tmp_path)), ([one, one], None)):
+        by_row = source.with_load_id(source.read_csv(spark, path), root)
+        scanned = source.scan_csv(spark, path, root)
+        plan = scanned._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join LeftOuter" in plan and "strategy=broadcast" in plan
+        assert scanned.columns == by_row.columns
+        assert sorted(rows(scanned)) == sorted(rows(by_row)) and scanned.count() == 4
+        listed = {r["load_id"] for r in source.csv_files(spark, path, root).collect()}
+        assert {r["load_id"] for r in scanned.collect()} == listed
+
+
+def test_a_file_after_the_listing_keeps_its_load(spark, raw, tmp_path):
+    source.export_csv(raw([trip()]), str(tmp_path / "drop"))
+    source.export_csv(raw([trip(VendorID=2)]), str(tmp_path / "other"))
+    late = source.read_csv(spark, [str(tmp_path / "drop"), str(tmp_path / "other")])
+    named = source.with_listed_load_id(late, str(tmp_path / "drop"))
+    assert sorted(rows(named)) == sorted(rows(source.with_load_id(late)))
