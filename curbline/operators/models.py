@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -14,7 +15,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from curbline.functions import columns as C
 from curbline.functions import filters
-from curbline.operators.sampling import SEED, TRAIN_SHARE, bernoulli, split_slot, spread
+from curbline.operators.sampling import SEED, bernoulli, on_test_side, spread
 from curbline.session import settled
 from curbline.sources import storage
 
@@ -61,6 +62,10 @@ TREE_OPTIONS = {"maxMemoryInMB": 1024, "checkpointInterval": 10}
 # Training rows of a task, which holds their binned features: a forest has 100 row counts
 # and node ids for each of them as well, but sends statistics of all its nodes a task.
 ROWS_PER_TASK = {"random_forest": 800_000, "gbt": 400_000}
+# Training rows up to which all kinds are fitted at the same time: a fit is some 600 short
+# steps, one after the other, which leave most cores idle. Beyond, a fit fills the cores,
+# and one after the other they hold the binned features of one model only.
+ROWS_TOGETHER = 5_000_000
 
 
 @dataclass
@@ -138,8 +143,7 @@ def learning_rows(trips: DataFrame, fraction: float | None = None) -> DataFrame:
     """Features, label and ``is_test`` (one row in five by its values) of the rows a
     model learns from or is measured on. All trips, unless ``fraction`` asks for a
     sample; rows that lack a feature are left out, as no model can take them."""
-    slot = split_slot(SPLIT_KEY)
-    rows = with_calendar_features(trips).withColumn("is_test", slot >= round(TRAIN_SHARE * 65536))
+    rows = with_calendar_features(trips).withColumn("is_test", on_test_side(SPLIT_KEY))
     rows = filters.trainable(rows.select(*FEATURES, LABEL, "is_test")).dropna(subset=FEATURES)
     return rows if fraction is None else bernoulli(rows, fraction)
 
@@ -203,14 +207,17 @@ def train_all(
     with the error and without a model."""
     rows = settled(learning_rows(trips, fraction), "features")
     counts = split_report(rows).first()
-    trained = {}
-    for name in MODEL_FOLDERS:
+
+    def fitted(name: str) -> FareModel:
         try:
-            trained[name] = fit_one(rows, name, counts, partitions, **params_by_model.get(name, {}))
+            return fit_one(rows, name, counts, partitions, **params_by_model.get(name, {}))
         except Exception as error:  # a failing model must not stop the others
             log.exception("training %s failed", name)
-            trained[name] = FareModel(name, None, error=f"{type(error).__name__}: {error}"[:500])
-    return trained
+            return FareModel(name, None, error=f"{type(error).__name__}: {error}"[:500])
+
+    together = len(MODEL_FOLDERS) if counts["training_rows"] <= ROWS_TOGETHER else 1
+    with ThreadPoolExecutor(max_workers=together) as pool:
+        return dict(zip(MODEL_FOLDERS, pool.map(fitted, MODEL_FOLDERS), strict=True))
 
 
 def metrics_frame(spark: SparkSession, trained: dict[str, FareModel]) -> DataFrame:

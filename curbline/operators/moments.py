@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from curbline.functions import ridge
 from curbline.operators import models
 from curbline.operators.economic import CORRELATED
-from curbline.operators.sampling import TRAIN_SHARE, split_slot
+from curbline.operators.sampling import on_test_side
 
 VARIABLES = [*models.FEATURES, "trip_duration_minutes", models.LABEL]
 #: Products are taken of differences from these points, so that what coordinates and years
@@ -43,7 +43,7 @@ MEASURES = ["n", "sum_total", *[_sum(i) for i in range(len(VARIABLES))], *[_prod
 def moments(trips: DataFrame, keys=()) -> DataFrame:
     """Per group, vendor and side of the split: trips, revenue, and the sums and products
     of ``VARIABLES`` about ``CENTRES``. Trips that lack one of these are left out."""
-    side = (split_slot(models.SPLIT_KEY) >= round(TRAIN_SHARE * 65536)).alias("is_test")
+    side = on_test_side(models.SPLIT_KEY).alias("is_test")
     centred = [(F.col(v).cast("double") - F.lit(float(CENTRES.get(v, 0)))).alias(f"x{i}") for i, v in enumerate(VARIABLES)]
     rows = models.with_calendar_features(trips).dropna(subset=VARIABLES)
     rows = rows.select(*keys, F.col("VendorID").alias("vendor_id"), side, "total_amount", *centred)

@@ -36,6 +36,12 @@ def split_slot(key_columns, seed: int = SEED) -> Column:
     return F.conv(_digest(key_columns, seed, 4), 16, 10).cast("int")
 
 
+def on_test_side(key_columns, seed: int = SEED) -> Column:
+    """Whether ``split_slot`` lies at or above ``TRAIN_SHARE``. Hex digits of one length sort
+    as their numbers do, so no row's digits are made a number."""
+    return _digest(key_columns, seed, 4) >= F.lit(f"{round(TRAIN_SHARE * 65536):04x}")
+
+
 def hash_split(df: DataFrame, key_columns, share: float = TRAIN_SHARE, seed: int = SEED):
     """Two disjoint frames by a hash of the row's columns.
 

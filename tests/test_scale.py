@@ -1,11 +1,12 @@
 """What keeps loads and models in proportion to their input."""
 
+import threading
 from itertools import product
 
 from conftest import rows, trip
 from pyspark.sql import functions as F
 
-from curbline.operators import clean, models, ranks
+from curbline.operators import clean, models, ranks, sampling
 from curbline.plans import reports
 from curbline.plans.state import MONTH
 from curbline.sources import storage
@@ -81,3 +82,33 @@ def test_a_file_after_the_listing_keeps_its_load(spark, raw, tmp_path):
     late = source.read_csv(spark, [str(tmp_path / "drop"), str(tmp_path / "other")])
     named = source.with_listed_load_id(late, str(tmp_path / "drop"))
     assert sorted(rows(named)) == sorted(rows(source.with_load_id(late)))
+
+
+def test_sides_of_the_split_are_those_of_its_slots(spark):
+    numbers = spark.range(3000).withColumn("none", F.lit(None).cast("int"))
+    for seed in (sampling.SEED, 7):
+        slot = sampling.split_slot(["id", "none"], seed) >= round(sampling.TRAIN_SHARE * 65536)
+        assert numbers.where(slot != sampling.on_test_side(["id", "none"], seed)).count() == 0
+
+
+def test_few_rows_are_fitted_by_all_kinds_together(small_trips, monkeypatch):
+    barrier = threading.Barrier(3)
+
+    def fit(rows, name, counts, partitions, **params):
+        barrier.wait(60)
+        return models.FareModel(name, None)
+
+    monkeypatch.setattr(models, "fit_one", fit)
+    trained = models.train_all(small_trips)
+    assert list(trained) == list(models.MODEL_FOLDERS) and not any(m.error for m in trained.values())
+    running, most = [], []
+
+    def alone(rows, name, counts, partitions, **params):
+        running.append(name)
+        most.append(len(running))
+        running.remove(name)
+        return models.FareModel(name, None)
+
+    monkeypatch.setattr(models, "fit_one", alone)
+    monkeypatch.setattr(models, "ROWS_TOGETHER", 0)
+    assert list(models.train_all(small_trips)) == list(models.MODEL_FOLDERS) and max(most) == 1
