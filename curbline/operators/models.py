@@ -62,7 +62,7 @@ TREE_OPTIONS = {"maxMemoryInMB": 1024, "checkpointInterval": 10}
 # Training rows of a task, which holds their binned features: a forest has 100 row counts
 # and node ids for each of them as well, but sends statistics of all its nodes a task.
 ROWS_PER_TASK = {"random_forest": 800_000, "gbt": 400_000}
-# Training rows up to which all kinds are fitted at the same time: a fit is some 600 short
+# Training rows up to which all kinds are fitted at the same time: boosting is some 500 short
 # steps, one after the other, which leave most cores idle. Beyond, a fit fills the cores,
 # and one after the other they hold the binned features of one model only.
 ROWS_TOGETHER = 5_000_000
