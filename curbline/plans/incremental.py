@@ -23,6 +23,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from curbline.plans import ledger, reports, state
 from curbline.plans.store import TripStore
+from curbline.session import shuffles_dropped
 from curbline.sources import storage
 from curbline.sources import trips as source
 
@@ -79,6 +80,11 @@ def apply_load(spark: SparkSession, store: TripStore, raw: DataFrame, load_ids=(
     ``load_ids`` names loads that may hold no row at all. The driver sees the
     partitions written (months times files), never rows.
     """
+    with shuffles_dropped(spark, raw.sparkSession):
+        return _applied(spark, store, raw, load_ids)
+
+
+def _applied(spark: SparkSession, store: TripStore, raw: DataFrame, load_ids) -> DataFrame:
     written, seen, told = _write_loads(store, raw)
     stale = _stale_partitions(spark, store, set(load_ids) | seen, written)
     months = sorted({(y, m) for y, m, _ in written | stale})

@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +69,26 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_dropped(*sessions: SparkSession):
+    """Shuffle files go when their query ends, not when the driver next collects its garbage.
+
+    A load makes some thirty shuffles one after the other; kept to its end they take more
+    room than the trips.
+    """
+    before = [(s, s.conf.get(SHUFFLE_CLEANUP, "false")) for s in sessions]
+    for s in sessions:
+        s.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        for s, value in reversed(before):
+            s.conf.set(SHUFFLE_CLEANUP, value)
+
+
 def settled(df: DataFrame, purpose: str = "settled") -> DataFrame:
     """The same rows, written once to shared storage and read back.
 

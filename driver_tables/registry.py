@@ -1727,10 +1727,12 @@ def _(spark, d):
 
 def _deliver(spark, rows, folder: str) -> None:
     """CSV files of fixed names, in the place of those delivered before: four, or as many as
-    tasks read the rows, so that large deliveries are not written by four tasks."""
-    made = shared_dir(spark, "made")
-    files = max(4, rows.rdd.getNumPartitions())
-    source.export_csv(rows.repartition(files, "VendorID", "passenger_count", C.PICKUP), made)
+    tasks read the rows, as they are read. Files delivered before go first, so that the
+    folder's content is not held twice."""
+    made, read = shared_dir(spark, "made"), rows.rdd.getNumPartitions()
+    for path in storage.matching(spark, f"{folder}/part-*.csv"):
+        storage.drop_folder(spark, path)
+    source.export_csv(rows if read >= 4 else rows.repartition(4, "VendorID", "passenger_count", C.PICKUP), made)
     for path in storage.matching(spark, f"{made}/part-*.csv"):
         storage.move_file(spark, path, f"{folder}/{path.rsplit('/', 1)[1][:10]}.csv")
 
