@@ -175,20 +175,20 @@ def tasks_for(training: DataFrame, name: str, count: int) -> int | None:
     return max(-(-count // limit), training.rdd.getNumPartitions())
 
 
-def _fitted(pipeline: Pipeline, training: DataFrame, count: int, partitions: int | None) -> PipelineModel:
+def _fitted(pipeline: Pipeline, training: DataFrame, name: str, count: int, partitions: int | None) -> PipelineModel:
     *before, last = pipeline.getStages()
-    if count > ROWS_IN_LIBRARY and trees.growable(last):
+    if count > ROWS_IN_LIBRARY and trees.growable(last):  # a task streams its blocks, so cores tell their number
         return PipelineModel([*before, trees.fitted(last, training, FEATURES, LABEL, partitions)])
+    if partitions is None:
+        partitions = tasks_for(training, name, count)
     return pipeline.fit(spread(training, partitions))
 
 
 def fit_one(rows: DataFrame, name: str, counts, partitions: int | None = None, **params) -> FareModel:
-    """Fit a model on the training side of stored ``learning_rows``, dealt out so that no
-    task holds more than ``ROWS_PER_TASK`` of them, or over ``partitions`` tasks."""
+    """Fit a model on the training side of stored ``learning_rows``. In the library's fits
+    no task holds more than ``ROWS_PER_TASK`` of them, unless ``partitions`` tells the tasks."""
     training = rows.where(~F.col("is_test"))
-    if partitions is None:
-        partitions = tasks_for(training, name, counts["training_rows"])
-    model = _fitted(_pipeline(name, **params), training, counts["training_rows"], partitions)
+    model = _fitted(_pipeline(name, **params), training, name, counts["training_rows"], partitions)
     m = regression_metrics(model.transform(rows.where("is_test"))).first()
     return FareModel(name, model, m["rmse"], m["mae"], m["r2"], counts["training_rows"], counts["test_rows"])
 

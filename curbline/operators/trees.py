@@ -46,7 +46,7 @@ ROUNDING = 1e-12
 # Parameters that are followed, and those that change nothing in a model.
 FOLLOWED = {"numTrees", "maxIter", "maxDepth", "maxBins", "minInstancesPerNode", "minInfoGain", "seed", "stepSize"}
 NEUTRAL = {"featuresCol", "labelCol", "predictionCol", "leafCol", "maxMemoryInMB", "cacheNodeIds", "checkpointInterval"}
-# How the library tells the number of Poisson(1) draws: shares of 65,536 equally likely numbers.
+# Poisson(1) counts, each as often as its share of 65,536 equally likely numbers.
 _POISSON = np.repeat(np.arange(8, dtype=np.uint8), [24109, 24109, 12055, 4018, 1005, 201, 33, 6])
 NODE_SCHEMA = (
     "treeID int, nodeData struct<id int, prediction double, impurity double, impurityStats array<double>,"
