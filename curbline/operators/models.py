@@ -67,8 +67,8 @@ ROWS_PER_TASK = {"random_forest": 800_000, "gbt": 400_000}
 # steps, one after the other, which leave most cores idle. Beyond, a fit fills the cores,
 # and one after the other they hold the binned features of one model only.
 ROWS_TOGETHER = 5_000_000
-# Training rows up to which the library's own fits grow trees. They hold some 600 bytes for
-# each row of a forest and take 15 times as long as ``trees``, which more rows go to.
+# Training rows up to which the library's own fits grow trees. By its fields a row of a forest
+# has some 600 bytes there; more rows go to ``trees``, which holds 18 bytes a row.
 ROWS_IN_LIBRARY = 500_000
 
 

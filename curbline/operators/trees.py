@@ -1,7 +1,7 @@
 """Forests and boosted trees of more rows than the ML library's own fits take.
 
 The library holds every training row as objects, with a count for each tree of a forest:
-some 600 bytes a row, which spill to disk. Here a row is a byte a feature (the number of
+some 600 bytes a row by its fields, which spill to disk. Here a row is a byte a feature (the number of
 its value range) and its label, in blocks of rows that stay with the tasks. A pass over the
 blocks sums labels by node, feature and value range; only these sums travel, and one
 pass makes a level of a tree, or of several trees of a forest. The method is the
